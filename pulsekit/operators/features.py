@@ -73,28 +73,34 @@ def lag_features(df: DataFrame, order_col: str, value_col: str, n_lags: int = 60
                  unit_seconds: int = 60, series: Sequence[str] = (), tie: str | None = None,
                  first_row_guard: bool = True, dropna: bool = True,
                  bucket_units: int | None = None, prefix: str = "Min - ") -> DataFrame:
-    """All columns of ``df`` plus ``prefix1..prefixN`` (double), one window node.
+    """All columns of ``df`` plus ``prefix1..prefixN`` (double).
 
     ``series`` partitions independent series (e.g. a user); ``tie`` breaks
     equal timestamps so the row order is total.
+
+    One window expression collects the previous ``n_lags`` rows (time, value,
+    first-row flag) of each row; one higher-order ``transform`` applies the
+    gap test to all of them.  Sixty separate ``lag`` columns with sixty CASE
+    expressions generate code too large to compile well; this form keeps both
+    the plan and the generated code small.
     """
-    unit_us = unit_seconds * 1_000_000
+    unit_us = float(unit_seconds * 1_000_000)
     framed = _framed(df, order_col, series, tie, n_lags, unit_seconds, bucket_units, first_row_guard)
-    w = Window.partitionBy(*series, "_frame").orderBy("_t", *([tie] if tie else []))
+    w = (Window.partitionBy(*series, "_frame").orderBy("_t", *([tie] if tie else []))
+         .rowsBetween(-n_lags, -1))
     src = F.struct(F.col("_t").alias("t"), F.col(value_col).alias("v"), F.col("_is_first").alias("f"))
     staged = framed.select(*df.columns, "_t", "_b", "_frame",
-                           *[F.lag(src, j).over(w).alias(f"_l{j}") for j in range(1, n_lags + 1)])
-    names = lag_names(n_lags, prefix)
-    lags = []
-    for j, name in zip(range(1, n_lags + 1), names):
-        prev = F.col(f"_l{j}")
-        gap = F.bround((F.col("_t") - prev["t"]) / F.lit(float(unit_us)), 0)
-        ok = (gap == F.lit(float(j))) & ~prev["f"]
-        lags.append(F.when(ok, prev["v"].cast("double")).alias(name))
-    out = staged.filter(F.col("_frame") == F.col("_b")).select(*df.columns, *lags)
+                           F.collect_list(src).over(w).alias("_p"))
+    lags = F.expr(f"""transform(sequence(1, {n_lags}), j -> CASE
+        WHEN size(_p) >= j
+         AND bround((_t - _p[size(_p) - j].t) / {unit_us}, 0) = j
+         AND NOT _p[size(_p) - j].f
+        THEN CAST(_p[size(_p) - j].v AS DOUBLE) END)""")
+    out = staged.filter(F.col("_frame") == F.col("_b")).select(*df.columns, lags.alias("_lags"))
     if dropna:
-        out = out.na.drop(how="any", subset=[value_col, *names])
-    return out
+        out = out.filter(F.col(value_col).isNotNull() & F.expr("forall(_lags, x -> x IS NOT NULL)"))
+    names = lag_names(n_lags, prefix)
+    return out.select(*df.columns, *[F.col("_lags")[j].alias(n) for j, n in enumerate(names)])
 
 
 def lag_features_frame(df: DataFrame, order_col: str, value_col: str, n_lags: int = 60,

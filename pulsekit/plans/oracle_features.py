@@ -1 +1,89 @@
-"""(filled below)"""
+"""Oracle SQL for the feature and model queries (lag columns generated)."""
+
+from __future__ import annotations
+
+from pulsekit.functions import NO_LABEL, NO_LABEL_COLUMN, SPORTS
+from pulsekit.plans.oracle import LABEL_CTES, ORACLE, SAMPLES, with_
+
+HOUR_US = 3600 * 1_000_000
+
+
+def lag_ctes(src: str, order: str, value: str, n_lags: int, unit_us: int,
+             series: tuple[str, ...] = (), guard: bool = True, name: str = "lagged") -> str:
+    """CTEs ``{name}_o`` and ``{name}``: row-based lags with the rounded-gap
+    test and (``guard``) the first-row exclusion, straight from the definition."""
+    part = f"PARTITION BY {', '.join(series)} " if series else ""
+    low = 1 if guard else 0
+    cols = []
+    for j in range(1, n_lags + 1):
+        cols.append(
+            f'CASE WHEN _rn - {j} > {low} AND round_even((_t - lag(_t, {j}) OVER w) / {unit_us}, 0) = {j} '
+            f'THEN CAST(lag({value}, {j}) OVER w AS DOUBLE) END AS "Min - {j}"')
+    return (f"{name}_o AS (SELECT *, epoch_us({order}) AS _t, "
+            f"row_number() OVER ({part}ORDER BY {order}) AS _rn FROM {src}),\n"
+            f"{name} AS (SELECT *, {', '.join(cols)} FROM {name}_o WINDOW w AS ({part}ORDER BY {order}))")
+
+
+def complete(n_lags: int, value: str) -> str:
+    return " AND ".join([f"{value} IS NOT NULL"] + [f'"Min - {j}" IS NOT NULL' for j in range(1, n_lags + 1)])
+
+
+def lag_list(n_lags: int) -> str:
+    return ", ".join(f'"Min - {j}"' for j in range(1, n_lags + 1))
+
+
+def one_hots(label: str = "sport") -> str:
+    parts = [f"CASE WHEN {label} = '{NO_LABEL}' THEN 1 ELSE 0 END AS \"{NO_LABEL_COLUMN}\""]
+    parts += [f"CASE WHEN {label} = '{s}' THEN 1 ELSE 0 END AS \"{s}\"" for s in sorted(SPORTS)]
+    return ", ".join(parts)
+
+
+HOURLY = """hourly AS (SELECT strptime("date" || "HOUR", '%Y-%m-%d%H') AS "TS", max(value) AS "BPM"
+  FROM samples GROUP BY "date", "HOUR")"""
+HOURLY_SPORT = """hourly AS (SELECT strptime("date" || "HOUR", '%Y-%m-%d%H') AS "TS", max(value) AS "BPM",
+  max(sport) AS sport FROM labelled GROUP BY "date", "HOUR")"""
+MIX = "(((epoch_us(\"TS\") // 3600000000) * 2654435761) % 4294967296) % 100"
+SPLIT = f"""split_rows AS (SELECT *, CASE WHEN {MIX} < 80 THEN 'train' ELSE 'test' END AS split FROM hourly)"""
+
+_TIME = """CAST(replace(strftime("TS", '%H:%M:%S'), ':', '') AS INTEGER) AS "time" """
+MATRIX = (with_(*LABEL_CTES, HOURLY_SPORT, lag_ctes("hourly", '"TS"', '"BPM"', 60, HOUR_US)) +
+          f"""SELECT {_TIME}, "BPM", {lag_list(60)}, {one_hots()} FROM lagged WHERE {complete(60, '"BPM"')}""")
+
+ORACLE["one_hot_sport"] = with_(*LABEL_CTES) + f"SELECT event_id, {one_hots()} FROM labelled"
+_LAG = (with_(SAMPLES, HOURLY, lag_ctes("hourly", '"TS"', '"BPM"', 60, HOUR_US)) +
+        f"""SELECT "TS", "BPM", {lag_list(60)} FROM lagged WHERE {complete(60, '"BPM"')}""")
+ORACLE["lag_features"] = _LAG
+ORACLE["lag_features_frame"] = _LAG
+ORACLE["lag_features_by_type"] = with_(
+    """per_type AS (SELECT event_type, strptime(strftime(ts, '%Y-%m-%d %H'), '%Y-%m-%d %H') AS "TS",
+       max(CAST(floor(value) AS INTEGER)) AS "BPM" FROM events GROUP BY ALL)""",
+    lag_ctes("per_type", '"TS"', '"BPM"', 6, HOUR_US, series=("event_type",))) + \
+    f"""SELECT event_type, "TS", "BPM", {lag_list(6)} FROM lagged WHERE {complete(6, '"BPM"')}"""
+ORACLE["training_matrix"] = MATRIX
+ORACLE["persistence_mae"] = ("SELECT count(*) AS n_rows, avg(abs(\"BPM\" - \"Min - 1\")) AS mae FROM ("
+                             + MATRIX + ")")
+
+_MATRIX_COLS = ['"time"', '"BPM"'] + [f'"Min - {j}"' for j in range(1, 61)] + \
+    [f'"{NO_LABEL_COLUMN}"'] + [f'"{s}"' for s in sorted(SPORTS)]
+ORACLE["summary_stats"] = f"""
+SELECT "column", count(x) AS "count", round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std,
+       round(min(x), 6) AS "min", round(quantile_cont(x, 0.25), 6) AS p25,
+       round(quantile_cont(x, 0.5), 6) AS p50, round(quantile_cont(x, 0.75), 6) AS p75,
+       round(max(x), 6) AS "max"
+FROM (UNPIVOT (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _MATRIX_COLS)} FROM ({MATRIX}))
+      ON {', '.join(_MATRIX_COLS)} INTO NAME "column" VALUE x)
+GROUP BY "column" """
+
+ORACLE["train_test_split"] = with_(*LABEL_CTES, HOURLY_SPORT, SPLIT) + 'SELECT "TS", "BPM", split FROM split_rows'
+_FEATS = ['"time"'] + [f'"Min - {j}"' for j in range(1, 61)] + \
+    [f'"{NO_LABEL_COLUMN}"'] + [f'"{s}"' for s in sorted(SPORTS)]
+_SPLIT_MATRIX = (with_(*LABEL_CTES, HOURLY_SPORT, SPLIT,
+                       lag_ctes("split_rows", '"TS"', '"BPM"', 60, HOUR_US)) +
+                 f"""SELECT split, {_TIME}, "BPM", {lag_list(60)}, {one_hots()} FROM lagged
+                     WHERE {complete(60, '"BPM"')}""")
+ORACLE["zscore_features"] = f"""
+SELECT "column", round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std
+FROM (UNPIVOT (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _FEATS)}
+               FROM ({_SPLIT_MATRIX}) WHERE split = 'train')
+      ON {', '.join(_FEATS)} INTO NAME "column" VALUE x)
+GROUP BY "column" """

@@ -1 +1,109 @@
-"""(filled below)"""
+"""Registered queries: lag features, training matrix and model."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pulsekit.functions import (NO_LABEL_COLUMN, SPORTS, clock_text, epoch_micros, one_hot_columns,
+                                time_as_int, ts_from_day_hour)
+from pulsekit.operators import features as FT
+from pulsekit.operators import model as M
+from pulsekit.operators import stats as ST
+from pulsekit.plans.context import Inputs
+from pulsekit.plans.queries import query
+
+HOUR_S = 3600
+N_LAGS = 60
+TYPE_LAGS = 6
+
+
+@query
+def one_hot_sport(spark, sf_dir):
+    lab = Inputs(spark, sf_dir).labelled
+    return lab.select("event_id", *one_hot_columns("sport", SPORTS))
+
+
+@query
+def lag_features(spark, sf_dir):
+    s = Inputs(spark, sf_dir).hourly_series()
+    return FT.lag_features(s, "TS", "BPM", n_lags=N_LAGS, unit_seconds=HOUR_S)
+
+
+@query
+def lag_features_frame(spark, sf_dir):
+    s = Inputs(spark, sf_dir).hourly_series()
+    return FT.lag_features_frame(s, "TS", "BPM", n_lags=N_LAGS, unit_seconds=HOUR_S)
+
+
+@query
+def lag_features_by_type(spark, sf_dir):
+    """One hourly series per event type (these have real gaps), 6 lags each."""
+    i = Inputs(spark, sf_dir)
+    per_type = (i.events.select("event_type", ts_from_day_hour(F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH")).alias("TS"),
+                                F.floor("value").cast("int").alias("v"))
+                .groupBy("event_type", "TS").agg(F.max("v").alias("BPM")))
+    return FT.lag_features(per_type, "TS", "BPM", n_lags=TYPE_LAGS, unit_seconds=HOUR_S,
+                           series=["event_type"], bucket_units=24)
+
+
+def _matrix(spark, sf_dir):
+    return FT.training_matrix(Inputs(spark, sf_dir).hourly_series(labelled=True),
+                              n_lags=N_LAGS, unit_seconds=HOUR_S)
+
+
+@query
+def training_matrix(spark, sf_dir):
+    return _matrix(spark, sf_dir)
+
+
+@query
+def persistence_mae(spark, sf_dir):
+    return ST.mean_absolute_error(_matrix(spark, sf_dir), "BPM", "Min - 1")
+
+
+@query
+def summary_stats(spark, sf_dir):
+    m = _matrix(spark, sf_dir)
+    out = ST.summary_stats(m, m.columns)
+    return out.select("column", "count", *[F.round(c, 6).alias(c) for c in
+                                             ("mean", "std", "min", "p25", "p50", "p75", "max")])
+
+
+def _split_series(spark, sf_dir):
+    s = Inputs(spark, sf_dir).hourly_series(labelled=True)
+    hour_key = F.floor(epoch_micros("TS") / F.lit(HOUR_S * 1_000_000))
+    return s.withColumn("split", M.split_column(hour_key))
+
+
+@query
+def train_test_split(spark, sf_dir):
+    return _split_series(spark, sf_dir).select("TS", "BPM", "split")
+
+
+def _split_matrix(spark, sf_dir):
+    s = _split_series(spark, sf_dir)
+    lagged = FT.lag_features(s, "TS", "BPM", n_lags=N_LAGS, unit_seconds=HOUR_S)
+    return lagged.select("split", time_as_int(clock_text("TS")).alias("time"),
+                         F.col("BPM").cast("int").alias("BPM"),
+                         *[F.col(f"`{n}`") for n in FT.lag_names(N_LAGS)],
+                         *one_hot_columns("sport", SPORTS))
+
+
+@query
+def zscore_features(spark, sf_dir):
+    """Mean and population std of every feature, fitted on training rows only."""
+    m = _split_matrix(spark, sf_dir)
+    feats = [c for c in m.columns if c not in ("split", "BPM")]
+    fit = M.standardiser_fit(m.filter(F.col("split") == "train"), feats)
+    return fit.select("column", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
+@query
+def bpm_predict(spark, sf_dir):
+    """Train on the training rows, score the test rows (rows-only check)."""
+    m = _split_matrix(spark, sf_dir)
+    feats = [c for c in m.columns if c not in ("split", "BPM")]
+    model, names = M.fit_regressor(m.filter(F.col("split") == "train"), feats,
+                                   max_iter=(10,), max_depth=(3, 5))
+    onehots = [NO_LABEL_COLUMN, *SPORTS]
+    return M.score(model, names, m.filter(F.col("split") == "test"), passthrough=onehots)
