@@ -50,12 +50,22 @@ def activity_minutes(intervals: DataFrame, keep: Sequence[str] = (),
     exploded = (intervals
                 .filter(F.col("minutes") > 0)
                 .select(*keep, "activity_id", "activity", "start", "date",
-                        F.explode(F.sequence(F.lit(0), F.col("minutes") - 1)).alias("offset"))
-                .withColumn("minute", F.expr("timestampadd(MINUTE, offset, start)")))
-    day = F.col("date") if midnight == "wrap" else F.date_format("minute", "yyyy-MM-dd")
+                        (F.hour("start") * 60 + F.minute("start")).alias("_m0"),
+                        F.explode(F.sequence(F.lit(0), F.col("minutes") - 1)).alias("_o")))
+    # minute of the start day; the clock text is built arithmetically (cheaper
+    # than formatting a timestamp per exploded row)
+    m = F.col("_m0") + F.col("_o")
+    clock = m % 1440
+    text = F.concat(F.lpad((clock / 60).cast("int").cast("string"), 2, "0"), F.lit(":"),
+                    F.lpad((clock % 60).cast("string"), 2, "0"), F.lit(":00"))
+    if midnight == "wrap":
+        day = F.col("date")
+    else:
+        days = (m / 1440).cast("int")
+        day = F.when(days == 0, F.col("date")).otherwise(
+            F.date_format(F.date_add(F.to_date("date"), days), "yyyy-MM-dd"))
     return exploded.select(*keep, "activity_id", "activity", "start",
-                           day.alias("date"),
-                           F.date_format("minute", "HH:mm:ss").alias("time"))
+                           day.alias("date"), text.alias("time"))
 
 
 def label_fanout(samples: DataFrame, minutes: DataFrame, keys: Sequence[str] = (),

@@ -16,7 +16,7 @@ from pulsekit.session import scratch_path
 from pulsekit.sources import incremental as INC
 from pulsekit.sources import writers as W
 from pulsekit.sources.readers import parse_tcx, read_csv
-from pulsekit.streaming.ingest import ingest_day_documents
+from pulsekit.streaming.ingest import ingest_day_documents, landed_lines
 
 CUTOFF = "2024-01-20"
 RANGE = ("2024-01-10", "2024-01-20")
@@ -135,11 +135,14 @@ def partitioned_by_sport(spark, sf_dir):
 
 @query
 def stream_ingest(spark, sf_dir):
-    """Day documents landed as JSON-lines files per user, ingested by a
-    file-source stream (availableNow) into Parquet; the sink is returned."""
-    docs = SI.day_documents(Inputs(spark, sf_dir).samples)
+    """Day documents landed as JSON lines (one folder per day, the user key in
+    each record), ingested by a file-source stream (availableNow) into
+    Parquet; the sink is returned."""
+    samples = Inputs(spark, sf_dir).samples
+    docs = SI.day_documents(samples.withColumn("day", F.col("date")), extra_keys=["day"])
     landing = scratch_path(spark, "landing-heart")
-    W.land_documents(docs.select("user_id", "document"), landing, by=["user_id"])
+    W.land_documents(docs.select("day", landed_lines("user_id", "document").alias("value")),
+                     landing, by=["day"])
     sink, ckpt = scratch_path(spark, "heart-sink"), scratch_path(spark, "heart-ckpt")
     ingest_day_documents(spark, landing, sink, ckpt)
     return spark.read.parquet(sink).select("user_id", "time", "value", "date", "HOUR")

@@ -65,10 +65,12 @@ def activity_log_documents(events: DataFrame) -> DataFrame:
     return rec.select("user_id", F.concat(F.lit("["), F.to_json(body), F.lit("]")).alias("document"))
 
 
-def day_documents(samples: DataFrame) -> DataFrame:
-    """``user_id, part, document``: day-document JSON text per (user, day, part)."""
+def day_documents(samples: DataFrame, extra_keys: list[str] | None = None) -> DataFrame:
+    """``user_id, part[, extra keys], document``: day-document JSON text per
+    (user, day, part)."""
+    extra = list(extra_keys or [])
     part = F.floor(F.col("event_id") / F.lit(DOC_SPAN)).alias("part")
-    grouped = samples.groupBy("user_id", "date", part).agg(
+    grouped = samples.groupBy("user_id", "date", part, *extra).agg(
         F.sort_array(F.collect_list(F.struct("time", F.col("value").cast("bigint").alias("value"))))
         .alias("dataset"))
     doc = F.struct(
@@ -77,7 +79,7 @@ def day_documents(samples: DataFrame) -> DataFrame:
         .alias("activities-heart"),
         F.struct(F.col("dataset"), F.lit(1).alias("datasetInterval"),
                  F.lit("minute").alias("datasetType")).alias("activities-heart-intraday"))
-    return grouped.select("user_id", "part",
+    return grouped.select("user_id", "part", *extra,
                           F.concat(F.lit("["), F.to_json(doc), F.lit("]")).alias("document"))
 
 

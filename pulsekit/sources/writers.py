@@ -29,8 +29,9 @@ def upsert_days(df: DataFrame, path: str, day_col: str = "date", fmt: str = "par
 
 
 def land_documents(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "append") -> None:
-    """Land raw documents (one JSON value per line) with their keys."""
+    """Land raw text records (one JSON value per line), one folder per value
+    of ``by``; ``df`` holds ``by`` plus exactly one text column."""
     writer = df.write.mode(mode)
     if by:
         writer = writer.partitionBy(*by)
-    writer.text(path) if len(df.columns) - len(by) == 1 else writer.parquet(path)
+    writer.text(path)

@@ -11,31 +11,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsekit.operators.samples import flatten_day_documents
 from pulsekit.sources import schemas as S
 
 
-def day_document_stream(spark: SparkSession, landing_dir: str, multiline: bool = False,
+# A landed record: the source key plus the day document as delivered.
+LANDED = T.StructType([T.StructField("user_id", T.LongType()),
+                       T.StructField("document", T.ArrayType(S.DAY_DOCUMENT))])
+
+
+def landed_lines(user_col: str, document_col: str):
+    """One JSON line per landed document: ``{"user_id": .., "document": [..]}``
+    (the document text is embedded as is, not re-encoded)."""
+    return F.concat(F.lit('{"user_id":'), F.col(user_col).cast("string"),
+                    F.lit(',"document":'), F.col(document_col), F.lit("}"))
+
+
+def day_document_stream(spark: SparkSession, landing_dir: str,
                         max_files: int | None = None) -> DataFrame:
-    """Stream of landed day documents; ``multiline`` for one document per file,
-    otherwise one document per line.  ``user_id`` and ``file_name`` come from
-    the file path (``.../user_id=<n>/<file>``)."""
-    reader = spark.readStream.schema(S.DAY_DOCUMENT).option("multiLine", multiline)
+    """Stream of landed records (JSON lines), one row per day document, with
+    the landed file's name."""
+    reader = spark.readStream.schema(LANDED)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     raw = reader.json(landing_dir)
-    return (raw.withColumn("file_name", F.col("_metadata.file_name"))
-            .withColumn("user_id", F.regexp_extract(F.col("_metadata.file_path"),
-                                                    r"user_id=(\d+)", 1).try_cast("bigint")))
+    return raw.select("user_id", F.col("_metadata.file_name").alias("file_name"),
+                      F.explode("document").alias("d")).select("user_id", "file_name", "d.*")
 
 
 def ingest_day_documents(spark: SparkSession, landing_dir: str, sink_dir: str,
-                         checkpoint_dir: str, multiline: bool = False) -> StreamingQuery:
+                         checkpoint_dir: str) -> StreamingQuery:
     """Flatten every new landed document into the Parquet sink; runs until the
     files present at start are done, then stops."""
-    flat = flatten_day_documents(day_document_stream(spark, landing_dir, multiline),
+    flat = flatten_day_documents(day_document_stream(spark, landing_dir),
                                  keep=["user_id", "file_name"])
     query = (flat.writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", checkpoint_dir)
