@@ -80,7 +80,8 @@ def fit_regressor(train: DataFrame, features: Sequence[str], label: str = "BPM",
                            F.col(f"`{label}`").cast("double").alias("label"))
     assembler = VectorAssembler(inputCols=list(names.values()), outputCol="raw", handleInvalid="keep")
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", lossType="absolute", seed=seed)
+    gbt = GBTRegressor(featuresCol="features", labelCol="label", lossType="absolute", seed=seed,
+                       checkpointInterval=10)
     grid = (ParamGridBuilder().addGrid(gbt.maxIter, list(max_iter))
             .addGrid(gbt.maxDepth, list(max_depth)).build())
     tvs = TrainValidationSplit(estimator=Pipeline(stages=[assembler, scaler, gbt]),

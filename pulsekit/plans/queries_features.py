@@ -11,6 +11,7 @@ from pulsekit.operators import model as M
 from pulsekit.operators import stats as ST
 from pulsekit.plans.context import Inputs
 from pulsekit.plans.queries import query
+from pulsekit.session import checkpoint_root
 
 HOUR_S = 3600
 N_LAGS = 60
@@ -101,6 +102,7 @@ def zscore_features(spark, sf_dir):
 @query
 def bpm_predict(spark, sf_dir):
     """Train on the training rows, score the test rows (rows-only check)."""
+    checkpoint_root(spark)  # boosting cuts its lineage in the shared checkpoint folder
     m = _split_matrix(spark, sf_dir)
     feats = [c for c in m.columns if c not in ("split", "BPM")]
     model, names = M.fit_regressor(m.filter(F.col("split") == "train"), feats,
