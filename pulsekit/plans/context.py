@@ -39,9 +39,15 @@ class Inputs:
         return (docs.select("user_id", F.explode(parse_json_array("document", S.ACTIVITY_LOG)).alias("r"))
                 .select("user_id", "r.*"))
 
+    @cached_property
+    def activity_records(self) -> DataFrame:
+        """The activity log as landed typed rows (Parquet between steps): the
+        labelling chain reads these, not the JSON text again."""
+        return SI.activity_log_records(self.events)
+
     @cached_property
     def intervals(self) -> DataFrame:
-        return L.activity_intervals(self.activity_log, keep=USER)
+        return L.activity_intervals(self.activity_records, keep=USER)
 
     def minutes(self, midnight: str = "wrap") -> DataFrame:
         return L.activity_minutes(self.intervals, keep=USER, midnight=midnight)

@@ -112,6 +112,10 @@ SELECT user_id, event_id, "time", value, "date", "HOUR", coalesce(activity, '{NO
 WHERE rn = 1"""
 ORACLE["daily_stats_sport"] = with_(*LABEL_CTES) + _stats("labelled", ['"date"'], label=True)
 ORACLE["hourly_stats_sport"] = with_(*LABEL_CTES) + _stats("labelled", ['"date"', '"HOUR"'], label=True)
+ORACLE["first_sample_per_day"] = with_(SAMPLES) + """
+SELECT user_id, "date", "time", event_id, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, "date" ORDER BY "time", event_id) AS rn FROM samples)
+WHERE rn = 1"""
 ORACLE["labels_per_sport"] = with_(*LABEL_CTES) + "SELECT sport, count(*) AS n_samples FROM labelled GROUP BY sport"
 
 _MARK = f"CASE WHEN sport <> '{NO_LABEL}' THEN 200 ELSE 0 END AS sport_marker"

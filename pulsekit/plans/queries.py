@@ -99,7 +99,8 @@ def per_user_hourly(spark, sf_dir):
 
 @query
 def activity_intervals(spark, sf_dir):
-    return Inputs(spark, sf_dir).intervals
+    """Activity-log JSON documents, parsed with the explicit schema -> intervals."""
+    return L.activity_intervals(Inputs(spark, sf_dir).activity_log, keep=USER)
 
 
 @query
@@ -153,6 +154,15 @@ def hourly_stats_sport(spark, sf_dir):
     return Inputs(spark, sf_dir).hourly_sport
 
 
+@query
+def first_sample_per_day(spark, sf_dir):
+    """The first record of each user's day in a defined order (time, then id)."""
+    s = Inputs(spark, sf_dir).samples
+    return (s.groupBy("user_id", "date")
+            .agg(F.min_by(F.struct("time", "event_id", "value"), F.struct("time", "event_id")).alias("r"))
+            .select("user_id", "date", "r.time", "r.event_id", "r.value"))
+
+
 @query
 def labels_per_sport(spark, sf_dir):
     """How many samples each label got (last wins)."""

@@ -16,7 +16,7 @@ from pulsekit.session import scratch_path
 from pulsekit.sources import incremental as INC
 from pulsekit.sources import writers as W
 from pulsekit.sources.readers import parse_tcx, read_csv
-from pulsekit.streaming.ingest import ingest_day_documents, landed_lines
+from pulsekit.streaming.ingest import SINK_SCHEMA, ingest_day_documents, landed_lines
 
 CUTOFF = "2024-01-20"
 RANGE = ("2024-01-10", "2024-01-20")
@@ -145,7 +145,7 @@ def stream_ingest(spark, sf_dir):
                      landing, by=["day"])
     sink, ckpt = scratch_path(spark, "heart-sink"), scratch_path(spark, "heart-ckpt")
     ingest_day_documents(spark, landing, sink, ckpt)
-    return spark.read.parquet(sink).select("user_id", "time", "value", "date", "HOUR")
+    return spark.read.schema(SINK_SCHEMA).parquet(sink).select("user_id", "time", "value", "date", "HOUR")
 
 
 from pulsekit.plans.queries import REGISTRY  # noqa: E402

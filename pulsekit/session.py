@@ -16,10 +16,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings that matter at any scale: adaptive execution (runtime partition
-# coalescing, skew-join splitting, broadcast only when the runtime size is
-# under the threshold), NTZ-friendly UTC zone, no UI server.
+# coalescing, skew-join splitting), NTZ-friendly UTC zone, no UI server.
+# Broadcasts are decided only on measured sizes: the static planner's
+# estimate ignores row growth (an explode of activities into minutes is
+# ~50x its input), so static broadcasting is off and AQE broadcasts a join
+# side only when its materialised shuffle output is under the threshold.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",

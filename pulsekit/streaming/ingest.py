@@ -23,6 +23,14 @@ LANDED = T.StructType([T.StructField("user_id", T.LongType()),
                        T.StructField("document", T.ArrayType(S.DAY_DOCUMENT))])
 
 
+SINK_SCHEMA = T.StructType([T.StructField("user_id", T.LongType()),
+                            T.StructField("file_name", T.StringType()),
+                            T.StructField("time", T.StringType()),
+                            T.StructField("value", T.IntegerType()),
+                            T.StructField("HOUR", T.StringType()),
+                            T.StructField("date", T.StringType())])
+
+
 def landed_lines(user_col: str, document_col: str):
     """One JSON line per landed document: ``{"user_id": .., "document": [..]}``
     (the document text is embedded as is, not re-encoded)."""
@@ -44,11 +52,12 @@ def day_document_stream(spark: SparkSession, landing_dir: str,
 
 def ingest_day_documents(spark: SparkSession, landing_dir: str, sink_dir: str,
                          checkpoint_dir: str) -> StreamingQuery:
-    """Flatten every new landed document into the Parquet sink; runs until the
-    files present at start are done, then stops."""
+    """Flatten every new landed document into the Parquet sink (one folder per
+    day); runs until the files present at start are done, then stops.  Read
+    the sink with ``SINK_SCHEMA`` so ``date`` stays text."""
     flat = flatten_day_documents(day_document_stream(spark, landing_dir),
                                  keep=["user_id", "file_name"])
-    query = (flat.writeStream.format("parquet").outputMode("append")
+    query = (flat.writeStream.format("parquet").outputMode("append").partitionBy("date")
              .option("checkpointLocation", checkpoint_dir)
              .trigger(availableNow=True).start(sink_dir))
     query.awaitTermination()

@@ -3,7 +3,7 @@
 import json
 import os
 
-from pulsekit.streaming.ingest import ingest_day_documents
+from pulsekit.streaming.ingest import SINK_SCHEMA, ingest_day_documents
 
 
 def _line(user, day, points):
@@ -19,10 +19,10 @@ def test_available_now_picks_up_only_new_files(spark, tmp_dir):
         f.write(_line(1, "2021-08-01", [("10:00:00", 60), ("10:01:00", 61)]) + "\n")
         f.write(_line(2, "2021-08-01", [("11:00:00", 70)]) + "\n")
     ingest_day_documents(spark, landing, sink, ckpt)
-    assert spark.read.parquet(sink).count() == 3
+    assert spark.read.schema(SINK_SCHEMA).parquet(sink).count() == 3
     with open(os.path.join(landing, "b.json"), "w") as f:
         f.write(_line(1, "2021-08-02", [("00:00:00", 50)]) + "\n")
     ingest_day_documents(spark, landing, sink, ckpt)
-    out = spark.read.parquet(sink)
+    out = spark.read.schema(SINK_SCHEMA).parquet(sink)
     assert out.count() == 4
     assert sorted(r.file_name for r in out.select("file_name").distinct().collect()) == ["a.json", "b.json"]
