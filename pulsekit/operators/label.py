@@ -37,17 +37,11 @@ def activity_intervals(log: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def activity_minutes(intervals: DataFrame, keep: Sequence[str] = (),
-                     midnight: str = "wrap", spread: int | None = None) -> DataFrame:
-    """One row per labelled minute: ``keep..., activity_id, activity, start, date, time``.
-
-    ``sequence`` is guarded by ``minutes > 0`` (a sequence from 0 to -1 would
-    count down).  The explosion is a per-row generator, but it multiplies rows
-    by the mean duration (~50-100x): the compact activity rows are first spread
-    round-robin over ``spread`` partitions (default: the session's shuffle
-    partitions) so no single input split explodes in one task.  The explicit
-    count keeps AQE from coalescing the spread back.
-    """
+def _minute_keys(intervals: DataFrame, keep: Sequence[str], midnight: str,
+                 spread: int | None) -> DataFrame:
+    """Exploded minutes with integer keys: ``_day`` (days since 1970) and
+    ``_mod`` (minute of the day).  Joins and reductions run on these; text is
+    only built where a result shows it."""
     if midnight not in ("wrap", "carry"):
         raise ValueError("midnight must be 'wrap' or 'carry'")
     if spread is None:
@@ -56,57 +50,80 @@ def activity_minutes(intervals: DataFrame, keep: Sequence[str] = (),
                 .filter(F.col("minutes") > 0)
                 .repartition(spread)
                 .select(*keep, "activity_id", "activity", "start", "date",
+                        F.unix_date(F.to_date("date", "yyyy-MM-dd")).alias("_day0"),
                         (F.hour("start") * 60 + F.minute("start")).alias("_m0"),
                         F.explode(F.sequence(F.lit(0), F.col("minutes") - 1)).alias("_o")))
-    # minute of the start day; the clock text is built arithmetically (cheaper
-    # than formatting a timestamp per exploded row)
     m = F.col("_m0") + F.col("_o")
-    clock = m % 1440
-    text = F.concat(F.lpad((clock / 60).cast("int").cast("string"), 2, "0"), F.lit(":"),
-                    F.lpad((clock % 60).cast("string"), 2, "0"), F.lit(":00"))
-    if midnight == "wrap":
-        day = F.col("date")
-    else:
-        days = (m / 1440).cast("int")
-        day = F.when(days == 0, F.col("date")).otherwise(
-            F.date_format(F.date_add(F.to_date("date"), days), "yyyy-MM-dd"))
-    return exploded.select(*keep, "activity_id", "activity", "start",
-                           day.alias("date"), text.alias("time"))
-
-
-def label_fanout(samples: DataFrame, minutes: DataFrame, keys: Sequence[str] = (),
-                 label: str = "sport") -> DataFrame:
+    day = F.col("_day0") if midnight == "wrap" else F.col("_day0") + (m / 1440).cast("int")
+    return exploded.select(*keep, "activity_id", "activity", "start", "date",
+                           day.alias("_day"), (m % 1440).alias("_mod"))
+
+
+def _clock_text(mod):
+    return F.concat(F.lpad((mod / 60).cast("int").cast("string"), 2, "0"), F.lit(":"),
+                    F.lpad((mod % 60).cast("string"), 2, "0"), F.lit(":00"))
+
+
+def sample_keys(samples: DataFrame) -> DataFrame:
+    """``_day`` / ``_mod`` of each sample from its text; a time whose seconds
+    are not ``00`` gets a null minute and so never matches (equal-text rule)."""
+    t = F.col("time")
+    mod = F.when((F.length(t) == 8) & (F.substring(t, 7, 2) == "00"),
+                 F.substring(t, 1, 2).try_cast("int") * 60 + F.substring(t, 4, 2).try_cast("int"))
+    return (samples.withColumn("_day", F.unix_date(F.to_date("date", "yyyy-MM-dd")))
+            .withColumn("_mod", mod))
+
+
+def activity_minutes(intervals: DataFrame, keep: Sequence[str] = (),
+                     midnight: str = "wrap", spread: int | None = None) -> DataFrame:
+    """One row per labelled minute: ``keep..., activity_id, activity, start, date, time``.
+
+    ``sequence`` is guarded by ``minutes > 0`` (a sequence from 0 to -1 would
+    count down).  The explosion is a per-row generator, but it multiplies rows
+    by the mean duration (~50-100x): the compact activity rows are first spread
+    round-robin over ``spread`` partitions (default: the session's shuffle
+    partitions) so no single input split explodes in one task.  The explicit
+    count keeps AQE from coalescing the spread back.
+    """
+    mins = _minute_keys(intervals, keep, midnight, spread)
+    day = F.col("date") if midnight == "wrap" else F.date_format(F.date_from_unix_date("_day"), "yyyy-MM-dd")
+    return mins.select(*keep, "activity_id", "activity", "start", day.alias("date"),
+                       _clock_text(F.col("_mod")).alias("time"))
+
+
+def label_fanout(samples: DataFrame, intervals: DataFrame, keys: Sequence[str] = (),
+                 label: str = "sport", midnight: str = "wrap") -> DataFrame:
     """Every sample, once per activity covering its minute (unmatched -> "0").
 
     Overlapping activities duplicate the sample, as a right merge of minutes
-    with samples does.  Left outer equi-join on (keys, date, time); Spark picks
-    broadcast-hash when the minutes side is small at runtime (AQE), otherwise
-    sort-merge, and AQE splits skewed sample partitions.
+    with samples does.  Left outer equi-join on (keys, day, minute); AQE
+    broadcasts the minutes side only when its measured size is small,
+    otherwise sort-merge, and splits skewed sample partitions.
     """
-    on = [*keys, "date", "time"]
-    right = minutes.select(*on, F.col("activity").alias("_label"))
-    return (samples.join(right, on=on, how="left")
-            .withColumn(label, F.coalesce(F.col("_label"), F.lit(NO_LABEL)))
-            .drop("_label"))
+    on = [*keys, "_day", "_mod"]
+    right = _minute_keys(intervals, keys, midnight, None).select(*on, F.col("activity").alias("_label"))
+    return (sample_keys(samples).join(right, on=on, how="left")
+            .select(*samples.columns, F.coalesce(F.col("_label"), F.lit(NO_LABEL)).alias(label)))
 
 
-def last_wins_minutes(minutes: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """One activity per (keys, date, time): the one with the greatest (start, id).
+def last_wins_minutes(intervals: DataFrame, keys: Sequence[str] = (),
+                      midnight: str = "wrap") -> DataFrame:
+    """One activity per (keys, day, minute): the one with the greatest (start, id).
 
-    ``max_by`` is a declarative aggregate, so it is combined map-side before
-    the shuffle and keeps one row per key in memory.
+    ``max_by`` is combined map-side before the shuffle and keeps one row per
+    key; its output is hash-partitioned on the join keys, so the join with the
+    samples reuses it and only the samples move.
     """
-    return (minutes.groupBy(*keys, "date", "time")
+    return (_minute_keys(intervals, keys, midnight, None).groupBy(*keys, "_day", "_mod")
             .agg(F.max_by("activity", F.struct("start", "activity_id")).alias("_label")))
 
 
-def label_last_wins(samples: DataFrame, minutes: DataFrame, keys: Sequence[str] = (),
-                    label: str = "sport") -> DataFrame:
+def label_last_wins(samples: DataFrame, intervals: DataFrame, keys: Sequence[str] = (),
+                    label: str = "sport", midnight: str = "wrap") -> DataFrame:
     """Every sample exactly once; the later activity wins where several cover it."""
-    on = [*keys, "date", "time"]
-    return (samples.join(last_wins_minutes(minutes, keys), on=on, how="left")
-            .withColumn(label, F.coalesce(F.col("_label"), F.lit(NO_LABEL)))
-            .drop("_label"))
+    on = [*keys, "_day", "_mod"]
+    return (sample_keys(samples).join(last_wins_minutes(intervals, keys, midnight), on=on, how="left")
+            .select(*samples.columns, F.coalesce(F.col("_label"), F.lit(NO_LABEL)).alias(label)))
 
 
 def label_range_join(samples: DataFrame, intervals: DataFrame, keys: Sequence[str],
@@ -124,6 +141,9 @@ def label_range_join(samples: DataFrame, intervals: DataFrame, keys: Sequence[st
     keys, so it reuses the join's partitioning (no further shuffle).
     ``row_id`` must identify a sample.
     """
+    missing = [c for c in row_id if c not in samples.columns]
+    if missing:
+        raise ValueError(f"row_id columns not in samples: {missing}")
     bucket_us = bucket_minutes * 60 * 1_000_000
     ts = F.to_timestamp_ntz(F.concat("date", "time"), F.lit("yyyy-MM-ddHH:mm:ss"))
     left = (samples
@@ -143,9 +163,6 @@ def label_range_join(samples: DataFrame, intervals: DataFrame, keys: Sequence[st
     order = F.when(acts["activity"].isNotNull(), F.struct(acts["_start"], acts["activity_id"]))
     out = (joined.groupBy(*sample_cols)
            .agg(F.max_by(acts["activity"], order).alias("_label")))
-    missing = [c for c in row_id if c not in samples.columns]
-    if missing:
-        raise ValueError(f"row_id columns not in samples: {missing}")
     return (out.withColumn(label, F.coalesce(F.col("_label"), F.lit(NO_LABEL)))
             .drop("_label", "_bucket"))
 

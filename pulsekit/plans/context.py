@@ -54,7 +54,7 @@ class Inputs:
 
     @cached_property
     def labelled(self) -> DataFrame:
-        return L.label_last_wins(self.samples, self.minutes("wrap"), keys=USER)
+        return L.label_last_wins(self.samples, self.intervals, keys=USER)
 
     @cached_property
     def hourly_sport(self) -> DataFrame:

@@ -124,13 +124,13 @@ def activities_with_samples(spark, sf_dir):
 @query
 def label_fanout(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return L.label_fanout(i.samples, i.minutes("wrap"), keys=USER)
+    return L.label_fanout(i.samples, i.intervals, keys=USER)
 
 
 @query
 def label_fanout_carry(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return L.label_fanout(i.samples, i.minutes("carry"), keys=USER)
+    return L.label_fanout(i.samples, i.intervals, keys=USER, midnight="carry")
 
 
 @query

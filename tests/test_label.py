@@ -54,10 +54,9 @@ def test_overlap_fanout_vs_last_wins(spark):
                            (1, "2021-08-01", "10:03:00", 95), (1, "2021-08-01", "10:30:00", 70),
                            (2, "2021-08-01", "10:02:00", 60)])
     iv = L.activity_intervals(log, ["user_id"])
-    mins = L.activity_minutes(iv, ["user_id"])
-    fan = L.label_fanout(smp, mins, keys=["user_id"])
+    fan = L.label_fanout(smp, iv, keys=["user_id"])
     assert fan.count() == 5 + 2 + 1  # 10:02 matches three activities, 10:03 two
-    last = {(r.user_id, r.time): r.sport for r in L.label_last_wins(smp, mins, keys=["user_id"]).collect()}
+    last = {(r.user_id, r.time): r.sport for r in L.label_last_wins(smp, iv, keys=["user_id"]).collect()}
     assert last == {(1, "10:01:00"): "Walk", (1, "10:02:00"): "Circuit Training",
                     (1, "10:03:00"): "Run", (1, "10:30:00"): "0", (2, "10:02:00"): "0"}
     rng = {(r.user_id, r.time): r.sport
@@ -70,9 +69,9 @@ def test_overlap_fanout_vs_last_wins(spark):
 def test_seconds_not_zero_never_labelled_and_no_activity(spark):
     smp = _samples(spark, [(1, "2021-08-01", "10:00:30", 80)])
     log = _log(spark, [(1, 1, "Run", 5 * 60_000, "2021-08-01T10:00:00.000+02:00")])
-    mins = L.activity_minutes(L.activity_intervals(log, ["user_id"]), ["user_id"])
-    assert [r.sport for r in L.label_last_wins(smp, mins, ["user_id"]).collect()] == ["0"]
-    empty = mins.limit(0)
+    iv = L.activity_intervals(log, ["user_id"])
+    assert [r.sport for r in L.label_last_wins(smp, iv, ["user_id"]).collect()] == ["0"]
+    empty = iv.limit(0)
     out = L.label_last_wins(_samples(spark, [(1, "2021-08-01", "10:00:00", 80)]), empty, ["user_id"])
     assert "sport" in out.columns and [r.sport for r in out.collect()] == ["0"]
 
