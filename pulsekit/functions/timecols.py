@@ -4,6 +4,11 @@ Timestamps stay ``TIMESTAMP_NTZ`` (local wall clock) end to end, so nothing
 depends on the session time zone.  ISO start texts carry an offset
 (``...T19:54:48.000+02:00``); the wall clock wanted is the first 19
 characters, not the UTC instant.
+
+Text is parsed tolerantly: with ANSI mode on, ``to_timestamp`` / ``to_date``
+fail the whole job on one malformed record; here fields are cut by position
+and assembled with ``try_make_timestamp_ntz`` / ``try_to_date``, so a bad
+text gives null (and never a zone shift).
 """
 
 from __future__ import annotations
@@ -28,14 +33,30 @@ def day_of_iso(iso_col) -> Column:
     return F.split(_c(iso_col), "T").getItem(0)
 
 
+def _field(text: Column, pos: int, length: int) -> Column:
+    return F.substring(text, pos, length).try_cast("int")
+
+
+def _ymd(text: Column, hour: Column, minute: Column, second: Column) -> Column:
+    return F.try_make_timestamp_ntz(_field(text, 1, 4), _field(text, 6, 2), _field(text, 9, 2),
+                                    hour, minute, second)
+
+
 def local_wall_clock(iso_col) -> Column:
     """ISO text with zone offset -> local wall-clock TIMESTAMP_NTZ (seconds)."""
-    return F.to_timestamp_ntz(F.substring(_c(iso_col), 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
+    s = _c(iso_col)
+    return _ymd(s, _field(s, 12, 2), _field(s, 15, 2), _field(s, 18, 2))
 
 
 def start_minute(iso_col) -> Column:
     """ISO text -> local wall clock cut to the minute (``HH:MM:00``)."""
-    return F.to_timestamp_ntz(F.substring(_c(iso_col), 1, 16), F.lit("yyyy-MM-dd'T'HH:mm"))
+    s = _c(iso_col)
+    return _ymd(s, _field(s, 12, 2), _field(s, 15, 2), F.lit(0))
+
+
+def day_number(date_col) -> Column:
+    """``yyyy-MM-dd`` text -> days since 1970-01-01 (null when malformed)."""
+    return F.unix_date(F.try_to_date(_c(date_col), "yyyy-MM-dd"))
 
 
 def whole_minutes(ms_col) -> Column:
@@ -58,11 +79,14 @@ def epoch_micros(ntz_col) -> Column:
 
 
 def ts_from_day_hour(date_col, hour_col) -> Column:
-    return F.to_timestamp_ntz(F.concat(_c(date_col), _c(hour_col)), F.lit("yyyy-MM-ddHH"))
+    """Day text + ``HH`` text -> TIMESTAMP_NTZ at the full hour."""
+    return _ymd(_c(date_col), _c(hour_col).try_cast("int"), F.lit(0), F.lit(0))
 
 
 def ts_from_day_time(date_col, time_col) -> Column:
-    return F.to_timestamp_ntz(F.concat(_c(date_col), _c(time_col)), F.lit("yyyy-MM-ddHH:mm:ss"))
+    """Day text + ``HH:mm:ss`` text -> TIMESTAMP_NTZ."""
+    t = _c(time_col)
+    return _ymd(_c(date_col), _field(t, 1, 2), _field(t, 4, 2), _field(t, 7, 2))
 
 
 def landing_key(stamp_col) -> Column:

@@ -22,7 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.functions import NO_LABEL, day_of_iso, start_minute, whole_minutes
+from pulsekit.functions import (NO_LABEL, day_number, day_of_iso, start_minute, ts_from_day_time,
+                                whole_minutes)
 
 
 def activity_intervals(log: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -50,7 +51,7 @@ def _minute_keys(intervals: DataFrame, keep: Sequence[str], midnight: str,
                 .filter(F.col("minutes") > 0)
                 .repartition(spread)
                 .select(*keep, "activity_id", "activity", "start", "date",
-                        F.unix_date(F.to_date("date", "yyyy-MM-dd")).alias("_day0"),
+                        day_number("date").alias("_day0"),
                         (F.hour("start") * 60 + F.minute("start")).alias("_m0"),
                         F.explode(F.sequence(F.lit(0), F.col("minutes") - 1)).alias("_o")))
     m = F.col("_m0") + F.col("_o")
@@ -70,7 +71,7 @@ def sample_keys(samples: DataFrame) -> DataFrame:
     t = F.col("time")
     mod = F.when((F.length(t) == 8) & (F.substring(t, 7, 2) == "00"),
                  F.substring(t, 1, 2).try_cast("int") * 60 + F.substring(t, 4, 2).try_cast("int"))
-    return (samples.withColumn("_day", F.unix_date(F.to_date("date", "yyyy-MM-dd")))
+    return (samples.withColumn("_day", day_number("date"))
             .withColumn("_mod", mod))
 
 
@@ -145,7 +146,7 @@ def label_range_join(samples: DataFrame, intervals: DataFrame, keys: Sequence[st
     if missing:
         raise ValueError(f"row_id columns not in samples: {missing}")
     bucket_us = bucket_minutes * 60 * 1_000_000
-    ts = F.to_timestamp_ntz(F.concat("date", "time"), F.lit("yyyy-MM-ddHH:mm:ss"))
+    ts = ts_from_day_time("date", "time")
     left = (samples
             .withColumn("_ts", ts)
             .withColumn("_bucket", F.floor(_micros("_ts") / bucket_us)))

@@ -16,7 +16,7 @@ def _typed(stats: DataFrame) -> DataFrame:
 
 def daily_series(daily: DataFrame, with_marker: bool = True) -> DataFrame:
     """date (DATE), min, avg, max[, marker 200/0], ordered by date."""
-    cols = [F.to_date("date", "yyyy-MM-dd").alias("date"), "min_value", "avg_value", "max_value"]
+    cols = [F.try_to_date("date", "yyyy-MM-dd").alias("date"), "min_value", "avg_value", "max_value"]
     if with_marker:
         cols.append(sport_marker("sport").alias("sport_marker"))
     return _typed(daily).select(*cols).orderBy("date")

@@ -99,3 +99,15 @@ def test_stand_in_activities(spark):
     agg = iv.agg({"minutes": "sum"}).collect()[0][0]
     assert rec.count() == 1981 and agg == 98806
     assert iv.filter("minutes = 0").count() == 13
+
+
+def test_malformed_texts_give_null_not_a_failed_job(spark):
+    log = _log(spark, [(1, 1, "Run", 5 * 60_000, "garbage"),
+                       (1, 2, "Walk", 2 * 60_000, "2021-13-45T10:00:00.000+02:00"),
+                       (1, 3, "Sport", 60_000, "2021-08-01T10:00:00.000+02:00")])
+    iv = L.activity_intervals(log, ["user_id"])
+    starts = {r.activity_id: r.start for r in iv.collect()}
+    assert starts[1] is None and starts[2] is None and starts[3] is not None
+    smp = _samples(spark, [(1, "2021-08-01", "10:00:00", 80), (1, "not-a-day", "10:00:00", 81)])
+    got = sorted((r.date, r.sport) for r in L.label_last_wins(smp, iv, ["user_id"]).collect())
+    assert got == [("2021-08-01", "Sport"), ("not-a-day", "0")]
