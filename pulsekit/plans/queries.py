@@ -28,9 +28,12 @@ REGISTRY: dict[str, Query] = {}
 PROFILE_DAY = "2024-01-15"
 
 
-def query(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
-    return fn
+def query(fn: Query | None = None, *, name: str | None = None):
+    """Register ``fn`` under its own name or ``name``."""
+    def register(f: Query) -> Query:
+        REGISTRY[name or f.__name__] = f
+        return f
+    return register(fn) if fn is not None else register
 
 
 # --- samples and rollups -------------------------------------------------
@@ -191,14 +194,12 @@ def day_profile(spark, sf_dir):
     return V.day_profile(Inputs(spark, sf_dir).hourly_sport, PROFILE_DAY)
 
 
-@query
-def time_as_int_q(spark, sf_dir):
+@query(name="time_as_int")
+def time_as_int_query(spark, sf_dir):
     s = Inputs(spark, sf_dir).samples
     return s.select("event_id", "time", time_as_int("time").alias("time_int"))
 
 
-REGISTRY["time_as_int"] = REGISTRY.pop("time_as_int_q")
-
 
 def queries() -> dict[str, Query]:
     from pulsekit.plans import queries_features, queries_ingest  # noqa: F401  (register)

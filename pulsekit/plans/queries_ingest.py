@@ -37,16 +37,16 @@ def csv_roundtrip(spark, sf_dir):
     return SM.typed_samples(read_csv(spark, path, schema=_SAMPLE_TEXT, header=True, sep=";"))
 
 
-@query
-def landing_key_q(spark, sf_dir):
+@query(name="landing_key")
+def landing_key_query(spark, sf_dir):
     r = SI.activity_log_records(Inputs(spark, sf_dir).events)
     return r.select("logId", "lastModified",
                     F.concat(landing_key("lastModified"), F.lit(".json")).alias("file_key"),
                     landing_key("originalStartTime").alias("start_key"))
 
 
-@query
-def stamp_digits_q(spark, sf_dir):
+@query(name="stamp_digits")
+def stamp_digits_query(spark, sf_dir):
     r = SI.activity_log_records(Inputs(spark, sf_dir).events)
     return r.select("logId", stamp_digits("lastModified").alias("modified_digits"),
                     stamp_digits(landing_key("lastModified")).alias("key_digits"))
@@ -147,8 +147,3 @@ def stream_ingest(spark, sf_dir):
     ingest_day_documents(spark, landing, sink, ckpt)
     return spark.read.schema(SINK_SCHEMA).parquet(sink).select("user_id", "time", "value", "date", "HOUR")
 
-
-from pulsekit.plans.queries import REGISTRY  # noqa: E402
-
-REGISTRY["landing_key"] = REGISTRY.pop("landing_key_q")
-REGISTRY["stamp_digits"] = REGISTRY.pop("stamp_digits_q")
