@@ -7,7 +7,7 @@ same result as the Spark query of the same name, from the table directly
 
 from __future__ import annotations
 
-from pulsekit.functions import NO_LABEL, NO_LABEL_COLUMN, SPORTS
+from pulsekit.functions import NO_LABEL, SPORTS
 
 ORACLE: dict[str, str] = {}
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.functions import time_as_int
+from pulsekit.functions import strip_extension, time_as_int
 from pulsekit.operators import label as L
 from pulsekit.operators import samples as SM
 from pulsekit.operators import series as V
@@ -63,7 +63,6 @@ def file_name_date(spark, sf_dir):
     s = Inputs(spark, sf_dir).samples
     files = s.select("user_id", F.concat(F.lit("user="), F.col("user_id").cast("string"),
                                          F.lit("/"), F.col("date"), F.lit(".json")).alias("file_name")).distinct()
-    from pulsekit.functions import strip_extension
     base = F.element_at(F.split("file_name", "/"), -1)
     return files.select("user_id", "file_name", strip_extension(base).alias("stem"),
                         day_from_file_name("file_name").alias("day"))
