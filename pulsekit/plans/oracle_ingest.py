@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pulsekit.plans.oracle import ORACLE, RECORDS, SAMPLES, with_
+from pulsekit.plans.oracle_features import MATRIX
 from pulsekit.plans.standins import DOC_SPAN, TCX_SPORTS
 
 
@@ -16,6 +17,8 @@ def _digits(s: str) -> str:
 
 
 ORACLE["csv_roundtrip"] = with_(SAMPLES) + "SELECT * FROM samples"
+ORACLE["csv_no_header"] = with_(SAMPLES) + "SELECT * FROM samples"
+ORACLE["csv_inferred"] = MATRIX
 ORACLE["landing_key"] = with_(RECORDS) + f"""
 SELECT logId, lastModified, {_key('lastModified')} || '.json' AS file_key,
        {_key('originalStartTime')} AS start_key FROM records"""

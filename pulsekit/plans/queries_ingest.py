@@ -12,6 +12,7 @@ from pulsekit.operators import tracks as TR
 from pulsekit.plans import standins as SI
 from pulsekit.plans.context import USER, Inputs
 from pulsekit.plans.queries import query
+from pulsekit.plans.queries_features import training_matrix
 from pulsekit.session import scratch_path
 from pulsekit.sources import incremental as INC
 from pulsekit.sources import writers as W
@@ -37,6 +38,26 @@ def csv_roundtrip(spark, sf_dir):
     return SM.typed_samples(read_csv(spark, path, schema=_SAMPLE_TEXT, header=True, sep=";"))
 
 
+@query
+def csv_no_header(spark, sf_dir):
+    """Samples -> CSV without header -> read back by position with an explicit
+    schema (the first-generation hand-over format)."""
+    path = scratch_path(spark, "samples-csv-nohead")
+    W.write_csv(Inputs(spark, sf_dir).samples, path, header=False)
+    return SM.typed_samples(read_csv(spark, path, schema=_SAMPLE_TEXT, header=False))
+
+
+@query
+def csv_inferred(spark, sf_dir):
+    """The training matrix -> ';' CSV with header -> read back with type
+    inference (an extra pass over the text): ints stay int, lags double.
+    Inference is only safe on such all-numeric files: on the sample CSV it
+    turns ``HH:mm:ss`` into a timestamp of the current day."""
+    path = scratch_path(spark, "matrix-csv")
+    W.write_csv(training_matrix(spark, sf_dir), path, header=True, sep=";")
+    return read_csv(spark, path, header=True, sep=";", infer=True)
+
+
 @query(name="landing_key")
 def landing_key_query(spark, sf_dir):
     r = SI.activity_log_records(Inputs(spark, sf_dir).events)
