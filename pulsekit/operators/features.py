@@ -51,8 +51,13 @@ def _framed(df: DataFrame, order_col: str, series: Sequence[str], tie: str | Non
     framed = base.withColumn("_frame", F.explode(_frames_of(F.col("_t"), F.col("_b"), span_us, halo_us)))
     ties = [tie] if tie else []
     if first_row_guard:
-        first = (base.groupBy(*series)
-                 .agg(F.min(F.struct("_t", *ties)).alias("_first")))
+        # the first row is the least (time, tie); without a tie column a plain
+        # min of a long, which aggregates by hash instead of by sort
+        if ties:
+            first = base.groupBy(*series).agg(F.min(F.struct("_t", *ties)).alias("_first"))
+        else:
+            first = (base.groupBy(*series).agg(F.min("_t").alias("_first_t"))
+                     .select(*series, F.struct(F.col("_first_t").alias("_t")).alias("_first")))
         fb = _bucket_of(F.col("_first._t"), span_us)
         first = first.withColumn("_frame", F.explode(_frames_of(F.col("_first._t"), fb, span_us, halo_us)))
         framed = framed.join(first, on=[*series, "_frame"], how="left")

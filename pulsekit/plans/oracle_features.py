@@ -59,6 +59,12 @@ ORACLE["lag_features_by_type"] = with_(
        max(CAST(floor(value) AS INTEGER)) AS "BPM" FROM events GROUP BY ALL)""",
     lag_ctes("per_type", '"TS"', '"BPM"', 6, HOUR_US, series=("event_type",))) + \
     f"""SELECT event_type, "TS", "BPM", {lag_list(6)} FROM lagged WHERE {complete(6, '"BPM"')}"""
+ORACLE["lag_features_per_user"] = with_(
+    SAMPLES,
+    """per_user AS (SELECT user_id, strptime("date" || "HOUR", '%Y-%m-%d%H') AS "TS", max(value) AS "BPM"
+       FROM samples GROUP BY ALL)""",
+    lag_ctes("per_user", '"TS"', '"BPM"', 2, HOUR_US, series=("user_id",))) + \
+    f"""SELECT user_id, "TS", "BPM", {lag_list(2)} FROM lagged WHERE {complete(2, '"BPM"')}"""
 ORACLE["training_matrix"] = MATRIX
 ORACLE["persistence_mae"] = ("SELECT count(*) AS n_rows, avg(abs(\"BPM\" - \"Min - 1\")) AS mae FROM ("
                              + MATRIX + ")")

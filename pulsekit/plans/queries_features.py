@@ -16,6 +16,7 @@ from pulsekit.session import checkpoint_root
 HOUR_S = 3600
 N_LAGS = 60
 TYPE_LAGS = 6
+USER_LAGS = 2
 
 
 @query
@@ -47,6 +48,18 @@ def lag_features_by_type(spark, sf_dir):
                            series=["event_type"], bucket_units=24)
 
 
+@query
+def lag_features_per_user(spark, sf_dir):
+    """One hourly series per user (the source application's per-person
+    series), 2 gap-checked lags; frames of one day per user, so thousands of
+    series window in parallel and no series is one task."""
+    i = Inputs(spark, sf_dir)
+    per_user = (i.samples.select("user_id", ts_from_day_hour("date", "HOUR").alias("TS"), "value")
+                .groupBy("user_id", "TS").agg(F.max("value").alias("BPM")))
+    return FT.lag_features(per_user, "TS", "BPM", n_lags=USER_LAGS, unit_seconds=HOUR_S,
+                           series=["user_id"], bucket_units=24)
+
+
 def _matrix(spark, sf_dir):
     return FT.training_matrix(Inputs(spark, sf_dir).hourly_series(labelled=True),
                               n_lags=N_LAGS, unit_seconds=HOUR_S)
