@@ -79,8 +79,11 @@ ORACLE["heart_flatten"] = with_(SAMPLES) + 'SELECT user_id, "time", value, "date
 ORACLE["file_name_date"] = with_(SAMPLES) + """
 SELECT DISTINCT user_id, 'user=' || CAST(user_id AS VARCHAR) || '/' || "date" || '.json' AS file_name,
        "date" AS stem, "date" AS day FROM samples"""
-ORACLE["union_days"] = with_(SAMPLES) + """
-SELECT *, CASE WHEN "HOUR" < '12' THEN 'am' ELSE 'pm' END AS half FROM samples"""
+ORACLE["union_days"] = """
+SELECT user_id, event_id, strftime(ts, '%H:%M:00') AS "time", CAST(floor(value) AS INTEGER) AS value,
+       strftime(ts, '%Y-%m-%d') AS "date", strftime(ts, '%H') AS "HOUR",
+       CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN 'first' ELSE 'second' END AS period
+FROM events"""
 ORACLE["daily_median"] = with_(SAMPLES) + _stats("samples", ['"date"'], median=True)
 ORACLE["hourly_median"] = with_(SAMPLES) + _stats("samples", ['"date"', '"HOUR"'], median=True)
 ORACLE["hourly_lists"] = with_(SAMPLES) + """
