@@ -17,6 +17,9 @@ HOUR_S = 3600
 N_LAGS = 60
 TYPE_LAGS = 6
 USER_LAGS = 2
+# one-week frames (+ 61 h halo) for the hourly series: the window runs as
+# several tasks even over a single global series
+WEEK_UNITS = 24 * 7
 
 
 @query
@@ -28,13 +31,14 @@ def one_hot_sport(spark, sf_dir):
 @query
 def lag_features(spark, sf_dir):
     s = Inputs(spark, sf_dir).hourly_series()
-    return FT.lag_features(s, "TS", "BPM", n_lags=N_LAGS, unit_seconds=HOUR_S)
+    return FT.lag_features(s, "TS", "BPM", n_lags=N_LAGS, unit_seconds=HOUR_S, bucket_units=WEEK_UNITS)
 
 
 @query
 def lag_features_frame(spark, sf_dir):
     s = Inputs(spark, sf_dir).hourly_series()
-    return FT.lag_features_frame(s, "TS", "BPM", n_lags=N_LAGS, unit_seconds=HOUR_S)
+    return FT.lag_features_frame(s, "TS", "BPM", n_lags=N_LAGS, unit_seconds=HOUR_S,
+                                 bucket_units=WEEK_UNITS)
 
 
 @query
@@ -62,7 +66,7 @@ def lag_features_per_user(spark, sf_dir):
 
 def _matrix(spark, sf_dir):
     return FT.training_matrix(Inputs(spark, sf_dir).hourly_series(labelled=True),
-                              n_lags=N_LAGS, unit_seconds=HOUR_S)
+                              n_lags=N_LAGS, unit_seconds=HOUR_S, bucket_units=WEEK_UNITS)
 
 
 @query
@@ -96,7 +100,7 @@ def train_test_split(spark, sf_dir):
 
 def _split_matrix(spark, sf_dir):
     s = _split_series(spark, sf_dir)
-    lagged = FT.lag_features(s, "TS", "BPM", n_lags=N_LAGS, unit_seconds=HOUR_S)
+    lagged = FT.lag_features(s, "TS", "BPM", n_lags=N_LAGS, unit_seconds=HOUR_S, bucket_units=WEEK_UNITS)
     return lagged.select("split", time_as_int(clock_text("TS")).alias("time"),
                          F.col("BPM").cast("int").alias("BPM"),
                          *[F.col(f"`{n}`") for n in FT.lag_names(N_LAGS)],
