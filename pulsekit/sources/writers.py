@@ -35,3 +35,17 @@ def land_documents(df: DataFrame, path: str, by: Sequence[str] = (), mode: str =
     if by:
         writer = writer.partitionBy(*by)
     writer.text(path)
+
+
+def compact_by_month(df: DataFrame, path: str, day_col: str = "date", mode: str = "overwrite",
+                     max_records_per_file: int = 5_000_000) -> None:
+    """Rewrite many small landed files as Parquet, one folder per month.
+
+    The ``rebalance`` hint lets AQE size the write tasks: small partitions
+    are coalesced to the advisory size and a hot month is split over several
+    tasks (not funnelled through one, as ``repartition("month")`` would)."""
+    from pyspark.sql import functions as F
+    monthly = df.withColumn("month", F.substring(F.col(day_col), 1, 7))
+    (monthly.hint("rebalance", "month").write.mode(mode)
+     .option("maxRecordsPerFile", max_records_per_file)
+     .partitionBy("month").parquet(path))

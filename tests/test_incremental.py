@@ -67,3 +67,17 @@ def test_csv_variants(spark, tmp_dir):
     from pulsekit.sources.schemas import SAMPLES
     assert read_csv(spark, nohead, schema=SAMPLES, header=False).collect()[0]["value"] == 60
     assert df.select(F.lit(1)).count() == 1
+
+
+def test_compact_by_month(spark, tmp_dir):
+    from pulsekit.sources.writers import compact_by_month
+    rows = [(f"2021-0{1 + i % 3}-{1 + i % 28:02d}", i) for i in range(300)]
+    df = spark.createDataFrame(rows, "date string, v int").repartition(30)
+    path = os.path.join(tmp_dir, "monthly")
+    compact_by_month(df, path)
+    back = spark.read.schema("date string, v int, month string").parquet(path)
+    assert back.count() == 300
+    assert sorted(r.month for r in back.select("month").distinct().collect()) == ["2021-01", "2021-02", "2021-03"]
+    assert back.filter(F.col("month") == "2021-02").count() == 100
+    files = [f for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]
+    assert len(files) <= 30
