@@ -57,3 +57,22 @@ def test_day_from_file_name(spark):
     df = spark.createDataFrame([("a/b/2021-08-01.json",), ("2022-05-27_11h43m51s.json",)], "p string")
     assert [r[0] for r in df.select(day_from_file_name("p")).collect()] == ["2021-08-01", "2022-05-27"]
     assert df.select(F.col("p")).count() == 2
+
+
+def test_activity_log_files_with_optional_fields(spark, tmp_dir):
+    from pulsekit.operators.label import activity_intervals
+    from pulsekit.sources.readers import read_activity_log
+    base = {"activityName": "Run", "logId": 7, "originalDuration": 5_292_000,
+            "originalStartTime": "2021-08-01T19:54:48.000+02:00", "lastModified": "2021-08-01T19:42:42.000Z",
+            "hasActiveZoneMinutes": True, "distance": 12.5,
+            "heartRateZones": [{"caloriesOut": 1.5, "max": 100, "min": 50, "minutes": 3, "name": "Fat Burn"}]}
+    with_source = dict(base, source={"id": "x", "name": "tracker", "trackerFeatures": ["HEARTRATE"], "type": "t"})
+    without = dict(base, logId=8, activityName="Walk", originalDuration=60_000,
+                   originalStartTime="2022-05-27T11:43:51.000+02:00")
+    _write(tmp_dir, "2021-08-01_19h42m42s.json", [with_source])
+    _write(tmp_dir, "2022-05-27_11h43m51s.json", [without])
+    log = read_activity_log(spark, tmp_dir)
+    rows = {r.logId: r for r in log.collect()}
+    assert rows[7].source.trackerFeatures == ["HEARTRATE"] and rows[8].source is None
+    iv = {r.activity_id: (r.date, str(r.start), r.minutes) for r in activity_intervals(log).collect()}
+    assert iv == {7: ("2021-08-01", "2021-08-01 19:54:00", 88), 8: ("2022-05-27", "2022-05-27 11:43:00", 1)}
