@@ -111,3 +111,23 @@ def test_malformed_texts_give_null_not_a_failed_job(spark):
     smp = _samples(spark, [(1, "2021-08-01", "10:00:00", 80), (1, "not-a-day", "10:00:00", 81)])
     got = sorted((r.date, r.sport) for r in L.label_last_wins(smp, iv, ["user_id"]).collect())
     assert got == [("2021-08-01", "Sport"), ("not-a-day", "0")]
+
+
+def test_range_join_across_buckets_and_midnight_equals_carry(spark):
+    log = _log(spark, [(1, 1, "Walk", 90 * 60_000, "2021-08-01T23:30:00.000+02:00"),
+                       (1, 2, "Run", 20 * 60_000, "2021-08-02T00:10:00.000+02:00")])
+    smp = _samples(spark, [(1, "2021-08-01", "23:29:00", 70), (1, "2021-08-01", "23:59:00", 71),
+                           (1, "2021-08-02", "00:15:00", 72), (1, "2021-08-02", "00:30:00", 73),
+                           (1, "2021-08-02", "00:59:00", 74), (1, "2021-08-02", "01:00:00", 75),
+                           (1, "2021-08-01", "00:15:00", 76)])
+    iv = L.activity_intervals(log, ["user_id"])
+    rng = {(r.date, r.time): r.sport for r in L.label_range_join(smp, iv, ["user_id"], ["event_id"]).collect()}
+    carry = {(r.date, r.time): r.sport for r in L.label_last_wins(smp, iv, ["user_id"], midnight="carry").collect()}
+    wrap = {(r.date, r.time): r.sport for r in L.label_last_wins(smp, iv, ["user_id"], midnight="wrap").collect()}
+    assert rng == carry
+    assert carry == {("2021-08-01", "23:29:00"): "0", ("2021-08-01", "23:59:00"): "Walk",
+                     ("2021-08-02", "00:15:00"): "Run", ("2021-08-02", "00:30:00"): "Walk",
+                     ("2021-08-02", "00:59:00"): "Walk", ("2021-08-02", "01:00:00"): "0",
+                     ("2021-08-01", "00:15:00"): "0"}
+    # wrap keeps the start date: past midnight the walk labels 00:15 of the 1st
+    assert wrap[("2021-08-01", "00:15:00")] == "Walk" and wrap[("2021-08-02", "00:59:00")] == "0"

@@ -76,3 +76,16 @@ def test_activity_log_files_with_optional_fields(spark, tmp_dir):
     assert rows[7].source.trackerFeatures == ["HEARTRATE"] and rows[8].source is None
     iv = {r.activity_id: (r.date, str(r.start), r.minutes) for r in activity_intervals(log).collect()}
     assert iv == {7: ("2021-08-01", "2021-08-01 19:54:00", 88), 8: ("2022-05-27", "2022-05-27 11:43:00", 1)}
+
+
+def test_stand_in_documents_are_bounded(spark):
+    from pulsekit.plans.standins import DOC_SPAN, day_documents
+    from pulsekit.sources.readers import parse_json_array
+    from pulsekit.sources.schemas import DAY_DOCUMENT
+    rows = [(1, i, f"{(i // 60) % 24:02d}:{i % 60:02d}:00", 60, "2021-08-01", "00") for i in range(5000)]
+    smp = spark.createDataFrame(rows, "user_id long, event_id long, time string, value int, date string, HOUR string")
+    docs = day_documents(smp).select(F.explode(parse_json_array("document", DAY_DOCUMENT)).alias("d"))
+    sizes = [r[0] for r in docs.select(F.size("d.`activities-heart-intraday`.dataset")).collect()]
+    assert sum(sizes) == 5000 and max(sizes) <= DOC_SPAN
+    flat = flatten_day_documents(docs.select("d.*"))
+    assert flat.count() == 5000
