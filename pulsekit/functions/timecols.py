@@ -64,8 +64,39 @@ def whole_minutes(ms_col) -> Column:
     return F.expr(f"CAST(CAST({_sql(ms_col)} AS BIGINT) DIV 60000 AS INT)")
 
 
-def clock_text(ts_col) -> Column:
-    return F.date_format(_c(ts_col), "HH:mm:ss")
+def _two(n: Column) -> Column:
+    return F.lpad(n.cast("string"), 2, "0")
+
+
+# Text from TIMESTAMP_NTZ is built from its fields: ``date_format`` would
+# first cast to a zoned TIMESTAMP, which moves wall-clock times that fall in a
+# daylight-saving gap of the session zone (02:30 -> 03:30).
+
+def day_text(ts_col) -> Column:
+    """TIMESTAMP_NTZ -> ``yyyy-MM-dd``."""
+    return F.to_date(_c(ts_col)).cast("string")
+
+
+def hour_text(ts_col) -> Column:
+    """TIMESTAMP_NTZ -> ``HH``."""
+    return _two(F.hour(_c(ts_col)))
+
+
+def clock_text(ts_col, seconds: bool = True) -> Column:
+    """TIMESTAMP_NTZ -> ``HH:mm:ss`` (or ``HH:mm:00`` with ``seconds=False``)."""
+    ts = _c(ts_col)
+    sec = _two(F.second(ts)) if seconds else F.lit("00")
+    return F.concat(_two(F.hour(ts)), F.lit(":"), _two(F.minute(ts)), F.lit(":"), sec)
+
+
+def iso_text(ts_col, millis: bool = True) -> Column:
+    """TIMESTAMP_NTZ -> ``yyyy-MM-ddTHH:mm:ss[.SSS]`` (milliseconds truncated)."""
+    ts = _c(ts_col)
+    parts = [day_text(ts), F.lit("T"), clock_text(ts)]
+    if millis:
+        ms = F.floor(F.pmod(epoch_micros(ts), F.lit(1_000_000)) / 1000)
+        parts += [F.lit("."), F.lpad(ms.cast("string"), 3, "0")]
+    return F.concat(*parts)
 
 
 def time_as_int(time_col) -> Column:
@@ -75,7 +106,7 @@ def time_as_int(time_col) -> Column:
 
 def epoch_micros(ntz_col) -> Column:
     """TIMESTAMP_NTZ -> microseconds since 1970-01-01 00:00, zone independent."""
-    return F.expr(f"timestampdiff(MICROSECOND, {_EPOCH_NTZ}, {_sql(ntz_col)})")
+    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), _c(ntz_col))
 
 
 def ts_from_day_hour(date_col, hour_col) -> Column:

@@ -87,7 +87,7 @@ def activity_minutes(intervals: DataFrame, keep: Sequence[str] = (),
     count keeps AQE from coalescing the spread back.
     """
     mins = _minute_keys(intervals, keep, midnight, spread)
-    day = F.col("date") if midnight == "wrap" else F.date_format(F.date_from_unix_date("_day"), "yyyy-MM-dd")
+    day = F.col("date") if midnight == "wrap" else F.date_from_unix_date("_day").cast("string")
     return mins.select(*keep, "activity_id", "activity", "start", day.alias("date"),
                        _clock_text(F.col("_mod")).alias("time"))
 

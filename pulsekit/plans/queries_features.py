@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pulsekit.functions import (NO_LABEL_COLUMN, SPORTS, clock_text, epoch_micros, one_hot_columns,
-                                time_as_int, ts_from_day_hour)
+from pulsekit.functions import (NO_LABEL_COLUMN, SPORTS, clock_text, day_text, epoch_micros, hour_text,
+                                one_hot_columns, time_as_int, ts_from_day_hour)
 from pulsekit.operators import features as FT
 from pulsekit.operators import model as M
 from pulsekit.operators import stats as ST
@@ -45,7 +45,7 @@ def lag_features_frame(spark, sf_dir):
 def lag_features_by_type(spark, sf_dir):
     """One hourly series per event type (these have real gaps), 6 lags each."""
     i = Inputs(spark, sf_dir)
-    per_type = (i.events.select("event_type", ts_from_day_hour(F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH")).alias("TS"),
+    per_type = (i.events.select("event_type", ts_from_day_hour(day_text("ts"), hour_text("ts")).alias("TS"),
                                 F.floor("value").cast("int").alias("v"))
                 .groupBy("event_type", "TS").agg(F.max("v").alias("BPM")))
     return FT.lag_features(per_type, "TS", "BPM", n_lags=TYPE_LAGS, unit_seconds=HOUR_S,

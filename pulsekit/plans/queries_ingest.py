@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsekit.functions import landing_key, stamp_digits
+from pulsekit.functions import day_text, iso_text, landing_key, stamp_digits
 from pulsekit.operators import samples as SM
 from pulsekit.operators import tracks as TR
 from pulsekit.plans import standins as SI
@@ -74,7 +74,7 @@ def stamp_digits_query(spark, sf_dir):
 
 
 def _event_keys(events, ext):
-    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    iso = iso_text("ts", millis=False)
     return events.select(F.concat(landing_key(iso), F.lit(ext)).alias("file_name"))
 
 
@@ -92,7 +92,7 @@ def incremental_hwm(spark, sf_dir):
     """Activity records newer than each user's newest landed file (views)."""
     i = Inputs(spark, sf_dir)
     landed = i.events.filter(F.col("event_type") == "view").select(
-        "user_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("stamp"))
+        "user_id", F.concat(iso_text("ts"), F.lit("Z")).alias("stamp"))
     recs = SI.activity_log_records(i.events)
     return INC.newer_than_high_water_mark(recs, "lastModified", landed, "stamp", keys=USER) \
         .select("user_id", "logId", "lastModified")
@@ -102,7 +102,7 @@ def incremental_hwm(spark, sf_dir):
 def upsert_by_day(spark, sf_dir):
     """Newest delivery per (user, day) wins."""
     ev = Inputs(spark, sf_dir).events.select(
-        "user_id", F.date_format("ts", "yyyy-MM-dd").alias("date"), "ts", "event_id",
+        "user_id", day_text("ts").alias("date"), "ts", "event_id",
         F.floor("value").cast("int").alias("value"))
     return INC.newest_per_key(ev, ["user_id", "date"], ["ts", "event_id"])
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.functions import SPORTS, hour_of
+from pulsekit.functions import SPORTS, clock_text, day_text, hour_of, hour_text, iso_text
 
 # Sport names of TCX activities (public TCX schema values).
 TCX_SPORTS = ["Running", "Biking", "Other"]
@@ -35,9 +35,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def samples_from_events(events: DataFrame) -> DataFrame:
     return (events.select(
         "user_id", "event_id",
-        F.date_format("ts", "HH:mm:00").alias("time"),
+        clock_text("ts", seconds=False).alias("time"),
         F.floor("value").cast("int").alias("value"),
-        F.date_format("ts", "yyyy-MM-dd").alias("date"))
+        day_text("ts").alias("date"))
         .withColumn("HOUR", hour_of("time")))
 
 
@@ -51,10 +51,9 @@ def activity_log_records(events: DataFrame) -> DataFrame:
                 F.col("event_id").alias("logId"),
                 F.element_at(names, (F.pmod("_k", F.lit(len(SPORTS))) + 1).cast("int")).alias("activityName"),
                 (F.col("_k").cast("bigint") * 60000 + 30000).alias("originalDuration"),
-                F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+02:00"))
-                .alias("originalStartTime"),
-                F.date_format(F.expr("timestampadd(MINUTE, _k - 120, ts)"),
-                              "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("lastModified"),
+                F.concat(iso_text("ts"), F.lit("+02:00")).alias("originalStartTime"),
+                F.concat(iso_text(F.expr("timestampadd(MINUTE, _k - 120, ts)")), F.lit("Z"))
+                .alias("lastModified"),
             ))
 
 
@@ -89,16 +88,16 @@ def tcx_documents(events: DataFrame) -> DataFrame:
     event.  Position only for views and clicks, heart rate for all but errors."""
     sports = F.array(*[F.lit(s) for s in TCX_SPORTS])
     point = F.struct(
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("Time"),
+        F.concat(iso_text("ts"), F.lit("Z")).alias("Time"),
         F.when(F.col("event_type").isin("view", "click"),
                F.struct((F.col("value") / 10).alias("LatitudeDegrees"),
                         (F.col("user_id") / 100).alias("LongitudeDegrees"))).alias("Position"),
         F.when(F.col("event_type") != "error",
                F.struct(F.floor("value").cast("bigint").alias("Value"))).alias("HeartRateBpm"))
     keyed = events.select(
-        "user_id", F.date_format("ts", "yyyy-MM-dd").alias("date"),
+        "user_id", day_text("ts").alias("date"),
         F.floor(F.col("event_id") / F.lit(DOC_SPAN)).alias("part"),
-        F.date_format("ts", "HH").alias("hour"), "event_id", point.alias("tp"))
+        hour_text("ts").alias("hour"), "event_id", point.alias("tp"))
     laps = (keyed.groupBy("user_id", "date", "part", "hour")
             .agg(F.sort_array(F.collect_list(F.struct(F.col("tp.Time").alias("k"),
                                                       F.col("event_id").alias("id"), "tp")))
