@@ -35,6 +35,10 @@ SELECT r.user_id, r.logId, r.lastModified FROM records r
 LEFT JOIN (SELECT user_id, max({_digits("strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z'")}) AS hwm
            FROM events WHERE event_type = 'view' GROUP BY user_id) m ON r.user_id = m.user_id
 WHERE m.hwm IS NULL OR {_digits('r.lastModified')} > m.hwm"""
+ORACLE["incremental_hwm_global"] = with_(RECORDS) + f"""
+SELECT user_id, logId, lastModified FROM records
+WHERE {_digits('lastModified')} > (
+  SELECT max({_digits(_key("strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')") + " || '.json'")}) FROM orders)"""
 ORACLE["upsert_by_day"] = """
 SELECT user_id, "date", ts, event_id, value FROM (
   SELECT user_id, strftime(ts, '%Y-%m-%d') AS "date", ts, event_id, CAST(floor(value) AS INTEGER) AS value,

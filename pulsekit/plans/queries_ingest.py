@@ -98,6 +98,19 @@ def incremental_hwm(spark, sf_dir):
         .select("user_id", "logId", "lastModified")
 
 
+@query
+def incremental_hwm_global(spark, sf_dir):
+    """Activity records newer than the newest file of an older landed folder
+    (its names come from ``orders.o_orderdate``).  The mark is a scalar
+    subquery - one value - so there is no join at all."""
+    i = Inputs(spark, sf_dir)
+    landed = SI.table(spark, sf_dir, "orders").select(
+        F.concat(landing_key(iso_text("o_orderdate", millis=False)), F.lit(".json")).alias("file_name"))
+    recs = SI.activity_log_records(i.events)
+    return INC.newer_than_high_water_mark(recs, "lastModified", landed, "file_name") \
+        .select("user_id", "logId", "lastModified")
+
+
 @query
 def upsert_by_day(spark, sf_dir):
     """Newest delivery per (user, day) wins."""

@@ -20,8 +20,9 @@ def newer_than_high_water_mark(records: DataFrame, stamp_col: str, landed: DataF
     (a single value, no join).  Keys without any landed record: all new."""
     digits = stamp_digits(stamp_col)
     if not keys:
+        # one reference to the subquery; no landed file -> -1 -> all new
         hwm = landed.agg(F.max(stamp_digits(landed_stamp_col))).scalar()
-        return records.filter(hwm.isNull() | (digits > hwm))
+        return records.filter(digits > F.coalesce(hwm, F.lit(-1).cast("bigint")))
     marks = landed.groupBy(*keys).agg(F.max(stamp_digits(landed_stamp_col)).alias("_hwm"))
     return (records.join(marks, on=list(keys), how="left")
             .filter(F.col("_hwm").isNull() | (digits > F.col("_hwm")))
