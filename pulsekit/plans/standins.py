@@ -10,6 +10,8 @@ covers the whole table):
              nothing); start = local ISO text with ``+02:00``; name by ``k mod 5``
 * day documents / activity-log documents / TCX documents: JSON or XML
   text built from those rows, to be parsed back by the readers.
+* landed file names: landing keys of event stamps, and of ``orders.o_orderdate``
+  for an older landed folder (a high-water mark from another table).
 
 Documents are grouped by (user, day, ``event_id div 1440``): since ids are
 unique, no document holds more than 1440 samples however hot a user or a
