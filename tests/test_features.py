@@ -96,3 +96,15 @@ def test_training_matrix_columns_and_one_hot(spark):
     r = m.orderBy("time").collect()[0]
     assert r.time == 100  # first complete row is 00:01:00 next day -> 100 (leading zeros lost)
     assert r["Nothing"] + r["Run"] + r["Sport"] == 1
+
+
+def test_dynamic_label_domain_is_size_checked(spark):
+    import pytest
+    df = spark.createDataFrame([("0",), ("Run",), ("Walk",), ("Run",), (None,)], "sport string")
+    assert FT.label_domain(df) == ["0", "Run", "Walk"]
+    with pytest.raises(ValueError):
+        FT.label_domain(df, limit=2)
+    unseen = spark.createDataFrame([("Swim",)], "sport string")
+    from pulsekit.functions import SPORTS, one_hot_columns
+    r = unseen.select(*one_hot_columns("sport", SPORTS)).collect()[0]
+    assert sum(r) == 0  # a label outside the fixed domain gives all zeros

@@ -38,3 +38,10 @@ def test_regressor_trains_and_scores(spark, tmp_dir):
     path = tmp_dir + "/model"
     M.save_model(model, path)
     assert M.load_model(path).transform is not None
+
+
+def test_random_split_partitions_all_rows(spark):
+    df = spark.range(0, 1000)
+    train, test = M.random_split(df, 0.8, seed=0)
+    assert train.count() + test.count() == 1000
+    assert train.join(test, "id").count() == 0
