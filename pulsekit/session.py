@@ -9,7 +9,6 @@ setting is unset.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -58,7 +57,13 @@ def build_session(master: str | None = None, app: str = "pulsekit",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a private one only when unset."""
+    """The shared checkpoint folder of the session.
+
+    A private local folder is chosen only when the setting is unset *and* the
+    master runs in this process; on a cluster an unset folder is an error,
+    since executors would otherwise write to their own disks and a later read
+    would silently miss rows.
+    """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if root:
@@ -66,13 +71,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_single_process(sc.master):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that the driver "
+                               f"and all executors of {sc.master} share")
         configured = tempfile.mkdtemp(prefix="pulsekit-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def is_single_process(master: str) -> bool:
+    """True for ``local``, ``local[n]``, ``local[*]``; not for ``local-cluster``."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder (never reused)."""
-    root = checkpoint_root(spark)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}") if "://" not in root \
-        else f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared checkpoint folder (never reused).
+
+    It is removed when the driver's JVM closes its file systems."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
