@@ -4,17 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from pulsekit.llm.bpe import bpe_digests
 from pulsekit.llm.common import table
+from pulsekit.llm.html_extract import extract_main_text
 from pulsekit.llm.ngram_jaccard import ngram_jaccard_components
+from pulsekit.llm.packing import best_fit_packing
+from pulsekit.llm.secret_scan import secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_ngram_jaccard,)}
+    return {f.__name__: f for f in (op1_ngram_jaccard, op3_best_fit_packing, op4_bpe, op5_html_extraction,
+                                    op6_secret_scan)}
