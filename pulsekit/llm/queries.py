@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pulsekit.llm.bpe import bpe_digests
 from pulsekit.llm.chat import perspective_rotation
 from pulsekit.llm.common import table
+from pulsekit.llm.hnsw import nearest_neighbours
 from pulsekit.llm.html_extract import extract_main_text
 from pulsekit.llm.ngram_jaccard import ngram_jaccard_components
 from pulsekit.llm.packing import best_fit_packing
@@ -60,7 +61,11 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digests(table(spark, sf_dir, "documents"))
 
 
+def op10_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_ngram_jaccard, op2_quality_rules, op3_best_fit_packing, op4_bpe, op5_html_extraction, op6_secret_scan,
-        op7_perspective_rotation, op8_url_filter, op9_pii)}
+        op7_perspective_rotation, op8_url_filter, op9_pii, op10_hnsw)}
