@@ -12,11 +12,11 @@ a second place classes of shingles and documents of a region:
   among the first n - ceil(t n) + 1 of x, so a document is replicated to the
   regions of these pivots and to no others.  Within a region the sizes and the
   positions of the pivot bound the overlap that is still possible.
-* **Recursion.**  In each region documents are first compared with the region's
-  own pivot document and with near neighbours in size order, a number of pairs
-  linear in the region.  Documents that are thereby connected form one core,
-  and the region is joined again across cores only: a document outside the
-  largest core meets the others, pairs inside a core are already decided.
+* **Recursion.**  In each region documents are first compared with one pivot
+  document, the middle one in size order: copies with few edits lie around it.
+  Documents that are thereby connected form one core, and the region is joined
+  again across cores only: a document outside the largest core meets the
+  others, pairs inside a core are already decided.
 * **Exact decision.**  The hash classes of all shingles are pivots too: the
   symmetric difference of two sets is at least the number of classes whose
   counts differ in parity.  Pairs beyond this bound are dropped, all others are
@@ -28,6 +28,7 @@ hashes, sets by 128-bit ones.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -103,7 +104,7 @@ def _frequent_bits(docs: DataFrame, n: int) -> np.ndarray:
         yield from blocks_of(total.reshape(-1, block), range(size // block))
 
     def blocks_of(rows, ids):
-        keep = [(i, r.tobytes()) for i, r in zip(ids, rows) if r.any()]
+        keep = [(i, zlib.compress(r.tobytes(), 1)) for i, r in zip(ids, rows) if r.any()]
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in keep], pa.int32()),
                                           pa.array([v for _, v in keep], pa.binary())], ["block", "counts"])
 
@@ -111,7 +112,7 @@ def _frequent_bits(docs: DataFrame, n: int) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, v in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-                part = np.frombuffer(v, np.uint32)
+                part = np.frombuffer(zlib.decompress(v), np.uint32)
                 sums[k] = sums[k] + part if k in sums else part.astype(np.uint64)
         for k, v in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()),
@@ -132,7 +133,7 @@ def _frequent_bits(docs: DataFrame, n: int) -> np.ndarray:
 def _total(counts: DataFrame) -> int:
     def add(batches):
         yield pa.RecordBatch.from_arrays([pa.array([sum(
-            int(np.frombuffer(v, np.uint32).sum(dtype=np.uint64))
+            int(np.frombuffer(zlib.decompress(v), np.uint32).sum(dtype=np.uint64))
             for b in batches for v in b.column("counts").to_pylist())], pa.int64())], ["n"])
 
     return counts.select("counts").mapInArrow(add, "n long").agg(F.sum("n")).first()[0] or 0
@@ -246,6 +247,26 @@ def _decided(pairs: DataFrame, docs: DataFrame, described: DataFrame, n: int, nu
             .select("a", "b").distinct())
 
 
+def _meetings(region: DataFrame, num: int, den: int) -> DataFrame:
+    """Distinct pairs (a, b) of each document with its region's pivot document, where the sizes allow a link.
+
+    Here a shared pivot need not be the first one, so its position bounds nothing.
+    """
+    met = region.select("id", "n", F.col("p.id").alias("ido"), F.col("p.n").alias("no"))
+    return (met.filter((F.col("id") != F.col("ido"))
+                       & (den * F.least("n", "no").cast("long") >= num * F.greatest("n", "no").cast("long")))
+            .select(F.greatest("id", "ido").alias("a"), F.least("id", "ido").alias("b")).distinct())
+
+
+def _live(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of the regions that hold several cores, with their core and the region's largest one."""
+    member = (rows.join(roots, "id", "left").withColumn("core", F.coalesce("root", "id")).drop("root"))
+    top = (member.groupBy("s", "core").agg(F.count("*").alias("k"))
+           .groupBy("s").agg(F.max_by("core", F.struct("k", "core")).alias("top"), F.count("*").alias("cores"))
+           .filter("cores > 1").select("s", "top"))
+    return member.join(top, "s")
+
+
 def ngram_jaccard_links(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100) -> tuple[DataFrame, DataFrame, DataFrame]:
     """-> (described documents, classes of equal sets, links between class representatives).
 
@@ -259,30 +280,17 @@ def ngram_jaccard_links(docs: DataFrame, n: int = 5, num: int = 75, den: int = 1
               .join(classes.select(F.col("rep").alias("doc_id"), "f1", "f2"), ["doc_id", "f1", "f2"])
               .select(F.col("doc_id").alias("id"), "n", F.posexplode("pivots").alias("pos", "s")))
 
-    # regions with two documents at least; the pivot document and neighbours in size order
-    order = Window.partitionBy("s").orderBy("n", "id", "pos")
-    item = F.struct("id", "n", "pos")
-    region = (placed.select("s", "id", "n", "pos", F.first(item).over(
-        order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("p"),
-        *[F.lag(item, k).over(order).alias(f"l{k}") for k in (1, 2, 4)], F.lead("id").over(order).alias("next")))
-    region = landed(region.filter(F.col("l1").isNotNull() | F.col("next").isNotNull()).drop("next"), "regions")
-
-    met = (region.select("id", "n", "pos", F.explode(F.array_distinct(F.array("p", "l1", "l2", "l4"))).alias("o"))
-           .select(F.col("id").alias("a"), F.col("o.id").alias("b"), "n", "pos",
-                   F.col("o.n").alias("no"), F.col("o.pos").alias("po"))
-           .filter((F.col("a") != F.col("b")) & _possible("n", "pos", "no", "po", num, den))
-           .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    links = landed(_decided(met, docs, described, n, num, den), "links")
-
-    core = connected_components(links)
-    member = (region.select("s", "id", "n", "pos").join(core, "id", "left")
-              .withColumn("core", F.coalesce("root", "id")).drop("root"))
-    member = landed(member, "region-cores")
-    cores = member.groupBy("s", "core").agg(F.count("*").alias("k"))
-    largest = (cores.groupBy("s").agg(F.max_by("core", F.struct("k", "core")).alias("top"), F.count("*").alias("cores"))
-               .filter("cores > 1").select("s", "top"))
-    outer = (member.join(largest, "s").filter(F.col("core") != F.col("top"))
-             .select("s", "top", *[F.col(c).alias(f"o_{c}") for c in ("id", "n", "pos", "core")]))
+    # regions with two documents at least; the pivot document is the middle one in size order
+    whole = Window.partitionBy("s")
+    region = (placed.withColumn("k", F.row_number().over(whole.orderBy("n", "id", "pos")))
+              .withColumn("size", F.count("*").over(whole)).filter("size > 1")
+              .withColumn("p", F.max(F.when(F.expr("k = size div 2 + 1"), F.struct("id", "n", "pos"))).over(whole)))
+    region = landed(region.select("s", "id", "n", "pos", "p"), "regions")
+    links = landed(_decided(_meetings(region, num, den), docs, described, n, num, den), "links")
+
+    member = landed(_live(region.select("s", "id", "n", "pos"), connected_components(links)), "region-cores")
+    outer = (member.filter(F.col("core") != F.col("top"))
+             .select("s", *[F.col(c).alias(f"o_{c}") for c in ("id", "n", "pos", "core")]))
     rest = (outer.join(member, "s")
             .filter((F.col("core") != F.col("o_core"))
                     & ((F.col("core") == F.col("top")) | (F.col("id") < F.col("o_id")))
