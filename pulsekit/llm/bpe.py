@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 #: Fixed: how byte-level vocabularies cut a text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-LONGEST_CACHED, MAX_CACHED = 64, 200_000
+LONGEST_CACHED, MAX_CACHED = 64, 1 << 19
 
 
 def byte_letters() -> dict[int, str]:
@@ -84,15 +84,18 @@ class BytePairCodec:
                 self.known[token] = found
         return found
 
-    def pieces(self, text: str):
-        for i, part in enumerate(self.marks.split(text) if self.marks else [text]):
+    def both(self, text: str | None) -> tuple[bytes, bytes]:
+        """(ids as little-endian 32-bit integers, their vocabulary strings) of a whole text."""
+        found = []
+        for i, part in enumerate(self.marks.split(text or "") if self.marks else [text or ""]):
             if i % 2:
-                yield np.array([self.special[part]], "<u4").tobytes(), part.encode()
-            elif part:
-                yield from map(self.piece, self.cut.findall(part))
+                found.append((np.array([self.special[part]], "<u4").tobytes(), part.encode()))
+            else:
+                found += map(self.piece, self.cut.findall(part))
+        return b"".join([p[0] for p in found]), b"".join([p[1] for p in found])
 
     def encode(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(b"".join(p[0] for p in self.pieces(text or "")), "<u4")
+        return np.frombuffer(self.both(text)[0], "<u4")
 
     def decode_bytes(self, ids) -> bytes:
         return b"".join(map(self.strings.__getitem__, ids))
@@ -128,9 +131,8 @@ def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             rows = []
             for text in batch.column("text").to_pylist():
-                parts = list(codec.pieces(text or ""))
-                ids = b"".join(p[0] for p in parts)
-                decoded = b"".join(p[1] for p in parts).decode("utf-8", "replace").encode("utf-8")
+                ids, strings = codec.both(text)
+                decoded = strings.decode("utf-8", "replace").encode("utf-8")
                 rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
             n, a, b = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
