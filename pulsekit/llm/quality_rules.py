@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import count_chars, let, without_space, words
+from pulsekit.llm.common import count_chars, let, words
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = r"#*$%&|<>"
+#: Any character of a word.
+WORD = r"[^\x20\x09-\x0D]"
 SEPARATORS = "|»›•·¦"
-#: A line fails beyond one symbol in ten characters.
+#: A line fails beyond one symbol in ten characters, or without a letter or digit.
 SYMBOL_SHARE = 10
 #: Separators in a navigation line: three at least, and one for every four words.
 NAV_SEPARATORS, NAV_WORDS = 3, 4
@@ -36,11 +38,8 @@ def n_repeat_words(w: Column) -> Column:
 
     Windows are compared by 64-bit hashes; sorting them with their places finds equal ones.
     """
-    def windows(h: Column) -> Column:
-        n = F.size(h)
-        return F.when(n < 3, F.array().cast("array<bigint>")).otherwise(F.transform(
-            F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0))),
-            lambda i: F.xxhash64(F.get(h, i), F.get(h, i + 1), F.get(h, i + 2))))
+    hashed = F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
+    windows = F.slice(hashed, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0)))
 
     def covered(g: Column) -> Column:
         def places(s: Column) -> Column:
@@ -51,20 +50,21 @@ def n_repeat_words(w: Column) -> Column:
         ordered = F.sort_array(F.transform(g, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
         return F.when(F.size(F.array_distinct(g)) == F.size(g), F.lit(0)).otherwise(let(ordered, places))
 
-    return let(let(F.transform(w, lambda x: F.xxhash64(x)), windows), covered).cast("long")
+    return let(windows, covered)
 
 
-def line_passes(line: Column) -> Column:
-    """Punctuation, navigation and boilerplate rules of one line; a blank line passes."""
-    chars = F.length(without_space(line))
-    n_words = F.size(words(line))
+def line_passes(line: Column, phrases: Column) -> Column:
+    """Punctuation, navigation and boilerplate rules of one line; a blank line passes.
+
+    ``phrases`` tells whether the document has a boilerplate phrase at all.
+    """
     low = F.lower(F.trim(line))
-    symbols = (count_chars(line, SYMBOLS) * SYMBOL_SHARE > chars) | ~line.rlike(r"[\p{L}\p{N}]")
+    symbols = (count_chars(line, SYMBOLS) * SYMBOL_SHARE > F.length(line)) | ~line.rlike(r"[\p{L}\p{N}]")
     separators = count_chars(line, SEPARATORS)
-    navigation = ((separators >= NAV_SEPARATORS) & (separators * NAV_WORDS >= n_words)) | (
+    navigation = ((separators >= NAV_SEPARATORS) & (separators * NAV_WORDS >= F.size(words(line)))) | (
         (F.length(line) <= 40) & low.rlike(NAV_ENTRIES))
-    boilerplate = (F.length(line) <= 400) & low.rlike(BOILERPLATE) & (n_words <= BOILERPLATE_WORDS)
-    return (chars == 0) | ~(symbols | navigation | boilerplate)
+    boilerplate = phrases & (F.length(line) <= 400) & low.rlike(BOILERPLATE) & (F.size(words(line)) <= BOILERPLATE_WORDS)
+    return ~line.rlike(WORD) | ~(symbols | navigation | boilerplate)
 
 
 def quality_rules(docs: DataFrame, min_words: int = MIN_WORDS, max_repeated: int = MAX_REPEATED,
@@ -78,16 +78,21 @@ def quality_rules(docs: DataFrame, min_words: int = MIN_WORDS, max_repeated: int
     columns stay as they are; result columns replace input columns of the same name.
     """
     text = F.coalesce("text", F.lit(""))
-    clean = F.when(F.col("text").isNotNull(), F.array_join(F.filter(F.split(text, "\n"), line_passes), "\n"))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(without_space(x)) > 0)
-    counted = docs.withColumns({
-        "n_words": F.size(words(F.col("text"))).cast("long"),
-        "word_chars": F.length(without_space(text)).cast("long"),
+    phrases = F.lower(text).rlike(BOILERPLATE)
+    clean = F.when(F.col("text").isNotNull(), let(phrases, lambda p: F.array_join(
+        F.filter(F.split(text, "\n"), lambda x: line_passes(x, p)), "\n")))
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
+    counts = let(words(F.col("text")), lambda w: F.struct(
+        F.size(w).cast("long").alias("n"), F.length(F.array_join(w, "")).cast("long").alias("chars"),
+        n_repeat_words(w).cast("long").alias("repeated")))
+    counted = docs.withColumns({"_counts": counts, "clean_text": clean}).withColumns({
+        "n_words": F.col("_counts.n"),
+        "word_chars": F.col("_counts.chars"),
         "n_symbols": count_chars(text, SYMBOLS).cast("long"),
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        "n_repeat_words": n_repeat_words(words(F.col("text"))),
-        "clean_text": clean,
-    })
+        "n_repeat_words": F.col("_counts.repeated"),
+    }).drop("_counts")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeated * F.col("n_words"))
-    enough = 100 * F.length(without_space(F.coalesce("clean_text", F.lit("")))) >= min_kept * F.col("word_chars")
-    return counted.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & enough)
+    left = F.length(F.array_join(words(F.col("clean_text")), ""))
+    enough = (F.col("clean_text") == text) | (100 * left >= min_kept * F.col("word_chars"))
+    return counted.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & F.coalesce(enough, F.lit(False)))
