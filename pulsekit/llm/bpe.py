@@ -12,9 +12,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulsekit.llm.common import per_process
+
 #: Fixed: how byte-level vocabularies cut a text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-LONGEST_CACHED, MAX_CACHED = 64, 1 << 19
+LONGEST_CACHED, MAX_CACHED = 64, 1 << 20
 
 
 def byte_letters() -> dict[int, str]:
@@ -112,7 +114,7 @@ def bpe_encode(docs: DataFrame, path: str) -> DataFrame:
     special tokens' strings in a text become their ids; other columns are not read.
     """
     def encode(batches):
-        codec = BytePairCodec(path)
+        codec = per_process(("bytes", path), lambda: BytePairCodec(path))
         for batch in batches:
             ids = [codec.encode(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -127,7 +129,7 @@ def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
     """As ``bpe_encode`` with digests in place of the ids and the decoded text:
     (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
     def encode(batches):
-        codec = BytePairCodec(path)
+        codec = per_process(("bytes", path), lambda: BytePairCodec(path))
         for batch in batches:
             rows = []
             for text in batch.column("text").to_pylist():

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,17 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def per_process(key: tuple, make):
+    """``make()`` once per Python worker process and key: what a task learnt serves the next one.
+
+    The store hangs on ``sys`` because functions that travel with their closures have no module state.
+    """
+    store = sys.__dict__.setdefault("_pulsekit_llm", {})
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 def let(value: Column, body) -> Column:
     """``body(v)`` with ``v`` bound to ``value`` once.
 
@@ -38,17 +51,12 @@ def let(value: Column, body) -> Column:
 
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text, in order; null text has none."""
-    one = F.translate(F.coalesce(text, F.lit("")), SPACE, " " * len(SPACE))
-    return F.array_remove(F.split(one, " "), "")
-
-
-def without_space(text: Column) -> Column:
-    return F.translate(text, SPACE, "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
 
 
 def count_chars(text: Column, chars: str) -> Column:
-    """How many code points of ``text`` are in ``chars``."""
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+    """How many code points of ``text`` are in the character class ``chars``."""
+    return F.length(F.regexp_replace(text, f"[^{chars}]+", ""))
 
 
 def ascii_lower(text: Column) -> Column:

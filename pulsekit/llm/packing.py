@@ -9,7 +9,9 @@ by an equi-join.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterable
 
@@ -18,20 +20,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import landed
+from pulsekit.llm.bpe import byte_letters
+from pulsekit.llm.common import landed, per_process
 
 CAPACITY = 4096
 END_ID = 1
 #: Words above this length are encoded each time instead of being remembered.
-LONGEST_CACHED, MAX_CACHED = 48, 200_000
+LONGEST_CACHED, MAX_CACHED = 48, 1 << 20
+#: Words that no rule of the splitter cuts and that normalisation only lower-cases.
+PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 SLOT_CHUNK = 1 << 16
 
 
 class WordEncoder:
     """Token ids of a text as little-endian 32-bit integers, remembered by word.
 
-    The tokenizer drops white space before it splits, so the ids of a text are
-    those of its space-separated words one after another.
+    The tokenizer drops white space before it splits and ignores case, so the ids
+    of a text are those of its lower-case words one after another.
     """
 
     def __init__(self, path: str):
@@ -40,23 +45,49 @@ class WordEncoder:
         self.tok, self.known = Tokenizer.from_file(path), {}
         self.tok.no_truncation()
         self.tok.no_padding()
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch(words, add_special_tokens=False)]
+        self.bare = Tokenizer(self.tok.model)  # the merges without normalisation and splitting
+        self.letters = str.maketrans({chr(b): c for b, c in byte_letters().items()})
+        self.ends = np.zeros(self.tok.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """A word of Latin letters alone is one token of the splitter: the merges suffice."""
+        texts = [w.decode("utf-8") for w in words]
+        plain = [bool(PLAIN.fullmatch(t)) for t in texts]
+        parts = [t.lower().encode("utf-8").decode("latin-1").translate(self.letters)
+                 for t, p in zip(texts, plain) if p]
+        ids = np.array(self.bare.encode(parts, is_pretokenized=True, add_special_tokens=False).ids, "<u4") if parts \
+            else np.empty(0, "<u4")
+        raw, at = ids.tobytes(), [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
+        if len(at) != len(parts) + 1:
+            raise ValueError("a word's last token is not marked as the end of a word")
+        merged = iter([raw[a:b] for a, b in zip(at, at[1:])])
+        other = iter(self.tok.encode_batch_fast([t for t, p in zip(texts, plain) if not p], add_special_tokens=False))
+        return [next(merged) if p else array("I", next(other).ids).tobytes() for p in plain]
+
+    def _learn(self, words: set[bytes]) -> None:
+        """A full stop or comma after a letter is a token of its own, so only the stem has to be encoded."""
+        known = self.known
+        stems = {w: w[:-1] for w in words if w[-1:] in (b".", b",") and w[-2:-1].isalpha()}
+        new = list({stems.get(w, w) for w in words}.union((b".", b",")).difference(known))
+        known.update(zip(new, self._ids(new)))
+        known.update((w, known[stem] + known[w[-1:]]) for w, stem in stems.items())
 
     def encode(self, text: str | None) -> bytes:
-        words = text.split(" ") if text else []
+        raw = (text or "").encode("utf-8")
+        words = (raw if b"<|" in raw else raw.lower()).split()  # special tokens are found before the case goes
         known = self.known
         if len(known) > MAX_CACHED:
             known.clear()
-        new = [w for w in set(words).difference(known)]
-        if new:
-            known.update(zip(new, self._ids(new)))
-        out = b"".join(map(known.__getitem__, words))
-        for w in new:
-            if len(w) > LONGEST_CACHED:
-                del known[w]
-        return out
+        ids = list(map(known.get, words))
+        if None in ids:
+            new = {w for w, found in zip(words, ids) if found is None}
+            self._learn(new)
+            ids = list(map(known.__getitem__, words))
+            for w in new:
+                if len(w) > LONGEST_CACHED:
+                    del known[w]
+        return b"".join(ids)
 
 
 def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
@@ -70,7 +101,8 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, e
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
 
     def cut(batches):
-        encoder, end, step = WordEncoder(tokenizer_path), np.array([end_id], "<u4").tobytes(), 4 * capacity
+        encoder = per_process(("words", tokenizer_path), lambda: WordEncoder(tokenizer_path))
+        end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
