@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsekit.functions import (NO_LABEL, day_number, day_of_iso, start_minute, ts_from_day_time,
@@ -127,51 +127,56 @@ def label_last_wins(samples: DataFrame, intervals: DataFrame, keys: Sequence[str
             .select(*samples.columns, F.coalesce(F.col("_label"), F.lit(NO_LABEL)).alias(label)))
 
 
+def winning_segments(intervals: DataFrame, keys: Sequence[str], bucket_minutes: int = 60) -> DataFrame:
+    """Disjoint segments ``keys..., _bucket, _from, _to, _label`` of the activity that wins there.
+
+    Every activity is replicated to the ``bucket_minutes`` buckets it overlaps
+    (``minutes / bucket + 2`` rows at most) and cut at the starts and ends of the
+    others in its bucket; of the activities that cover a piece the one with the
+    greatest (start, id) stays.  Work per activity does not grow with its minutes.
+    """
+    span = bucket_minutes * 60 * 1_000_000
+    acts = (intervals.filter(F.col("minutes") > 0)
+            .withColumn("_s", _micros("start"))
+            .withColumn("_e", F.col("_s") + F.col("minutes").cast("bigint") * 60_000_000)
+            .select(*keys, "activity_id", "activity", "start", "_s", "_e",
+                    F.explode(F.sequence(F.floor(F.col("_s") / span), F.floor((F.col("_e") - 1) / span))).alias("_bucket"))
+            .withColumn("_s", F.greatest("_s", F.col("_bucket") * span))
+            .withColumn("_e", F.least("_e", (F.col("_bucket") + 1) * span)))
+    on = [*keys, "_bucket"]
+    edges = acts.select(*on, F.explode(F.array("_s", "_e")).alias("_from")).distinct()
+    pieces = edges.withColumn("_to", F.lead("_from").over(Window.partitionBy(*on).orderBy("_from"))).filter("_to is not null")
+    return (pieces.join(acts, on).filter((F.col("_s") <= F.col("_from")) & (F.col("_e") >= F.col("_to")))
+            .groupBy(*on, "_from", "_to")
+            .agg(F.max_by("activity", F.struct("start", "activity_id")).alias("_label")))
+
+
 def label_range_join(samples: DataFrame, intervals: DataFrame, keys: Sequence[str],
-                     row_id: Sequence[str], label: str = "sport",
-                     bucket_minutes: int = 60) -> DataFrame:
+                     label: str = "sport", bucket_minutes: int = 60) -> DataFrame:
     """Last-wins labelling as a range join on true minutes (midnight = carry).
 
-    Spark has no native interval join; a bare ``ts >= start AND ts < end`` on
-    the user key alone would compare all pairs of a user.  Instead every
-    activity is replicated to the ``bucket_minutes`` buckets it overlaps
-    (``minutes / bucket + 2`` rows at most) and joined on (keys, bucket) - an
-    equi-join - with the range test as residual predicate.  A sample only
-    meets the activities overlapping its own bucket.  The reduction to one
-    label per sample groups by the sample columns, a superset of the join
-    keys, so it reuses the join's partitioning (no further shuffle).
-    ``row_id`` must identify a sample.
+    Samples meet the disjoint winning segments of their own (keys, bucket): an
+    equi-join with the range test as residual predicate, in which a sample
+    matches one segment at most.  Nothing is grouped after the join, so repeated
+    samples stay and AQE may split a hot bucket.  As everywhere, a time whose
+    seconds are not ``00`` has no label.
     """
-    missing = [c for c in row_id if c not in samples.columns]
-    if missing:
-        raise ValueError(f"row_id columns not in samples: {missing}")
-    bucket_us = bucket_minutes * 60 * 1_000_000
-    ts = ts_from_day_time("date", "time")
-    left = (samples
-            .withColumn("_ts", ts)
-            .withColumn("_bucket", F.floor(_micros("_ts") / bucket_us)))
-    acts = (intervals.filter(F.col("minutes") > 0)
-            .withColumn("_end", F.expr("timestampadd(MINUTE, minutes, start)"))
-            .withColumn("_b0", F.floor(_micros("start") / bucket_us))
-            .withColumn("_b1", F.floor((_micros("_end") - 1) / bucket_us))
-            .select(*keys, "activity_id", "activity", F.col("start").alias("_start"), "_end",
-                    F.explode(F.sequence("_b0", "_b1")).alias("_bucket")))
-    cond = [left[k] == acts[k] for k in keys] + [
-        left["_bucket"] == acts["_bucket"],
-        left["_ts"] >= acts["_start"], left["_ts"] < acts["_end"]]
-    joined = left.join(acts, on=cond, how="left")
-    sample_cols = [left[c] for c in samples.columns] + [left["_bucket"]]
-    order = F.when(acts["activity"].isNotNull(), F.struct(acts["_start"], acts["activity_id"]))
-    out = (joined.groupBy(*sample_cols)
-           .agg(F.max_by(acts["activity"], order).alias("_label")))
-    return (out.withColumn(label, F.coalesce(F.col("_label"), F.lit(NO_LABEL)))
-            .drop("_label", "_bucket"))
+    span = bucket_minutes * 60 * 1_000_000
+    whole = F.when((F.length("time") == 8) & (F.substring("time", 7, 2) == "00"), ts_from_day_time("date", "time"))
+    left = (samples.withColumn("_at", whole).withColumn("_us", _micros("_at"))
+            .withColumn("_bucket", F.floor(F.col("_us") / span)))
+    seg = winning_segments(intervals, keys, bucket_minutes)
+    cond = [left[k] == seg[k] for k in keys] + [
+        left["_bucket"] == seg["_bucket"], left["_us"] >= seg["_from"], left["_us"] < seg["_to"]]
+    return (left.join(seg, on=cond, how="left")
+            .select(*[left[c] for c in samples.columns],
+                    F.coalesce(seg["_label"], F.lit(NO_LABEL)).alias(label)))
 
 
 def activities_with_samples(intervals: DataFrame, samples: DataFrame,
                             keys: Sequence[str] = ()) -> DataFrame:
     """Activities whose day has at least one sample (left semi join)."""
-    days = samples.select(*keys, "date")
+    days = samples.select(*keys, "date").distinct()  # reduced map-side before it moves
     return intervals.join(days, on=[*keys, "date"], how="left_semi")
 
 

@@ -149,7 +149,7 @@ def label_last_wins(spark, sf_dir):
 @query
 def label_range_join(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return L.label_range_join(i.samples, i.intervals, keys=USER, row_id=["event_id"])
+    return L.label_range_join(i.samples, i.intervals, keys=USER)
 
 
 @query

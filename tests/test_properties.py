@@ -78,7 +78,7 @@ def test_range_join_equals_last_wins_carry(spark, acts, sample_minutes, bucket):
         rows.append((1, i, ts.strftime("%H:%M:%S"), 60, ts.strftime("%Y-%m-%d"), ts.strftime("%H")))
     smp = spark.createDataFrame(rows, "user_id long, event_id long, time string, value int, date string, HOUR string")
     iv = L.activity_intervals(log_df, ["user_id"])
-    rng = sorted(map(tuple, L.label_range_join(smp, iv, ["user_id"], ["event_id"], bucket_minutes=bucket)
+    rng = sorted(map(tuple, L.label_range_join(smp, iv, ["user_id"], bucket_minutes=bucket)
                      .select("event_id", "sport").collect()))
     carry = sorted(map(tuple, L.label_last_wins(smp, iv, ["user_id"], midnight="carry")
                        .select("event_id", "sport").collect()))

@@ -19,9 +19,9 @@ def _data(spark, hot_minute: bool):
             user, time = 1, ("10:05:00" if hot_minute else f"{(i // 60) % 24:02d}:{i % 60:02d}:00")
         else:
             user, time = 2 + i % 50, f"{(i // 60) % 24:02d}:{i % 60:02d}:00"
-        rows.append((user, i, time, 60 + i % 40, "2021-08-01", time[:2]))
+        rows.append((user, i, time, 60 + i % 40, "2023-02-11", time[:2]))
     samples = spark.createDataFrame(rows, "user_id long, event_id long, time string, value int, date string, HOUR string")
-    acts = [(u, 100 + u * 10 + k, ["Run", "Walk"][k % 2], 30 * 60_000, f"2021-08-01T{(k * 3 + 10) % 24:02d}:05:00.000+02:00")
+    acts = [(u, 100 + u * 10 + k, ["Run", "Walk"][k % 2], 30 * 60_000, f"2023-02-11T{(k * 3 + 10) % 24:02d}:05:00.000+02:00")
             for u in range(1, 52) for k in range(4)]
     log = spark.createDataFrame(acts, "user_id long, logId long, activityName string, originalDuration long, "
                                       "originalStartTime string")
