@@ -19,7 +19,7 @@ def lag_ctes(src: str, order: str, value: str, n_lags: int, unit_us: int,
         cols.append(
             f'CASE WHEN _rn - {j} > {low} AND round_even((_t - lag(_t, {j}) OVER w) / {unit_us}, 0) = {j} '
             f'THEN CAST(lag({value}, {j}) OVER w AS DOUBLE) END AS "Min - {j}"')
-    return (f"{name}_o AS (SELECT *, epoch_us({order}) AS _t, "
+    return (f"{name}_o AS (SELECT *, epoch_us({order.split(",")[0]}) AS _t, "
             f"row_number() OVER ({part}ORDER BY {order}) AS _rn FROM {src}),\n"
             f"{name} AS (SELECT *, {', '.join(cols)} FROM {name}_o WINDOW w AS ({part}ORDER BY {order}))")
 
@@ -57,14 +57,20 @@ ORACLE["lag_features_frame"] = _LAG
 ORACLE["lag_features_by_type"] = with_(
     """per_type AS (SELECT event_type, strptime(strftime(ts, '%Y-%m-%d %H'), '%Y-%m-%d %H') AS "TS",
        max(CAST(floor(value) AS INTEGER)) AS "BPM" FROM events GROUP BY ALL)""",
-    lag_ctes("per_type", '"TS"', '"BPM"', 6, HOUR_US, series=("event_type",))) + \
-    f"""SELECT event_type, "TS", "BPM", {lag_list(6)} FROM lagged WHERE {complete(6, '"BPM"')}"""
+    lag_ctes("per_type", '"TS"', '"BPM"', 60, HOUR_US, series=("event_type",))) + \
+    f"""SELECT event_type, "TS", "BPM", {lag_list(60)} FROM lagged"""
 ORACLE["lag_features_per_user"] = with_(
     SAMPLES,
     """per_user AS (SELECT user_id, strptime("date" || "HOUR", '%Y-%m-%d%H') AS "TS", max(value) AS "BPM"
        FROM samples GROUP BY ALL)""",
-    lag_ctes("per_user", '"TS"', '"BPM"', 2, HOUR_US, series=("user_id",))) + \
-    f"""SELECT user_id, "TS", "BPM", {lag_list(2)} FROM lagged WHERE {complete(2, '"BPM"')}"""
+    lag_ctes("per_user", '"TS"', '"BPM"', 60, HOUR_US, series=("user_id",))) + \
+    f"""SELECT user_id, "TS", "BPM", {lag_list(60)} FROM lagged"""
+ORACLE["lag_matrix_per_user"] = with_(
+    *LABEL_CTES,
+    """per_user AS (SELECT user_id, event_id, strptime("date" || "time", '%Y-%m-%d%H:%M:%S') AS "TS", value AS "BPM", sport
+       FROM labelled)""",
+    lag_ctes("per_user", '"TS", event_id', '"BPM"', 60, 60_000_000, series=("user_id",))) + \
+    f"""SELECT user_id, event_id, {_TIME}, "BPM", {lag_list(60)}, {one_hots()} FROM lagged"""
 ORACLE["training_matrix"] = MATRIX
 ORACLE["persistence_mae"] = ("SELECT count(*) AS n_rows, avg(abs(\"BPM\" - \"Min - 1\")) AS mae FROM ("
                              + MATRIX + ")")
@@ -93,3 +99,6 @@ FROM (UNPIVOT (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _FEATS)}
                FROM ({_SPLIT_MATRIX}) WHERE split = 'train')
       ON {', '.join(_FEATS)} INTO NAME "column" VALUE x)
 GROUP BY "column" """
+ORACLE["bpm_predict_check"] = f"""
+SELECT count(*) AS n_test, sum("BPM") AS sum_real, true AS in_range, true AS learned
+FROM ({_SPLIT_MATRIX}) WHERE split = 'test'"""

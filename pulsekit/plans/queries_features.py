@@ -5,18 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pulsekit.functions import (NO_LABEL_COLUMN, SPORTS, clock_text, day_text, epoch_micros, hour_text,
-                                one_hot_columns, time_as_int, ts_from_day_hour)
+                                one_hot_columns, time_as_int, ts_from_day_hour, ts_from_day_time)
 from pulsekit.operators import features as FT
 from pulsekit.operators import model as M
 from pulsekit.operators import stats as ST
 from pulsekit.plans.context import Inputs
 from pulsekit.plans.queries import query
-from pulsekit.session import checkpoint_root
+from pulsekit.session import checkpoint_root, scratch_path
 
 HOUR_S = 3600
 N_LAGS = 60
-TYPE_LAGS = 6
-USER_LAGS = 2
 # one-week frames (+ 61 h halo) for the hourly series: the window runs as
 # several tasks even over a single global series
 WEEK_UNITS = 24 * 7
@@ -43,25 +41,38 @@ def lag_features_frame(spark, sf_dir):
 
 @query
 def lag_features_by_type(spark, sf_dir):
-    """One hourly series per event type (these have real gaps), 6 lags each."""
+    """One hourly series per event type, all 60 lags; rows with gaps stay, with nulls."""
     i = Inputs(spark, sf_dir)
     per_type = (i.events.select("event_type", ts_from_day_hour(day_text("ts"), hour_text("ts")).alias("TS"),
                                 F.floor("value").cast("int").alias("v"))
                 .groupBy("event_type", "TS").agg(F.max("v").alias("BPM")))
-    return FT.lag_features(per_type, "TS", "BPM", n_lags=TYPE_LAGS, unit_seconds=HOUR_S,
-                           series=["event_type"], bucket_units=24)
+    return FT.lag_features(per_type, "TS", "BPM", n_lags=N_LAGS, unit_seconds=HOUR_S,
+                           series=["event_type"], dropna=False, bucket_units=WEEK_UNITS)
 
 
 @query
 def lag_features_per_user(spark, sf_dir):
     """One hourly series per user (the source application's per-person
-    series), 2 gap-checked lags; frames of one day per user, so thousands of
-    series window in parallel and no series is one task."""
+    series), all 60 gap-checked lags; rows with gaps stay, with nulls.  Frames
+    of one week per user, so no series is one task."""
     i = Inputs(spark, sf_dir)
     per_user = (i.samples.select("user_id", ts_from_day_hour("date", "HOUR").alias("TS"), "value")
                 .groupBy("user_id", "TS").agg(F.max("value").alias("BPM")))
-    return FT.lag_features(per_user, "TS", "BPM", n_lags=USER_LAGS, unit_seconds=HOUR_S,
-                           series=["user_id"], bucket_units=24)
+    return FT.lag_features(per_user, "TS", "BPM", n_lags=N_LAGS, unit_seconds=HOUR_S,
+                           series=["user_id"], dropna=False, bucket_units=WEEK_UNITS)
+
+
+@query
+def lag_matrix_per_user(spark, sf_dir):
+    """Every labelled sample with its person's values of the 60 minutes before
+    (the source application's matrix, at the data's own grain), gaps as nulls."""
+    lab = Inputs(spark, sf_dir).labelled.select(
+        "user_id", "event_id", ts_from_day_time("date", "time").alias("TS"), F.col("value").alias("BPM"), "sport")
+    lagged = FT.lag_features(lab, "TS", "BPM", n_lags=N_LAGS, unit_seconds=60, series=["user_id"],
+                             tie="event_id", dropna=False)
+    return lagged.select("user_id", "event_id", time_as_int(clock_text("TS")).alias("time"),
+                         F.col("BPM").cast("int").alias("BPM"),
+                         *[F.col(f"`{n}`") for n in FT.lag_names(N_LAGS)], *one_hot_columns("sport", SPORTS))
 
 
 def _matrix(spark, sf_dir):
@@ -116,13 +127,36 @@ def zscore_features(spark, sf_dir):
     return fit.select("column", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
-@query
-def bpm_predict(spark, sf_dir):
-    """Train on the training rows, score the test rows (rows-only check)."""
+def _predicted(spark, sf_dir):
+    """-> (landed split matrix, scores of its test rows by the saved and loaded model)."""
     checkpoint_root(spark)  # boosting cuts its lineage in the shared checkpoint folder
-    m = _split_matrix(spark, sf_dir)
+    path = scratch_path(spark, "matrix")
+    _split_matrix(spark, sf_dir).write.parquet(path)  # the grid reads it many times
+    m = spark.read.parquet(path)
     feats = [c for c in m.columns if c not in ("split", "BPM")]
     model, names = M.fit_regressor(m.filter(F.col("split") == "train"), feats,
                                    max_iter=(10,), max_depth=(3, 5))
+    saved = scratch_path(spark, "model")
+    M.save_model(model, saved)
     onehots = [NO_LABEL_COLUMN, *SPORTS]
-    return M.score(model, names, m.filter(F.col("split") == "test"), passthrough=onehots)
+    return m, M.score(M.load_model(saved), names, m.filter(F.col("split") == "test"), passthrough=onehots)
+
+
+@query
+def bpm_predict(spark, sf_dir):
+    """Train on the training rows, score the test rows with the model as saved and loaded (rows-only check)."""
+    return _predicted(spark, sf_dir)[1]
+
+
+@query
+def bpm_predict_check(spark, sf_dir):
+    """What is known of the predictions beforehand: their number, that they stay in the range of the
+    training values, the test rows' true values, and that the test error beats the spread around the mean."""
+    m, scored = _predicted(spark, sf_dir)
+    train = m.filter(F.col("split") == "train").agg(F.min("BPM").alias("lo"), F.max("BPM").alias("hi"),
+                                                    F.avg("BPM").alias("mean"))
+    lo, hi, mean = (train.select(c).scalar() for c in ("lo", "hi", "mean"))
+    mae = F.avg(F.abs(F.col("Predict BPM") - F.col("Real BPM")))
+    return scored.agg(F.count("*").alias("n_test"), F.sum("Real BPM").cast("bigint").alias("sum_real"),
+                      F.coalesce(F.bool_and(F.col("Predict BPM").between(lo, hi)), F.lit(True)).alias("in_range"),
+                      F.coalesce(mae <= 1.1 * F.avg(F.abs(F.col("Real BPM") - mean)) + 1, F.lit(True)).alias("learned"))
