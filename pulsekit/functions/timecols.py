@@ -2,7 +2,7 @@
 
 Timestamps stay ``TIMESTAMP_NTZ`` (local wall clock) end to end, so nothing
 depends on the session time zone.  ISO start texts carry an offset
-(``...T19:54:48.000+02:00``); the wall clock wanted is the first 19
+(``...T10:20:31.000+02:00``); the wall clock wanted is the first 19
 characters, not the UTC instant.
 
 Text is parsed tolerantly: with ANSI mode on, ``to_timestamp`` / ``to_date``

@@ -11,21 +11,21 @@ from pulsekit.sources.readers import read_csv
 
 
 def test_keys_and_digits(spark):
-    df = spark.createDataFrame([("2021-08-01T19:42:42.000Z",)], "s string")
+    df = spark.createDataFrame([("2023-02-11T12:05:17.000Z",)], "s string")
     r = df.select(landing_key("s").alias("k"), stamp_digits("s").alias("d"),
                   stamp_digits(landing_key("s")).alias("kd")).collect()[0]
-    assert r.k == "2021-08-01_19h42m42s" and r.d == r.kd == 20210801194242
+    assert r.k == "2023-02-11_12h05m17s" and r.d == r.kd == 20230211120517
 
 
 def test_high_water_mark_is_strict(spark):
-    recs = spark.createDataFrame([(1, "2021-08-01T10:00:00.000Z"), (1, "2021-08-01T10:00:01.000Z"),
+    recs = spark.createDataFrame([(1, "2023-02-11T10:00:00.000Z"), (1, "2023-02-11T10:00:01.000Z"),
                                   (2, "2020-01-01T00:00:00.000Z")], "u long, stamp string")
-    landed = spark.createDataFrame([(1, "2021-08-01_10h00m00s.json")], "u long, name string")
+    landed = spark.createDataFrame([(1, "2023-02-11_10h00m00s.json")], "u long, name string")
     per_user = INC.newer_than_high_water_mark(recs, "stamp", landed, "name", keys=["u"])
     assert sorted((r.u, r.stamp) for r in per_user.collect()) == [
-        (1, "2021-08-01T10:00:01.000Z"), (2, "2020-01-01T00:00:00.000Z")]
+        (1, "2023-02-11T10:00:01.000Z"), (2, "2020-01-01T00:00:00.000Z")]
     glob = INC.newer_than_high_water_mark(recs, "stamp", landed, "name")
-    assert [r.stamp for r in glob.collect()] == ["2021-08-01T10:00:01.000Z"]
+    assert [r.stamp for r in glob.collect()] == ["2023-02-11T10:00:01.000Z"]
 
 
 def test_new_files_and_newest_version(spark):
@@ -39,24 +39,24 @@ def test_new_files_and_newest_version(spark):
 
 
 def test_latest_n_ties_and_days(spark):
-    df = spark.createDataFrame([(i, f"2021-08-0{1 + i // 3}") for i in range(9)], "id long, day string")
-    top = INC.latest_n_before(df, "day", "2021-08-03", 4, "id").collect()
+    df = spark.createDataFrame([(i, f"2023-02-1{1 + i // 3}") for i in range(9)], "id long, day string")
+    top = INC.latest_n_before(df, "day", "2023-02-13", 4, "id").collect()
     assert [r.id for r in top] == [5, 4, 3, 2]  # ties on day broken by id, cut-off exclusive
-    days = INC.days_in_range(df, "day", "2021-08-02", "2021-08-03").collect()
-    assert sorted(r.day for r in days) == ["2021-08-02", "2021-08-03"]
+    days = INC.days_in_range(df, "day", "2023-02-12", "2023-02-13").collect()
+    assert sorted(r.day for r in days) == ["2023-02-12", "2023-02-13"]
 
 
 def test_upsert_by_day_replaces_only_delivered_days(spark, tmp_dir):
     path = os.path.join(tmp_dir, "heart")
-    first = spark.createDataFrame([("2021-08-01", 1), ("2021-08-02", 2)], "date string, v int")
+    first = spark.createDataFrame([("2023-02-11", 1), ("2023-02-12", 2)], "date string, v int")
     upsert_days(first, path)
-    upsert_days(spark.createDataFrame([("2021-08-02", 20), ("2021-08-03", 3)], "date string, v int"), path)
+    upsert_days(spark.createDataFrame([("2023-02-12", 20), ("2023-02-13", 3)], "date string, v int"), path)
     got = sorted((r.date, r.v) for r in spark.read.schema("v int, date string").parquet(path).collect())
-    assert got == [("2021-08-01", 1), ("2021-08-02", 20), ("2021-08-03", 3)]
+    assert got == [("2023-02-11", 1), ("2023-02-12", 20), ("2023-02-13", 3)]
 
 
 def test_csv_variants(spark, tmp_dir):
-    df = spark.createDataFrame([("10:00:00", 60, "2021-08-01", "10")], "time string, value int, date string, HOUR string")
+    df = spark.createDataFrame([("10:00:00", 60, "2023-02-11", "10")], "time string, value int, date string, HOUR string")
     p1, p2 = os.path.join(tmp_dir, "h"), os.path.join(tmp_dir, "s")
     write_csv(df, p1)
     write_csv(df, p2, header=True, sep=";")

@@ -25,37 +25,37 @@ def _write(folder, name, doc):
 
 
 def test_flatten_files_with_empty_days_and_two_entries(spark, tmp_dir):
-    _write(tmp_dir, "2021-08-01.json", _doc("2021-08-01", [("10:00:00", 60), ("10:01:00", 62), ("11:00:00", 70)]))
-    _write(tmp_dir, "2021-08-02.json", _doc("2021-08-02", []))
-    _write(tmp_dir, "2021-08-03.json", _doc("2021-08-03", [("00:00:00", 55)], second_day="2021-08-04"))
+    _write(tmp_dir, "2023-02-11.json", _doc("2023-02-11", [("10:00:00", 60), ("10:01:00", 62), ("11:00:00", 70)]))
+    _write(tmp_dir, "2023-02-12.json", _doc("2023-02-12", []))
+    _write(tmp_dir, "2023-02-13.json", _doc("2023-02-13", [("00:00:00", 55)], second_day="2023-02-14"))
     docs = read_day_documents(spark, tmp_dir + "/*.json")
     out = flatten_day_documents(docs, keep=["file_name"]).withColumn("file_day", day_from_file_name("file_name"))
     rows = sorted(out.select("date", "time", "value", "HOUR", "file_day").collect())
     assert [tuple(r) for r in rows] == [
-        ("2021-08-01", "10:00:00", 60, "10", "2021-08-01"),
-        ("2021-08-01", "10:01:00", 62, "10", "2021-08-01"),
-        ("2021-08-01", "11:00:00", 70, "11", "2021-08-01"),
-        ("2021-08-03", "00:00:00", 55, "00", "2021-08-03"),  # only the first entry's day counts
+        ("2023-02-11", "10:00:00", 60, "10", "2023-02-11"),
+        ("2023-02-11", "10:01:00", 62, "10", "2023-02-11"),
+        ("2023-02-11", "11:00:00", 70, "11", "2023-02-11"),
+        ("2023-02-13", "00:00:00", 55, "00", "2023-02-13"),  # only the first entry's day counts
     ]
 
 
 def test_all_days_empty_still_resolves(spark, tmp_dir):
-    _write(tmp_dir, "2021-08-02.json", _doc("2021-08-02", []))
+    _write(tmp_dir, "2023-02-12.json", _doc("2023-02-12", []))
     out = flatten_day_documents(read_day_documents(spark, tmp_dir))
     assert out.count() == 0
     assert out.columns == ["time", "value", "date", "HOUR"]
 
 
 def test_non_numeric_value_becomes_null(spark):
-    df = spark.createDataFrame([("10:00:00", "71", "2021-08-01", "10"), ("10:01:00", "x", "2021-08-01", "10")],
+    df = spark.createDataFrame([("10:00:00", "71", "2023-02-11", "10"), ("10:01:00", "x", "2023-02-11", "10")],
                                "time string, value string, date string, HOUR string")
     vals = sorted((r.time, r.value) for r in typed_samples(df).collect())
     assert vals == [("10:00:00", 71), ("10:01:00", None)]
 
 
 def test_day_from_file_name(spark):
-    df = spark.createDataFrame([("a/b/2021-08-01.json",), ("2022-05-27_11h43m51s.json",)], "p string")
-    assert [r[0] for r in df.select(day_from_file_name("p")).collect()] == ["2021-08-01", "2022-05-27"]
+    df = spark.createDataFrame([("a/b/2023-02-11.json",), ("2023-04-19_14h08m26s.json",)], "p string")
+    assert [r[0] for r in df.select(day_from_file_name("p")).collect()] == ["2023-02-11", "2023-04-19"]
     assert df.select(F.col("p")).count() == 2
 
 
@@ -63,26 +63,26 @@ def test_activity_log_files_with_optional_fields(spark, tmp_dir):
     from pulsekit.operators.label import activity_intervals
     from pulsekit.sources.readers import read_activity_log
     base = {"activityName": "Run", "logId": 7, "originalDuration": 5_292_000,
-            "originalStartTime": "2021-08-01T19:54:48.000+02:00", "lastModified": "2021-08-01T19:42:42.000Z",
+            "originalStartTime": "2023-02-11T10:20:31.000+02:00", "lastModified": "2023-02-11T12:05:17.000Z",
             "hasActiveZoneMinutes": True, "distance": 12.5,
             "heartRateZones": [{"caloriesOut": 1.5, "max": 100, "min": 50, "minutes": 3, "name": "Fat Burn"}]}
     with_source = dict(base, source={"id": "x", "name": "tracker", "trackerFeatures": ["HEARTRATE"], "type": "t"})
     without = dict(base, logId=8, activityName="Walk", originalDuration=60_000,
-                   originalStartTime="2022-05-27T11:43:51.000+02:00")
-    _write(tmp_dir, "2021-08-01_19h42m42s.json", [with_source])
-    _write(tmp_dir, "2022-05-27_11h43m51s.json", [without])
+                   originalStartTime="2023-04-19T14:08:26.000+02:00")
+    _write(tmp_dir, "2023-02-11_12h05m17s.json", [with_source])
+    _write(tmp_dir, "2023-04-19_14h08m26s.json", [without])
     log = read_activity_log(spark, tmp_dir)
     rows = {r.logId: r for r in log.collect()}
     assert rows[7].source.trackerFeatures == ["HEARTRATE"] and rows[8].source is None
     iv = {r.activity_id: (r.date, str(r.start), r.minutes) for r in activity_intervals(log).collect()}
-    assert iv == {7: ("2021-08-01", "2021-08-01 19:54:00", 88), 8: ("2022-05-27", "2022-05-27 11:43:00", 1)}
+    assert iv == {7: ("2023-02-11", "2023-02-11 10:20:00", 88), 8: ("2023-04-19", "2023-04-19 14:08:00", 1)}
 
 
 def test_stand_in_documents_are_bounded(spark):
     from pulsekit.plans.standins import DOC_SPAN, day_documents
     from pulsekit.sources.readers import parse_json_array
     from pulsekit.sources.schemas import DAY_DOCUMENT
-    rows = [(1, i, f"{(i // 60) % 24:02d}:{i % 60:02d}:00", 60, "2021-08-01", "00") for i in range(5000)]
+    rows = [(1, i, f"{(i // 60) % 24:02d}:{i % 60:02d}:00", 60, "2023-02-11", "00") for i in range(5000)]
     smp = spark.createDataFrame(rows, "user_id long, event_id long, time string, value int, date string, HOUR string")
     docs = day_documents(smp).select(F.explode(parse_json_array("document", DAY_DOCUMENT)).alias("d"))
     sizes = [r[0] for r in docs.select(F.size("d.`activities-heart-intraday`.dataset")).collect()]

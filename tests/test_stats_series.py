@@ -7,21 +7,21 @@ from pulsekit.operators import stats as ST
 
 
 def _labelled(spark):
-    rows = [("2021-08-01", "10", 1, "0"), ("2021-08-01", "10", 2, "Run"), ("2021-08-01", "10", 5, "Walk"),
-            ("2021-08-01", "10", 8, "0"), ("2021-08-01", "11", 7, "0"), ("2021-08-02", "00", 3, "0")]
+    rows = [("2023-02-11", "10", 1, "0"), ("2023-02-11", "10", 2, "Run"), ("2023-02-11", "10", 5, "Walk"),
+            ("2023-02-11", "10", 8, "0"), ("2023-02-11", "11", 7, "0"), ("2023-02-12", "00", 3, "0")]
     return spark.createDataFrame(rows, "date string, HOUR string, value int, sport string")
 
 
 def test_daily_and_hourly_with_median_and_label(spark):
     df = _labelled(spark)
     d = {r.date: r for r in ST.value_stats(df, ["date"], label="sport", median=True).collect()}
-    assert (d["2021-08-01"].min_value, d["2021-08-01"].max_value) == (1, 8)
-    assert d["2021-08-01"].avg_value == 23 / 5
-    assert d["2021-08-01"].median_value == 5.0
-    assert d["2021-08-01"].sport == "Walk"  # bytewise max: any name beats "0", last name wins
-    assert d["2021-08-02"].median_value == 3.0 and d["2021-08-02"].sport == "0"
+    assert (d["2023-02-11"].min_value, d["2023-02-11"].max_value) == (1, 8)
+    assert d["2023-02-11"].avg_value == 23 / 5
+    assert d["2023-02-11"].median_value == 5.0
+    assert d["2023-02-11"].sport == "Walk"  # bytewise max: any name beats "0", last name wins
+    assert d["2023-02-12"].median_value == 3.0 and d["2023-02-12"].sport == "0"
     h = {(r.date, r.HOUR): r.median_value for r in ST.hourly_median(df).collect()}
-    assert h[("2021-08-01", "10")] == 3.5  # even count: mean of the middle two (approx would give 2)
+    assert h[("2023-02-11", "10")] == 3.5  # even count: mean of the middle two (approx would give 2)
 
 
 def test_daily_min_equals_min_of_hourly_mins(spark):
@@ -49,11 +49,11 @@ def test_series_and_profile(spark):
     daily = V.daily_series(ST.daily_stats(df, label="sport"))
     rows = daily.collect()
     assert [r.sport_marker for r in rows] == [200, 0]
-    assert str(rows[0].date) == "2021-08-01"
+    assert str(rows[0].date) == "2023-02-11"
     plain = V.daily_series(ST.daily_stats(df, label="sport"), with_marker=False)
     assert "sport_marker" not in plain.columns
     hourly = V.hourly_series(ST.hourly_stats(df, label="sport")).collect()
-    assert str(hourly[0].TS) == "2021-08-01 10:00:00"
-    prof = V.day_profile(ST.hourly_stats(df, label="sport"), "2021-08-01").collect()
+    assert str(hourly[0].TS) == "2023-02-11 10:00:00"
+    prof = V.day_profile(ST.hourly_stats(df, label="sport"), "2023-02-11").collect()
     assert [r.HOUR for r in prof] == ["10", "11"]
     assert V.day_profile(ST.hourly_stats(df, label="sport"), "1999-01-01").count() == 0
