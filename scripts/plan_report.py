@@ -63,7 +63,7 @@ def main() -> None:
     for name in args.names or [n for n in qs if not n.startswith("bpm_predict")]:
         df = qs[name](spark, args.sf_dir)
         df._jdf.queryExecution().toRdd().count()  # runs this very plan, so AQE has its final form
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         s = summarize(plan)
         print(f"| {name} | " + " | ".join(s[c] for c in cols) + " |")
     spark.stop()
