@@ -45,7 +45,7 @@ MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779
                         0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
                         0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 #: Counters of the corpus-wide frequency sketch, and the blocks they travel in.
-SKETCH_BITS, BLOCK_BITS = 22, 14
+SKETCH_BITS, BLOCK_BITS = 23, 14
 FILTER_BITS = 23
 MAX_CACHED_WORDS = 1 << 18
 
@@ -90,7 +90,7 @@ def _frequent_bits(docs: DataFrame, n: int) -> np.ndarray:
     """One bit per hash slot: does it hold a shingle that many documents share?
 
     Every shingle of every document is counted, in a sketch of fixed size; a
-    slot is frequent beyond twice the mean load plus one in 4096 documents.
+    slot is frequent beyond the mean load, four times its spread and 16 more.
     Slots only order the pivots, so a shared slot costs time and never a link.
     """
     size, block = 1 << SKETCH_BITS, 1 << BLOCK_BITS
@@ -120,9 +120,8 @@ def _frequent_bits(docs: DataFrame, n: int) -> np.ndarray:
                                               ], ["block", "bits"])
 
     counts = landed(docs.select("text").mapInArrow(count, "block int, counts binary"), "shingle-sketch")
-    n_docs = docs.count()
     load = _total(counts) / size
-    limit = 16 + 2 * load + n_docs / 4096
+    limit = 16 + load + 4 * load ** 0.5
     bits = counts.repartition("block").mapInArrow(merge, "block int, bits binary")
     out = np.zeros(size // 8, np.uint8)
     for row in bits.toLocalIterator():
