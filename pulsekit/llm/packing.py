@@ -13,7 +13,6 @@ import re
 import zlib
 from array import array
 from collections import defaultdict
-from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +28,9 @@ END_ID = 1
 LONGEST_CACHED, MAX_CACHED = 48, 1 << 20
 #: Words that no rule of the splitter cuts and that normalisation only lower-cases.
 PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: ASCII punctuation after a letter, up to the end of the word, is one piece of the splitter.  The
+#: signs of special tokens are left out, and the apostrophe, which joins letters after it.
+TAIL = re.compile(rb"(.*[A-Za-z])([!-&(-/:;=?@\[-`{}~]+)", re.DOTALL)
 SLOT_CHUNK = 1 << 16
 
 
@@ -65,13 +67,17 @@ class WordEncoder:
         other = iter(self.tok.encode_batch_fast([t for t, p in zip(texts, plain) if not p], add_special_tokens=False))
         return [next(merged) if p else array("I", next(other).ids).tobytes() for p in plain]
 
-    def _learn(self, words: set[bytes]) -> None:
-        """A full stop or comma after a letter is a token of its own, so only the stem has to be encoded."""
+    def _learn(self, words: set[bytes]) -> list[bytes]:
+        """A word that ends in punctuation is its stem's ids and then its tail's; both serve other words too.
+
+        Returns what is to be forgotten after use.
+        """
         known = self.known
-        stems = {w: w[:-1] for w in words if w[-1:] in (b".", b",") and w[-2:-1].isalpha()}
-        new = list({stems.get(w, w) for w in words}.union((b".", b",")).difference(known))
+        cuts = {w: m.groups() for w in words if (m := TAIL.fullmatch(w))}
+        new = list(words.difference(cuts).union(*cuts.values()).difference(known))
         known.update(zip(new, self._ids(new)))
-        known.update((w, known[stem] + known[w[-1:]]) for w, stem in stems.items())
+        known.update((w, known[stem] + known[tail]) for w, (stem, tail) in cuts.items())
+        return [w for w in {*new, *words} if len(w) > LONGEST_CACHED]
 
     def encode(self, text: str | None) -> bytes:
         raw = (text or "").encode("utf-8")
@@ -81,12 +87,10 @@ class WordEncoder:
             known.clear()
         ids = list(map(known.get, words))
         if None in ids:
-            new = {w for w, found in zip(words, ids) if found is None}
-            self._learn(new)
+            long = self._learn(set(words).difference(known))
             ids = list(map(known.__getitem__, words))
-            for w in new:
-                if len(w) > LONGEST_CACHED:
-                    del known[w]
+            for w in long:
+                del known[w]
         return b"".join(ids)
 
 
