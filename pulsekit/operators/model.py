@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulsekit.operators.stats import per_column
+
 # Multiplicative hashing constant (Knuth) for the deterministic split.
 _MIX = 2654435761
 _MOD = 4294967296
@@ -35,8 +37,7 @@ def random_split(df: DataFrame, train: float = 0.8, seed: int = 0) -> tuple[Data
 def standardiser_fit(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean and population std per column (the normalisation layer's statistics),
     fitted on the training rows only, as one aggregate (one row per column)."""
-    long = train.unpivot([], list(columns), "column", "x").withColumn("x", F.col("x").cast("double"))
-    return long.groupBy("column").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
+    return per_column(train, columns, lambda x: F.struct(F.avg(x).alias("mean"), F.stddev_pop(x).alias("std")))
 
 
 def standardise(df: DataFrame, params: dict[str, tuple[float, float]]) -> DataFrame:

@@ -9,9 +9,9 @@ not equal to it (2 instead of 3.5 on {1, 2, 5, 8}).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -64,19 +64,25 @@ def value_runs(samples: DataFrame, by: Sequence[str], value: str = "value") -> D
 def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std (sample), min, exact 25/50/75 % and max per column.
 
-    The columns are unpivoted (``stack``) to (column, value) and aggregated by
-    column name in one pass; quartiles interpolate linearly as the usual
-    ``describe`` does.
+    One aggregate over the rows as they are, one result row turned to a row per
+    column; quartiles interpolate linearly as the usual ``describe`` does.  No
+    rows give a count of 0 and nulls.
     """
-    long = df.unpivot([], list(columns), "column", "x").withColumn("x", F.col("x").cast("double"))
-    q = F.percentile("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return (long.groupBy("column")
-            .agg(F.count("x").alias("count"), F.avg("x").alias("mean"),
-                 F.stddev_samp("x").alias("std"), F.min("x").alias("min"),
-                 q.alias("_q"), F.max("x").alias("max"))
-            .select("column", "count", "mean", "std", "min",
-                    F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
-                    F.col("_q")[2].alias("p75"), "max"))
+    def described(x: Column) -> Column:
+        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        return F.struct(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+                        F.min(x).alias("min"), q.alias("q"), F.max(x).alias("max"))
+
+    return per_column(df, columns, described).select(
+        "column", "count", "mean", "std", "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
+        F.col("q")[2].alias("p75"), "max")
+
+
+def per_column(df: DataFrame, columns: Sequence[str], aggregate: Callable[[Column], Column]) -> DataFrame:
+    """``aggregate`` (a struct) of every column as double, in one pass: column, fields of the struct."""
+    one = df.agg(*[aggregate(F.col(f"`{c}`").cast("double")).alias(f"_{i}") for i, c in enumerate(columns)])
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_{i}").alias("a")) for i, c in enumerate(columns)])
+    return one.select(F.explode(rows).alias("r")).select("r.column", "r.a.*")
 
 
 def mean_absolute_error(df: DataFrame, truth: str, predicted: str) -> DataFrame:

@@ -19,14 +19,24 @@ USER = ("user_id",)
 
 class Inputs:
     """Stand-in inputs of one scale-factor folder.  Every property is a lazy
-    DataFrame; nothing is computed until an action runs."""
+    DataFrame; nothing is computed until an action runs.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    ``days`` (first, last; both inclusive, ``yyyy-MM-dd``) reads only these
+    days: the range is on the stored stamp, so it prunes the scan.  Samples and
+    wrapped activity minutes carry the day of their own event's stamp, hence
+    both sides of a labelling join are cut exactly."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None):
+        self.spark, self.sf_dir, self.days = spark, sf_dir, days
 
     @cached_property
     def events(self) -> DataFrame:
-        return SI.table(self.spark, self.sf_dir, "events")
+        events = SI.table(self.spark, self.sf_dir, "events")
+        if self.days is None:
+            return events
+        first, last = (F.lit(d).cast("date") for d in self.days)
+        return events.filter((F.col("ts") >= first.cast("timestamp_ntz"))
+                             & (F.col("ts") < F.date_add(last, 1).cast("timestamp_ntz")))
 
     @cached_property
     def samples(self) -> DataFrame:

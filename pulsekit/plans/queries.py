@@ -196,7 +196,7 @@ def hourly_series(spark, sf_dir):
 
 @query
 def day_profile(spark, sf_dir):
-    return V.day_profile(Inputs(spark, sf_dir).hourly_sport, PROFILE_DAY)
+    return V.day_profile(Inputs(spark, sf_dir, (PROFILE_DAY, PROFILE_DAY)).hourly_sport, PROFILE_DAY)
 
 
 @query(name="time_as_int")

@@ -129,7 +129,7 @@ def latest_n_before(spark, sf_dir):
 
 @query
 def days_in_range(spark, sf_dir):
-    return INC.days_in_range(Inputs(spark, sf_dir).samples, "date", *RANGE, keys=USER)
+    return INC.days_in_range(Inputs(spark, sf_dir, RANGE).samples, "date", *RANGE, keys=USER)
 
 
 def _tcx(spark, sf_dir):

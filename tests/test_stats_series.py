@@ -57,3 +57,20 @@ def test_series_and_profile(spark):
     prof = V.day_profile(ST.hourly_stats(df, label="sport"), "2023-02-11").collect()
     assert [r.HOUR for r in prof] == ["10", "11"]
     assert V.day_profile(ST.hourly_stats(df, label="sport"), "1999-01-01").count() == 0
+
+
+def test_summary_stats_without_rows(spark):
+    df = spark.createDataFrame([], "a int, `b c` double")
+    got = {r["column"]: (r["count"], r["mean"], r["p50"]) for r in ST.summary_stats(df, df.columns).collect()}
+    assert got == {"a": (0, None, None), "b c": (0, None, None)}
+
+
+def test_day_range_reaches_the_scan(spark):
+    from pulsekit.plans.context import Inputs
+    from tests.conftest import SF001
+    days = ("2024-01-10", "2024-01-12")
+    plan = Inputs(spark, SF001, days).samples._jdf.queryExecution().executedPlan().toString()
+    assert "ts" in plan and "2024-01-10 00:00:00" in plan.split("PushedFilters", 1)[0]
+    cut = Inputs(spark, SF001, days).samples.select("event_id", "date").collect()
+    whole = Inputs(spark, SF001).samples.filter(F.col("date").between(*days)).select("event_id", "date").collect()
+    assert cut and sorted(cut) == sorted(whole)
