@@ -4,8 +4,10 @@ The standard library's parser sends its events to ``PageReader``, which keeps
 one line per block (text, tags met, length inside links, container) and never a
 tree.  The text-to-tag ratio of the lines is smoothed with a Gaussian; lines
 above a threshold between the two clusters of ratios are content seeds.  The
-region is the smallest container that holds the seeds' text; inside it every
-line stays but those in menus, notices, forms and the like.
+region is the smallest container that holds all seeds, or the outermost one that
+is marked as main text; inside it every line stays but those in menus, notices,
+forms and the like.  A class or id does not make an element an aside that holds
+most of the page's seed text, where no article or main element stands beside it.
 """
 
 from __future__ import annotations
@@ -42,11 +44,11 @@ ASIDE_ROLES = frozenset("""navigation banner contentinfo complementary search fo
 MAIN_ROLES = frozenset(["main", "article"])
 NAME = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 SPACES = re.compile(r"\s+")
-SIGMA, SHARE = 1.5, 0.8
+SIGMA = 1.5
 
 
 def is_aside(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    """Does this element hold a menu, notice, advert, form, comments or the like?"""
+    """Is this element never main text, by its tag, its role or because it is hidden?"""
     if tag in NEVER:
         return True
     if tag in ("html", "body", "main", "article"):
@@ -59,8 +61,16 @@ def is_aside(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
             return True
         if key == "style" and "display:none" in value.replace(" ", "").lower():
             return True
+    return False
+
+
+def is_named_aside(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    """Does a class or id say that this element holds a menu, notice, advert, comments or the like?"""
+    if tag in ("html", "body", "main", "article"):
+        return False
+    for key, value in attrs:
         if key in ("class", "id"):
-            for name in value.split():
+            for name in (value or "").split():
                 words = [w.lower() for w in NAME.findall(name)]
                 if words and words[0] not in ("has", "with", "no", "without", "is") and \
                         not ASIDE_WORDS.isdisjoint(words) and words[-1] not in ("wrapper", "container", "layout", "page"):
@@ -69,10 +79,19 @@ def is_aside(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
 
 
 class Line:
-    __slots__ = ("text", "tags", "linked", "path", "tag")
+    """``parts`` are (text, inside a link, numbers of the named asides around it)."""
+
+    __slots__ = ("text", "tags", "linked", "path", "tag", "parts")
+
+    def __init__(self, parts, tags, path, tag):
+        self.text = SPACES.sub(" ", "".join(t for t, _, _ in parts)).strip()
+        self.linked = sum(len(t) for t, link, _ in parts if link)
+        self.parts, self.tags, self.path, self.tag = parts, tags, path, tag
 
-    def __init__(self, text, tags, linked, path, tag):
-        self.text, self.tags, self.linked, self.path, self.tag = text, tags, linked, path, tag
+    def outside(self, asides: set[int]) -> Line:
+        """This line without what stands in the given asides."""
+        parts = [p for p in self.parts if asides.isdisjoint(p[2])]
+        return self if len(parts) == len(self.parts) else Line(parts, self.tags, self.path, self.tag)
 
 
 class PageReader(HTMLParser):
@@ -80,26 +99,29 @@ class PageReader(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool]] = []  # tag, number, aside
+        self.open: list[tuple[str, int, bool, bool]] = []  # tag, number, aside, named aside
         self.aside = 0
+        self.named: tuple[int, ...] = ()  # numbers of the open named asides
         self.lines: list[Line] = []
-        self.parts: list[str] = []
-        self.tags = self.linked = self.links = self.count = 0
-        self.kinds: list[tuple[str, bool]] = []  # of containers: tag, marked as main
+        self.parts: list[tuple[str, bool, tuple[int, ...]]] = []
+        self.tags = self.links = self.count = 0
+        self.kinds: list[tuple[str, bool, bool]] = []  # of containers: tag, marked as main, so by tag or role
+        self.asides: list[bool] = []  # of named asides: also marked as main
 
     def flush(self) -> None:
-        text = SPACES.sub(" ", "".join(self.parts)).strip()
-        if text:
-            path = tuple(n for _, n, _ in self.open if n >= 0)
-            tag = next((t for t, _, _ in reversed(self.open) if t in BLOCK), "")
-            self.lines.append(Line(text, self.tags, self.linked, path, tag))
-        if text or self.parts:
-            self.tags = self.linked = 0
-        self.parts.clear()
+        if not self.parts:
+            return
+        if any(t and not t.isspace() for t, _, _ in self.parts):
+            path = tuple(x[1] for x in self.open if x[1] >= 0)
+            tag = next((x[0] for x in reversed(self.open) if x[0] in BLOCK), "")
+            self.lines.append(Line(self.parts, self.tags, path, tag))
+        self.tags, self.parts = 0, []
 
     def close_last(self) -> None:
-        _, _, aside = self.open.pop()
+        _, _, aside, named = self.open.pop()
         self.aside -= aside
+        if named:
+            self.named = self.named[:-1]
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
@@ -127,17 +149,21 @@ class PageReader(HTMLParser):
                     break
                 if name in BLOCK:
                     break
-        aside, number = is_aside(tag, attrs), -1
+        aside, named, number, marked = is_aside(tag, attrs), is_named_aside(tag, attrs), -1, False
         if tag in BLOCK:
             number, self.count = self.count, self.count + 1
             roles = {(v or "").lower() for k, v in attrs if k == "role"}
             names = {w for k, v in attrs if k in ("class", "id") for n in (v or "").split() for w in [n.lower()]}
-            self.kinds.append((tag, tag in ("article", "main") or not roles.isdisjoint(MAIN_ROLES)
-                               or not names.isdisjoint(MAIN_WORDS - {"page", "wrapper", "container", "layout", "body"})))
+            declared = tag in ("article", "main") or not roles.isdisjoint(MAIN_ROLES)
+            marked = declared or not names.isdisjoint(MAIN_WORDS - {"page", "wrapper", "container", "layout", "body"})
+            self.kinds.append((tag, marked, declared))
         if tag == "a":
             self.links += 1
-        self.open.append((tag, number, aside))
+        self.open.append((tag, number, aside, named))
         self.aside += aside
+        if named:
+            self.named = (*self.named, len(self.asides))
+            self.asides.append(marked)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -158,20 +184,18 @@ class PageReader(HTMLParser):
 
     def handle_data(self, data):
         if not self.aside:
-            self.parts.append(data)
-            if self.links:
-                self.linked += len(data)
+            self.parts.append((data, self.links > 0, self.named))
 
-    def finish(self) -> list[Line]:
+    def finish(self) -> None:
         self.close()
         self.flush()
-        return self.lines
 
 
-def read_lines(html: str) -> tuple[list[Line], list[tuple[str, bool]]]:
+def read_lines(html: str) -> PageReader:
     reader = PageReader()
     reader.feed(html)
-    return reader.finish(), reader.kinds
+    reader.finish()
+    return reader
 
 
 def smoothed_ratios(lines: list[Line]) -> np.ndarray:
@@ -185,7 +209,7 @@ def smoothed_ratios(lines: list[Line]) -> np.ndarray:
 
 
 def threshold(values: np.ndarray) -> float:
-    """Middle of the two cluster means (2-means on a line, from the extremes)."""
+    """Middle of the two cluster means (2-means on a line, from the extremes); the least value if they are not apart."""
     low, high = float(values.min()), float(values.max())
     for _ in range(20):
         cut = (low + high) / 2
@@ -196,34 +220,60 @@ def threshold(values: np.ndarray) -> float:
         if new == (low, high):
             break
         low, high = new
-    return (low + high) / 2
+    return (low + high) / 2 if 2 * low < high else float(values.min())
+
+
+def seeds(lines: list[Line]) -> list[int]:
+    """Length of each line that is a content seed, 0 for the others."""
+    ratios = smoothed_ratios(lines)
+    cut = threshold(ratios)
+    return [len(x.text) if r >= cut else 0 for x, r in zip(lines, ratios)]
+
+
+def without_asides(page: PageReader) -> list[Line]:
+    """The lines outside the named asides.
+
+    An element around most of the seed text is none, unless it has no main word in its class or id and
+    an article or main element with text stands beside it.
+    """
+    if not page.asides:
+        return page.lines
+    total, mass = 0, [0] * len(page.asides)
+    for x, s in zip(page.lines, seeds(page.lines) if page.lines else ()):
+        for text, _, inside in x.parts if s else ():
+            total += len(text)
+            for n in inside:
+                mass[n] += len(text)
+
+    def beside(n: int) -> bool:
+        around, others = set(), set()
+        for x in page.lines:
+            declared = [c for c in x.path if page.kinds[c][2]]
+            (around if any(n in p[2] for p in x.parts) else others).update(declared)
+        return bool(others - around)
+
+    asides = {n for n, m in enumerate(mass) if 2 * m <= total or not page.asides[n] and beside(n)}
+    return [y for x in page.lines if (y := x.outside(asides)).text]
 
 
 def main_lines(html: str | None) -> list[str]:
-    lines, kinds = read_lines(html or "")
+    page = read_lines(html or "")
+    lines, kinds = without_asides(page), page.kinds
     if not lines:
         return []
-    ratios = smoothed_ratios(lines)
-    cut = threshold(ratios)
-    seed = [len(x.text) if r >= cut else 0 for x, r in zip(lines, ratios)]
-    mass: dict[int, int] = {}
-    for x, s in zip(lines, seed):
-        for n in x.path:
-            mass[n] = mass.get(n, 0) + s
-    total = sum(seed)
-    holds = [n for n, m in mass.items() if m >= SHARE * total]
+    seed = seeds(lines)
+    paths = [x.path for x, s in zip(lines, seed) if s]
+    holds = set(paths[0]).intersection(*paths[1:])  # containers of one path: higher numbers are inside lower ones
     marked = [n for n in holds if kinds[n][1]]
     paragraphs = ("p", "li", "td", "th", "tr", "dd", "dt", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6")
-    # containers of one path, so the last one is the smallest; a lone paragraph is no region
-    region = marked[-1] if marked else max((n for n in holds if kinds[n][0] not in paragraphs), default=-1)
+    # a lone paragraph is no region
+    region = min(marked) if marked else max((n for n in holds if kinds[n][0] not in paragraphs), default=-1)
     whole = region < 0 or kinds[region][0] in ("html", "body")
     out = []
     for x, s in zip(lines, seed):
-        if not whole:
-            keep = region in x.path and not (x.tag == "li" and x.linked >= 0.9 * len(x.text) and not marked)
-        else:  # no container of its own: content seeds and running text
-            keep = s > 0 or x.tag in paragraphs and x.linked < 0.5 * len(x.text)
-        if keep:
+        menu = x.linked >= 0.9 * len(x.text) and not marked and (
+            x.tag == "li" or whole and not s and x.tag not in paragraphs)
+        if (whole or region in x.path) and not menu:
             out.append(x.text)
     return out
 

@@ -51,6 +51,25 @@ def test_made_up_pages(page, want):
     assert main_lines(page) == want
 
 
+PARAS = [f"{i} {LONG}".strip() for i in range(10)]
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<article><h1>Title</h1><div class='content'><p>{LONG}<p>{LONG}</div><p>closing</p></article>",
+     ["Title", LONG.strip(), LONG.strip(), "closing"]),
+    (f"<body><div><p>{'<p>'.join(PARAS[:9])}</div><div><p>{PARAS[9]}</div></body>", PARAS),
+    (f"<body><div>{PARAS[0]}</div><div>Short.</div><div>{PARAS[1]}</div></body>",
+     [PARAS[0], "Short.", PARAS[1]]),
+    *[(f"<body><nav>Home</nav><div class='{name}'><h1>T</h1><p>{'<p>'.join(PARAS)}<p>Short.</p><div class='sidebar'><p>{LONG}</p></div>"
+       f"</div><div class='legal'>{LONG}</div></body>", ["T", *PARAS, "Short."])
+      for name in ("page-with-sidebar", "content comments-open", "post legal")],
+    (f"<body><div class='post'><h1>T</h1><div class='text'><p>{LONG}<span class='advert'>Buy</span></div><p>closing</div></body>",
+     ["T", LONG.strip(), "closing"]),
+])
+def test_pages_lose_nothing_of_the_article(page, want):
+    assert main_lines(page) == want
+
+
 def test_no_pages(spark):
     rows = spark.createDataFrame([(None, None, None, 1), (1, "u", "<p>a", 1), (1, "u", "<p>a", 1)],
                                  "page_id long, url string, html string, text int")
