@@ -19,11 +19,15 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "guess")
 #: Words one of which stands in every match of ASSIGN, in lower case.
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-#: Credential contexts of the guess-cost rule, a superset of the base ones.
+#: Credential contexts of the guess-cost rule, a superset of the base ones.  A quoted value runs to its closing
+#: quote; another one to white space or a quote, without signs at its end, a next key or markup after it.
 CONTEXT = re.compile(
     r"(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key"
-    r"|client[_ -]?secret|credentials?|auth[_ -]?key)[\"']?[\x20\t]{0,8}(?::=|=>|[:=])[\x20\t]{0,8}[\"']?"
-    r"([^\s\"'<>,;(){}\[\]]{8,})", re.ASCII | re.IGNORECASE)
+    r"|client[_ -]?secret|credentials?|auth[_ -]?key)[\"']?[\x20\t]{0,8}(?::=|=>|[:=])[\x20\t]{0,8}"
+    r"(?:\"((?:[^\"\\\r\n]|\\.)++)\"|'((?:[^'\\\r\n]|\\.)++)'|[\"']?((?:[^\s\"'<>,;(){}\[\]]++"
+    r"|[<>,;(){}\[\]]++(?!(?<=[,;])[\w.-]{1,40}[\x20\t]?[:=]|(?<=<)(?:/|!--|[a-z]\w{0,20}[\s/>]))(?=[^\s\"'<>,;(){}\[\]]))++))",
+    re.ASCII | re.IGNORECASE)
+MIN_LENGTH = 8
 CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "key", "credential")
 
 #: Rows of a keyboard; neighbours in a row make a walk.
@@ -43,11 +47,20 @@ def word_ranks(vocabulary: str) -> dict[str, int]:
     return {w: i + 1 for i, w in enumerate(w for w in words if len(w) > 2 and w.isascii() and w.isalpha())}
 
 
+def alphabet(value: str) -> int:
+    """26 for letters of one case or digits alone, 62 for a mix of them, 95 with other signs."""
+    if not value.isalnum():
+        return 95
+    kinds = any(c.isdigit() for c in value) + (value != value.lower()) + (value != value.upper())
+    return 62 if kinds > 1 else 26
+
+
 class GuessCost:
     """Decimal logarithm of the guesses an attacker needs, over the cheapest segmentation of a value.
 
     A value is cut into dictionary words (also capitalised or with digits for letters), dates, repeats,
-    keyboard walks and sequences; what remains costs one digit a character.  Linear in the value's length.
+    keyboard walks and sequences; a character that remains costs the logarithm of the alphabet that the
+    value draws on, times ``brute``.  Linear in the value's length.
     """
 
     def __init__(self, ranks: dict[str, int], brute: float = 1.0):
@@ -59,7 +72,7 @@ class GuessCost:
     def __call__(self, value: str) -> float:
         low = value.lower()
         plain = low.translate(LEET) if len(low) == len(value) else low
-        n = len(low)
+        n, brute = len(low), self.brute * math.log10(alphabet(value))
         best = [0.0] + [math.inf] * n
 
         def reach(end: int, cost: float) -> None:
@@ -68,7 +81,7 @@ class GuessCost:
 
         for i in range(n):
             here = best[i]
-            reach(i + 1, here + self.brute)
+            reach(i + 1, here + brute)
             for k in range(i + 3, min(n, i + self.longest) + 1):
                 if rank := self.ranks.get(low[i:k]):
                     capital = 0 if value[i:k] == low[i:k] else math.log10(2) if value[i:k].istitle() or \
@@ -112,11 +125,17 @@ class SecretScanner:
         low = text.lower()
         if not any(w in low for w in CONTEXT_WORDS):
             return []
-        out = []
-        for m in CONTEXT.finditer(text):
-            a, b = m.span(1)
-            if not any(s < b and a < e for s, _, e in base) and self.cost(m[1]) >= self.min_cost:
+        out, at = [], 0
+        while m := CONTEXT.search(text, at):
+            a, b = m.span(m.lastindex)
+            touching = [e for s, _, e in base if s < b and a < e]
+            if touching:
+                at = max(a, min(b, max(touching)))
+            elif b - a >= MIN_LENGTH and self.cost(text[a:b]) >= self.min_cost:
                 out.append((a, 3, b))
+                at = b
+            else:
+                at = a  # a context inside a cheap value has its own value
         return out
 
 

@@ -154,6 +154,35 @@ def test_guess_costs():
     assert SecretScanner(WORD).base("x" * 100000) == []
 
 
+@pytest.mark.parametrize("alphabet", ["abcdefghijkmnpqrstuvwxyz", "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789",
+                                      "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789!#$%&*+-/:=?@^_~"])
+def test_short_random_secrets(alphabet):
+    rng, scanner = random.Random(5), SecretScanner(WORD)
+    for n in range(8, 12):
+        values = ["".join(rng.choice(alphabet) for _ in range(n)) for _ in range(200)]
+        texts = [f"my pwd => {v} there" for v in values]
+        hits = sum((10, 3, 10 + n) in scanner.guessed(t, []) for v, t in zip(values, texts))
+        assert hits >= (190 if len(alphabet) > 26 else 110), n  # words inside make some of them cheap
+
+
+@pytest.mark.parametrize("text, want", [
+    ("password: xK9#mQ2$", "xK9#mQ2$"), ("pwd=Zq7!tR4&pL", "Zq7!tR4&pL"),
+    ("password: xK9,mQ(2$z; and", "xK9,mQ(2$z"), ("token=[xK9<mQ2$zP].", "[xK9<mQ2$zP]."),
+    ('secret = "xK9 ,m\'Q2(" x', "xK9 ,m'Q2("), ("{'pwd': 'xK9,\"mQ2$z'}", 'xK9,"mQ2$z'),
+    ("Password=xK9#mQ2$;Server=db", "xK9#mQ2$"), ("<b>token:xK9#mQ2$</b>", "xK9#mQ2$"), ('pass: "xK9#mQ2$', "xK9#mQ2$"),
+    ("credentials: 'password: house'", None), ("token: 'pass word' secret:pwd:xK9#mQ2$", "pwd:xK9#mQ2$"),
+    ("credentials={pwd:xK9#mQ2$}", "{pwd:xK9#mQ2$"), ("password: password, token", None), ("secret: short,;", None),
+])
+def test_secret_values_are_whole(text, want):
+    assert [text[a:b] for a, _, b in SecretScanner(WORD).guessed(text, [])] == ([want] if want else [])
+
+
+def test_hostile_contexts_take_linear_time():
+    scanner = SecretScanner(WORD)
+    for text in ("pass:" * 40000, "pass:" + "," * 200000, "pass:'" * 40000, "pass:\"\\" * 40000, "pass=" + "a" * 200000):
+        scanner.guessed(text, [])
+
+
 # --- personal data
 
 def expected_spans(t):
