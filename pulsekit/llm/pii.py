@@ -5,7 +5,7 @@ before and the word after an identifier are its lexical patterns; a graph joins
 patterns with the identifiers they stand at.  Patterns are scored by the share
 of their identifiers that are known, identifiers by the patterns that hold them,
 in turns; words that only highly scored patterns point to, and that look like
-the kind, are new identifiers.
+the kind, are new identifiers.  Numbers written with blanks are one such word.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ PATTERNS = {
 }
 #: Words with a digit or an at sign: what else may be an identifier.
 CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+#: Digits with blanks, brackets, dots and hyphens between them: a number written in groups.
+RUN = r"[(\[]{0,2}+[0-9]++(?:[\x20()\[\].-]++[0-9]++)++"
 #: Characters looked at on either side for the neighbouring word.
 CONTEXT = 64
 ROUNDS, MIN_CONFIDENCE, MIN_SEEDS = 3, 0.9, 5
@@ -93,13 +95,18 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[of_kind(k, kind) for k, kind in enumerate(KINDS)])
 
 
+#: Signs between an identifier and the white space around it.
+SIGNS = r"[^\p{L}\p{N}\x20\x09-\x0D]++"
+
+
 def _word_before(text: Column, s: Column) -> Column:
     part = F.substr(text, F.greatest(s - CONTEXT + 1, F.lit(1)), F.least(s, F.lit(CONTEXT)))
+    part = F.regexp_replace(part, SIGNS + "$", "")
     return F.element_at(F.split(F.rtrim(F.translate(part, SPACE, " " * len(SPACE))), " "), -1)
 
 
 def _word_after(text: Column, e: Column) -> Column:
-    part = F.substr(text, e + 1, F.lit(CONTEXT))
+    part = F.regexp_replace(F.substr(text, e + 1, F.lit(CONTEXT)), "^" + SIGNS, "")
     return F.element_at(F.split(F.ltrim(F.translate(part, SPACE, " " * len(SPACE))), " "), 1)
 
 
@@ -117,6 +124,23 @@ def _looks_like(kind: Column, v: Column) -> Column:
             | ((kind == 3) & n.between(9, 15) & ~letters))
 
 
+def candidates(text: Column) -> Column:
+    """array<struct<s, e, v>>: words with a digit or an at sign, and numbers written with blanks, each as one.
+
+    A word that is a part of such a number is none, unless it has digits enough to be an identifier itself.
+    """
+    runs = F.when(text.rlike(r"[0-9][)\].-]*\x20[\x20()\[\].-]*[0-9]"), F.filter(
+        matches(text, RUN), lambda c: (F.instr(c["v"], " ") > 0) & F.length(_digits(c["v"])).between(9, 19))).otherwise(
+        F.array().cast("array<struct<s:int,e:int,v:string>>"))
+
+    def both(c: Column) -> Column:
+        alone = F.filter(c["words"], lambda w: (F.instr(w["v"], "@") > 0) | (F.length(_digits(w["v"])) >= 8)
+                         | ~F.exists(c["runs"], lambda r: (r["s"] < w["e"]) & (w["s"] < r["e"])))
+        return F.when(F.size(c["runs"]) > 0, F.concat(alone, c["runs"])).otherwise(c["words"])
+
+    return let(F.struct(matches(text, CANDIDATE).alias("words"), runs.alias("runs")), both)
+
+
 def _occurrences(spans: DataFrame) -> DataFrame:
     """Seeds and candidates with both neighbouring words: (id columns, k, s, e, v, left, right); k null for candidates."""
     seeds = spans.select("id", "id2", "text", F.explode("base").alias("x")).select(
@@ -183,7 +207,7 @@ def find_personal_data(docs: DataFrame, **settings) -> DataFrame:
     key = {"_id": F.xxhash64("doc_id", "text"), "_id2": F.hash("text", "doc_id")}
     text = F.coalesce("text", F.lit(""))
     # regular expressions run in the scan; what is joined later are a few spans
-    cand = F.when(text.rlike("[0-9@]"), matches(text, CANDIDATE)).otherwise(
+    cand = F.when(text.rlike("[0-9@]"), candidates(text)).otherwise(
         F.array().cast("array<struct<s:int,e:int,v:string>>"))
     worth = docs.select(F.xxhash64("doc_id", "text").alias("id"), F.hash("text", "doc_id").alias("id2"),
                         text.alias("text"), base_spans(text).alias("base"), cand.alias("cand")).filter("size(cand) > 0")
@@ -192,6 +216,9 @@ def find_personal_data(docs: DataFrame, **settings) -> DataFrame:
     extra = (seen.filter("k is null").drop("k").join(new, "v")
              .groupBy(F.col("id").alias("_id"), F.col("id2").alias("_id2"))
              .agg(F.collect_set(F.struct("k", "s", "e", "v")).alias("_extra")))
+    outer = F.filter("_extra", lambda x: ~F.exists("_extra", lambda y: (y["s"] <= x["s"]) & (x["e"] <= y["e"])
+                                                   & (y["e"] - y["s"] > x["e"] - x["s"])))
+    extra = extra.withColumn("_extra", outer)  # a found number is listed once, as a whole
     out = docs.withColumns(key).withColumn("base", base_spans(text)).join(extra, ["_id", "_id2"], "left")
     return (out.withColumn("found", F.sort_array(F.concat("base", F.coalesce("_extra", F.array().cast(
         "array<struct<k:int,s:int,e:int,v:string>>"))))).drop("_id", "_id2", "_extra"))

@@ -229,6 +229,25 @@ def test_contexts_find_unseen_identifiers(spark):
     assert found[31] == [] and found[32] == []
 
 
+def test_contexts_find_numbers_written_with_blanks(spark):
+    texts = [f"please dial +1 555 010 {1000 + i} tonight" for i in range(30)]
+    texts += [f"we charged card 4111 1111 1111 1111 at {n} noon" for n in ("a", "the", "high", "early", "late", "past")]
+    new = {"(377) 555-0271": 3, "020 7946 0958": 3, "[0]20.7946 09 58": 3, "555 010 2222": 3, "030 5550102222": 3}
+    texts += [f"please dial {v} tonight" for v in new]
+    texts += [f"please dial (020) 7946 {1000 + i}, tonight" for i in range(5)]
+    texts += ["lot 555 010 2223 sold", "please dial 12 34 tonight"]
+    df = docs(spark, texts).select("doc_id", "text")
+    found = {r.text: [(x.k, x.s, x.e, x.v) for x in r.found] for r in find_personal_data(df).collect()}
+    for v, k in new.items():
+        assert found[f"please dial {v} tonight"] == [(k, 12, 12 + len(v), v)]
+    for t in texts[-7:-2]:
+        assert found[t] == [(3, 12, 27, t[12:27])]
+    assert found[texts[-2]] == [] and found[texts[-1]] == []
+    masked = {r.text for r in mask_personal_data(df).collect()}
+    assert masked == {"please dial [PHONE] tonight", "please dial [PHONE], tonight", *texts[-2:],
+                      *[t.replace("4111 1111 1111 1111", "[CARD]") for t in texts[30:36]]}
+
+
 def test_masking(spark):
     df = spark.createDataFrame([(1, "mail a@b.co or +1 (377) 555-0271!", "en", "s", 5), (2, "é", "en", "s", 1),
                                 (None, None, None, None, None)],
