@@ -48,6 +48,8 @@ MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779
 SKETCH_BITS, BLOCK_BITS = 23, 14
 FILTER_BITS = 23
 MAX_CACHED_WORDS = 1 << 18
+#: Documents of a region that meet in one join key.
+REGION_BLOCK = 512
 
 
 class Shingler:
@@ -270,7 +272,7 @@ def ngram_jaccard_links(docs: DataFrame, n: int = 5, num: int = 75, den: int = 1
     """-> (described documents, classes of equal sets, links between class representatives).
 
     The links connect every pair of similar documents, directly or over others;
-    pairs inside a core are not listed one by one.
+    pairs inside a core are not listed one by one, ``ngram_jaccard_all_links`` has them.
     """
     docs = docs.select("doc_id", "text").filter("doc_id is not null")
     described = _described(docs, n, num, den, _frequent_bits(docs, n))
@@ -299,6 +301,52 @@ def ngram_jaccard_links(docs: DataFrame, n: int = 5, num: int = 75, den: int = 1
     return described, classes, links.unionByName(across)
 
 
+def ngram_jaccard_all_links(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100,
+                            block: int = REGION_BLOCK) -> tuple[DataFrame, DataFrame]:
+    """-> (every link between classes of equal sets, documents with their number of links).
+
+    Links are (a, b, n_a, n_b): two classes, a > b, and how many documents each holds; every similar pair
+    is tested and listed, also inside a component, so a group of G different similar texts gives G squared
+    over two rows.  Documents are (doc_id, class, n_shingles, n_class, n_links), one row for each doc_id and
+    different set it has; ``n_links`` counts the other ones it is similar to, its own class included.  A class
+    is named by the smallest 64-bit text hash in it, and null where the set is empty.  Regions are joined in
+    blocks, so that no join key holds more than about twice ``block`` documents.
+    """
+    text = F.coalesce("text", F.lit(""))
+    docs = docs.filter("doc_id is not null").select("doc_id", text.alias("text"), F.xxhash64(text).alias("t"))
+    texts = landed(docs.select(F.col("t").alias("doc_id"), "text").dropDuplicates(["doc_id"]), "texts")
+    described = _described(texts, n, num, den, _frequent_bits(texts, n))
+    classes = described.filter("n > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("class"))
+    placed = landed(described.join(classes, ["f1", "f2"]).filter("doc_id = class")
+                    .select(F.col("doc_id").alias("id"), "n", F.posexplode("pivots").alias("pos", "s")), "regions")
+    size = placed.groupBy("s").agg(F.count("*").alias("size")).filter("size > 1")
+    cut = F.ceil(F.col("size") / block).cast("int")
+    region = (placed.join(size.select("s", cut.alias("blocks")), "s")
+              .withColumn("h", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
+    left = region.select("s", "id", "n", "pos", F.col("h").alias("i"), F.explode(F.expr("sequence(h, blocks - 1)")).alias("j"))
+    right = region.select("s", F.col("h").alias("j"), F.explode(F.expr("sequence(0, h)")).alias("i"),
+                          *[F.col(c).alias(f"o_{c}") for c in ("id", "n", "pos")])
+    pairs = (left.join(right, ["s", "i", "j"])
+             .filter(((F.col("i") < F.col("j")) | (F.col("id") < F.col("o_id")))
+                     & _possible("n", "pos", "o_n", "o_pos", num, den))
+             .select(F.greatest("id", "o_id").alias("a"), F.least("id", "o_id").alias("b")).distinct())
+    links = landed(_decided(pairs, texts, described, n, num, den), "all-links")
+
+    of_text = described.join(classes, ["f1", "f2"], "left").select(F.col("doc_id").alias("t"), "class", "n")
+    member = landed(docs.select("doc_id", "t").join(of_text, "t")
+                    .select("doc_id", "class", F.col("n").cast("long").alias("n_shingles")).distinct(), "class-members")
+    sizes = member.filter("class is not null").groupBy("class").agg(F.count("*").alias("n_class"))
+    links = (links.join(sizes.select(F.col("class").alias("a"), F.col("n_class").alias("n_a")), "a")
+             .join(sizes.select(F.col("class").alias("b"), F.col("n_class").alias("n_b")), "b").select("a", "b", "n_a", "n_b"))
+    others = (links.select(F.explode(F.array(F.struct(F.col("a").alias("class"), F.col("n_b").alias("k")),
+                                             F.struct(F.col("b").alias("class"), F.col("n_a").alias("k")))).alias("x"))
+              .groupBy("x.class").agg(F.sum("x.k").alias("k")))
+    documents = (member.join(sizes, "class", "left").join(others, "class", "left")
+                 .select("doc_id", "class", "n_shingles", F.coalesce("n_class", F.lit(0)).alias("n_class"),
+                         (F.coalesce(F.col("n_class") - 1, F.lit(0)) + F.coalesce("k", F.lit(0))).alias("n_links")))
+    return links, documents
+
+
 def ngram_jaccard_components(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100) -> DataFrame:
     """(doc_id, text, ...) -> (doc_id, n_shingles, component_id), one row per input row.
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsekit.llm.components import connected_components
-from pulsekit.llm.ngram_jaccard import ngram_jaccard_components, parity_bits, parity_distance, Shingler
+from pulsekit.llm.ngram_jaccard import ngram_jaccard_all_links, ngram_jaccard_components, parity_bits, parity_distance, Shingler
 from tests.conftest import SF001
 
 SCHEMA = "doc_id long, text string, n int, core long, s string"
@@ -68,6 +68,27 @@ def test_repeated_rows_and_missing_ids(spark):
     assert got == sorted([(5, 16, 5), (5, 16, 5), (7, 16, 5), (5, 1, 5), (9, 1, 5), (None, 0, None), (None, 0, None)], key=str)
 
 
+@pytest.mark.parametrize("block", [512, 3])
+def test_every_link_is_listed(spark, block):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+    texts = [" ".join(base[:i] + [f"edit{i}"] + base[i + 1:]) for i in range(0, 100, 5)]  # similar, all different
+    texts += [texts[0], texts[0].upper(), " ".join(base[:70]), "other words", None, "", "Other words"]
+    rows = list(enumerate(texts)) + [(0, texts[0]), (0, "other words"), (None, texts[1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    links, documents = ngram_jaccard_all_links(df, block=block)
+    nodes = {(i, frozenset(shingles(t))) for i, t in rows if i is not None}
+    near = {(x, y) for x, y in combinations(sorted({s for _, s in nodes if s}, key=sorted), 2)
+            if 100 * len(x & y) >= 75 * len(x | y)}
+    size = {s: sum(s == t for _, t in nodes) for _, s in nodes}
+    got = links.collect()
+    assert len(got) == len(near) > 150 and all(r.a > r.b for r in got)
+    assert sorted(sorted((r.n_a, r.n_b)) for r in got) == sorted(sorted((size[x], size[y])) for x, y in near)
+    want = sorted((i, len(s), size[s] if s else 0, sum(t != u and (s == u[1] or (s, u[1]) in near or (u[1], s) in near)
+                                                     for u in nodes) if s else 0) for t in nodes for i, s in [t])
+    assert sorted((r.doc_id, r.n_shingles, r.n_class, r.n_links) for r in documents.collect()) == want
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 
