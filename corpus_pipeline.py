@@ -30,12 +30,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one with the smallest doc_id.
 
-    Of rows that repeat a doc_id one stays; rows without doc_id are in no group and stay.
+    A document is a doc_id with one text: texts that share a doc_id and are not similar all stay, of rows
+    that repeat both one stays.  Rows without doc_id are in no group and stay.
     """
-    components = landed(ngram_jaccard_components(docs), "components")
-    first = components.filter("doc_id = component_id").select("doc_id").distinct()
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text", "lang", "source", "n_chars"))
-    kept = (docs.join(first, "doc_id", "left_semi").withColumn("_row", F.row_number().over(order))
+    named = docs.filter("doc_id is not null").withColumn("_node", F.xxhash64("doc_id", "text"))
+    components = landed(ngram_jaccard_components(named.select(F.col("_node").alias("doc_id"), "text")), "components")
+    first = (components.select(F.col("doc_id").alias("_node"), "component_id").distinct()
+             .join(named.select("_node", "doc_id"), "_node").groupBy("component_id")
+             .agg(F.min(F.struct("doc_id", "_node")).alias("x")).select("x._node").distinct())
+    order = Window.partitionBy("_node", "doc_id", F.hash("text")).orderBy(F.xxhash64("text", "lang", "source", "n_chars"))
+    kept = (named.join(first, "_node", "left_semi").withColumn("_row", F.row_number().over(order))
             .filter("_row = 1").select(*docs.columns))
     return kept.unionByName(docs.filter("doc_id is null"))
 

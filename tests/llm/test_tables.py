@@ -228,6 +228,17 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in packed} == roots
 
 
+def test_texts_that_share_a_doc_id_stay(spark):
+    one, two = ["".join(f"{w}{i} " for i in range(60)) for w in ("a", "b")]
+    rows = [(1, one), (1, two), (1, one), (2, one + "end"), (3, two.upper()), (4, "x y"), (None, "x y"), (5, None), (5, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    out = dict(C.STAGES)["ngram_jaccard"](spark, df, SF001)
+    assert out.columns == df.columns
+    assert sorted([(r.doc_id, r.text) for r in out.collect()], key=str) == sorted(
+        [(1, one), (1, two), (4, "x y"), (None, "x y"), (5, None), (5, "")], key=str)
+
+
 def test_pipeline_on_nothing(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(0)
     for _, stage in C.STAGES[:-1]:
