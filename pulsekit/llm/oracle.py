@@ -72,5 +72,39 @@ FROM o
 """
 
 
+OP11 = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
+m AS (SELECT text, min(doc_id) AS first FROM d GROUP BY text),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+      FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 3 * length(text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN d.doc_id > m.first THEN 'E' ELSE '' END AS fails
+  FROM d JOIN m USING (text) LEFT JOIN l ON l.doc_id = d.doc_id),
+h AS (SELECT part, fails, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS letter, fails, good, toxic, n,
+    length(translate(filter_order[1:step - 1], fails, '')) < step - 1 AS before, contains(fails, filter_order[step]) AS now
+  FROM h, o, range(1, 6) AS r(step)),
+t AS (
+  SELECT part, filter_order, step, letter,
+    coalesce(sum(n) FILTER (NOT before AND NOT now), 0) AS kept, coalesce(sum(n) FILTER (NOT before AND now), 0) AS removed,
+    coalesce(sum(n) FILTER (before AND now), 0) AS redundant, coalesce(sum(n) FILTER (fails = letter), 0) AS unique_fails,
+    coalesce(sum(n) FILTER (NOT before AND now AND good = 1), 0) AS good_lost,
+    coalesce(sum(n) FILTER (NOT before AND now AND toxic = 1), 0) AS toxic_lost
+  FROM s GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM t
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard": OP1, "op2_quality_rules": _op2(), "op7_perspective_rotation": OP7}
+    return {"op1_ngram_jaccard": OP1, "op2_quality_rules": _op2(), "op7_perspective_rotation": OP7,
+            "op11_filter_audit": OP11}

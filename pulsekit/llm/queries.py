@@ -7,9 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from pulsekit.llm.binary_packing import binary_packing
 from pulsekit.llm.bpe import bpe_digests
 from pulsekit.llm.chat import perspective_rotation
 from pulsekit.llm.common import table
+from pulsekit.llm.conversation_repair import repair_conversations
+from pulsekit.llm.filter_audit import filter_audit
 from pulsekit.llm.hnsw import nearest_neighbours
 from pulsekit.llm.html_extract import extract_main_text
 from pulsekit.llm.ngram_jaccard import ngram_jaccard_components
@@ -65,7 +68,20 @@ def op10_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binary_packing(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_ngram_jaccard, op2_quality_rules, op3_best_fit_packing, op4_bpe, op5_html_extraction, op6_secret_scan,
-        op7_perspective_rotation, op8_url_filter, op9_pii, op10_hnsw)}
+        op7_perspective_rotation, op8_url_filter, op9_pii, op10_hnsw, op11_filter_audit, op12_binary_packing,
+        op13_conversation_repair)}
