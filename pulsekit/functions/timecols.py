@@ -127,6 +127,11 @@ def landing_key(stamp_col) -> Column:
                     F.substring(s, 15, 2), F.lit("m"), F.substring(s, 18, 2), F.lit("s"))
 
 
+def sleep_start(document_col) -> Column:
+    """Start time of the first record of a landed sleep document, the only field ever read from one."""
+    return F.get_json_object(_c(document_col), "$[0].sleep[0].startTime")
+
+
 def stamp_digits(stamp_col) -> Column:
     """ISO stamp or landing key -> its 14 digits ``YYYYMMDDHHMMSS`` as BIGINT."""
     return F.regexp_replace(F.substring(_c(stamp_col), 1, 19), "[^0-9]", "").try_cast("bigint")

@@ -139,5 +139,5 @@ SELECT event_id, "time", CAST(replace("time", ':', '') AS INTEGER) AS time_int F
 
 
 def oracle_sql() -> dict[str, str]:
-    from pulsekit.plans import oracle_features, oracle_files, oracle_ingest  # noqa: F401  (register)
+    from pulsekit.plans import oracle_features, oracle_files, oracle_ingest, oracle_landing  # noqa: F401  (register)
     return dict(ORACLE)

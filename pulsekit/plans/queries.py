@@ -207,5 +207,5 @@ def time_as_int_query(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    from pulsekit.plans import queries_features, queries_files, queries_ingest  # noqa: F401  (register)
+    from pulsekit.plans import queries_features, queries_files, queries_ingest, queries_landing  # noqa: F401  (register)
     return dict(REGISTRY)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsekit.functions import stamp_digits, strip_extension
@@ -57,6 +57,38 @@ def latest_n_before(df: DataFrame, ts_col: str, cutoff: str | Column, n: int,
             .orderBy(F.col(ts_col).desc(), F.col(tie_col).desc()).limit(n))
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a table's outermost partition folders, ascending: folder names, no file is opened."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    names = [f.getPath().getName() for f in found if f.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
+def days_walked_back(table: DataFrame, days: Sequence[str], ts_col: str, cutoff: str, n: int, day_col: str = "day") -> list[str]:
+    """The last of ``days`` that hold ``n`` rows before ``cutoff`` together, or all of them.
+
+    Walks back over 1, 2, 4, ... days at a time and counts their rows only, so the jobs grow with the
+    logarithm of the days needed and no older day is read.
+    """
+    left = [d for d in sorted(days) if d <= cutoff[:10]]
+    taken: list[str] = []
+    found, step = 0, 1
+    while left and found < n:
+        part, left = left[-step:], left[:-step]
+        found += table.filter(F.col(day_col).isin(part) & (F.col(ts_col) < cutoff)).count()
+        taken, step = part + taken, 2 * step
+    return taken
+
+
+def latest_n_in_days(spark: SparkSession, path: str, schema, ts_col: str, cutoff: str, n: int, tie_col: str,
+                     day_col: str = "day") -> DataFrame:
+    """``latest_n_before`` over a table partitioned by the day of ``ts_col``: only the days walked back to are read."""
+    table = spark.read.schema(schema).parquet(path)
+    days = days_walked_back(table, partition_values(spark, path, day_col), ts_col, cutoff, n, day_col)
+    return latest_n_before(table.filter(F.col(day_col).isin(days)), ts_col, cutoff, n, tie_col)
+
+
 def days_in_range(df: DataFrame, day_col: str, start: str, end: str,
                   keys: Sequence[str] = ()) -> DataFrame:
     """Distinct days (per key) between ``start`` and ``end``, both inclusive."""

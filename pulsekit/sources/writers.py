@@ -30,8 +30,9 @@ def upsert_days(df: DataFrame, path: str, day_col: str = "date", fmt: str = "par
 
 def land_documents(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "append") -> None:
     """Land raw text records (one JSON value per line), one folder per value
-    of ``by``; ``df`` holds ``by`` plus exactly one text column."""
-    writer = df.write.mode(mode)
+    of ``by``; ``df`` holds ``by`` plus exactly one text column.  Small folders
+    get one file, a large one several of the advisory size."""
+    writer = (df.hint("rebalance", *by) if by else df).write.mode(mode)
     if by:
         writer = writer.partitionBy(*by)
     writer.text(path)
