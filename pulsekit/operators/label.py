@@ -11,8 +11,10 @@ Exact semantics kept from the source application:
    never gets a label.
 5. "later" activity = greater (start, activity_id).
 
-Both forms are set-based: activities are exploded to one row per minute and
-equi-joined to the samples; no per-activity job, no growing CASE cascade.
+No activity is exploded to minutes for a label.  It is cut into ranges of minutes of a day: the whole turns
+of the clock, and the two ends that are left when it goes past midnight (``wrap``), or one range per day
+(``carry``).  Ranges are dealt to hour buckets of (keys, day), at most 25 a turn however long the activity is,
+and samples meet them in an equi-join with the range test as residual predicate.
 """
 
 from __future__ import annotations
@@ -22,8 +24,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsekit.functions import (NO_LABEL, day_number, day_of_iso, start_minute, ts_from_day_time,
-                                whole_minutes)
+from pulsekit.functions import NO_LABEL, day_number, day_of_iso, start_minute, whole_minutes
+
+DAY_MINUTES = 1440
+#: Minutes of a day's buckets in which samples meet ranges.
+BUCKET_MINUTES = 60
 
 
 def activity_intervals(log: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -38,26 +43,41 @@ def activity_intervals(log: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _minute_keys(intervals: DataFrame, keep: Sequence[str], midnight: str,
-                 spread: int | None) -> DataFrame:
-    """Exploded minutes with integer keys: ``_day`` (days since 1970) and
-    ``_mod`` (minute of the day).  Joins and reductions run on these; text is
-    only built where a result shows it."""
+def day_ranges(intervals: DataFrame, keep: Sequence[str] = (), midnight: str = "wrap") -> DataFrame:
+    """Activities as minute ranges of days: ``keep..., activity_id, activity, start, date, _day, _from, _to, _times``.
+
+    ``_day`` counts days since 1970, minutes run from 0 to 1440 and ``_to`` is exclusive.  ``wrap`` folds all
+    onto the start day: whole turns of the clock as one range that counts ``_times``, then the rest up to
+    midnight and the rest after it, so at most three rows an activity.  ``carry`` gives a row per day.
+    Activities of 0 minutes and those without a start give none.
+    """
     if midnight not in ("wrap", "carry"):
         raise ValueError("midnight must be 'wrap' or 'carry'")
-    if spread is None:
-        spread = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    exploded = (intervals
-                .filter(F.col("minutes") > 0)
-                .repartition(spread)
-                .select(*keep, "activity_id", "activity", "start", "date",
-                        day_number("date").alias("_day0"),
-                        (F.hour("start") * 60 + F.minute("start")).alias("_m0"),
-                        F.explode(F.sequence(F.lit(0), F.col("minutes") - 1)).alias("_o")))
-    m = F.col("_m0") + F.col("_o")
-    day = F.col("_day0") if midnight == "wrap" else F.col("_day0") + (m / 1440).cast("int")
-    return exploded.select(*keep, "activity_id", "activity", "start", "date",
-                           day.alias("_day"), (m % 1440).alias("_mod"))
+    acts = intervals.filter((F.col("minutes") > 0) & F.col("start").isNotNull()).select(
+        *keep, "activity_id", "activity", "start", "date", day_number("date").alias("_day0"),
+        (F.hour("start") * 60 + F.minute("start")).alias("_m0"), F.col("minutes").cast("long").alias("_n"))
+    if midnight == "carry":
+        parts = F.transform(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_m0") + F.col("_n") - 1) / DAY_MINUTES)),
+                            lambda d: F.struct((F.col("_day0") + d).cast("int").alias("_day"),
+                                               F.when(d == 0, F.col("_m0")).otherwise(0).cast("int").alias("_from"),
+                                               F.least(F.lit(DAY_MINUTES), F.col("_m0") + F.col("_n") - d * DAY_MINUTES)
+                                               .cast("int").alias("_to"), F.lit(1).alias("_times")))
+    else:
+        end = F.col("_m0") + F.col("_n") % DAY_MINUTES
+        ranges = ((F.lit(0), F.lit(DAY_MINUTES), F.floor(F.col("_n") / DAY_MINUTES)),
+                  (F.col("_m0"), F.least(F.lit(DAY_MINUTES), end), F.lit(1)), (F.lit(0), end - DAY_MINUTES, F.lit(1)))
+        parts = F.filter(F.array(*[F.struct(F.col("_day0").alias("_day"), a.cast("int").alias("_from"),
+                                            b.cast("int").alias("_to"), t.cast("int").alias("_times")) for a, b, t in ranges]),
+                         lambda r: (r["_from"] < r["_to"]) & (r["_times"] > 0))
+    return acts.select(*keep, "activity_id", "activity", "start", "date", F.inline(parts))
+
+
+def _bucketed(ranges: DataFrame, size: int) -> DataFrame:
+    """Ranges cut at the edges of the day's buckets, with ``_bucket``."""
+    dealt = ranges.select("*", F.explode(F.sequence(F.expr(f"_from div {size}"), F.expr(f"(_to - 1) div {size}"))).alias("_b"))
+    return (dealt.withColumn("_bucket", F.col("_b").cast("int"))
+            .withColumn("_from", F.greatest(F.col("_from"), F.col("_bucket") * size))
+            .withColumn("_to", F.least(F.col("_to"), (F.col("_bucket") + 1) * size)).drop("_b"))
 
 
 def _clock_text(mod):
@@ -65,112 +85,90 @@ def _clock_text(mod):
                     F.lpad((mod % 60).cast("string"), 2, "0"), F.lit(":00"))
 
 
-def sample_keys(samples: DataFrame) -> DataFrame:
-    """``_day`` / ``_mod`` of each sample from its text; a time whose seconds
+def sample_keys(samples: DataFrame, bucket_minutes: int = BUCKET_MINUTES) -> DataFrame:
+    """``_day`` / ``_mod`` / ``_bucket`` of each sample from its text; a time whose seconds
     are not ``00`` gets a null minute and so never matches (equal-text rule)."""
     t = F.col("time")
     mod = F.when((F.length(t) == 8) & (F.substring(t, 7, 2) == "00"),
                  F.substring(t, 1, 2).try_cast("int") * 60 + F.substring(t, 4, 2).try_cast("int"))
-    return (samples.withColumn("_day", day_number("date"))
-            .withColumn("_mod", mod))
+    return (samples.withColumn("_day", day_number("date")).withColumn("_mod", mod)
+            .withColumn("_bucket", F.expr(f"cast(_mod div {bucket_minutes} as int)")))
 
 
-def activity_minutes(intervals: DataFrame, keep: Sequence[str] = (),
-                     midnight: str = "wrap", spread: int | None = None) -> DataFrame:
+def activity_minutes(intervals: DataFrame, keep: Sequence[str] = (), midnight: str = "wrap") -> DataFrame:
     """One row per labelled minute: ``keep..., activity_id, activity, start, date, time``.
 
-    ``sequence`` is guarded by ``minutes > 0`` (a sequence from 0 to -1 would
-    count down).  The explosion is a per-row generator, but it multiplies rows
-    by the mean duration (~50-100x): the compact activity rows are first spread
-    round-robin over ``spread`` partitions (default: the session's shuffle
-    partitions) so no single input split explodes in one task.  The explicit
-    count keeps AQE from coalescing the spread back.
+    The rows are the result, so they are generated, from ranges of a day at most.  The ranges are
+    rebalanced first: the tasks follow their bytes, not a fixed number.
     """
-    mins = _minute_keys(intervals, keep, midnight, spread)
+    ranges = day_ranges(intervals, keep, midnight).hint("rebalance")
+    turns = ranges.select("*", F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_turn"))
+    mins = turns.select("*", F.explode(F.sequence(F.col("_from"), F.col("_to") - 1)).alias("_mod"))
     day = F.col("date") if midnight == "wrap" else F.date_from_unix_date("_day").cast("string")
     return mins.select(*keep, "activity_id", "activity", "start", day.alias("date"),
                        _clock_text(F.col("_mod")).alias("time"))
 
 
+def _meeting(left: DataFrame, right: DataFrame, keys: Sequence[str]):
+    on = [*keys, "_day", "_bucket"]
+    cond = [left[c] == right[c] for c in on] + [left["_mod"] >= right["_from"], left["_mod"] < right["_to"]]
+    return left.join(right, cond, "left")
+
+
 def label_fanout(samples: DataFrame, intervals: DataFrame, keys: Sequence[str] = (),
-                 label: str = "sport", midnight: str = "wrap") -> DataFrame:
-    """Every sample, once per activity covering its minute (unmatched -> "0").
+                 label: str = "sport", midnight: str = "wrap", bucket_minutes: int = BUCKET_MINUTES) -> DataFrame:
+    """Every sample, once per activity minute that covers its own (unmatched -> "0").
 
-    Overlapping activities duplicate the sample, as a right merge of minutes
-    with samples does.  Left outer equi-join on (keys, day, minute); AQE
-    broadcasts the minutes side only when its measured size is small,
-    otherwise sort-merge, and splits skewed sample partitions.
+    Overlapping activities duplicate the sample, as a right merge of minutes with samples does; so does an
+    activity that wraps over the same minute again.  Left outer equi-join on (keys, day, bucket) with the
+    range as residual; AQE broadcasts the ranges only when their measured size is small, otherwise
+    sort-merge, and splits skewed sample partitions.
     """
-    on = [*keys, "_day", "_mod"]
-    right = _minute_keys(intervals, keys, midnight, None).select(*on, F.col("activity").alias("_label"))
-    return (sample_keys(samples).join(right, on=on, how="left")
-            .select(*samples.columns, F.coalesce(F.col("_label"), F.lit(NO_LABEL)).alias(label)))
+    left = sample_keys(samples, bucket_minutes)
+    right = _bucketed(day_ranges(intervals, keys, midnight), bucket_minutes).select(
+        *keys, "_day", "_bucket", "_from", "_to", "_times", F.col("activity").alias("_label"))
+    met = _meeting(left, right, keys).select(*[left[c] for c in samples.columns], "_label", "_times")
+    return (met.select("*", F.explode(F.sequence(F.lit(1), F.coalesce("_times", F.lit(1)))).alias("_turn"))
+            .select(*samples.columns, F.coalesce("_label", F.lit(NO_LABEL)).alias(label)))
 
 
-def last_wins_minutes(intervals: DataFrame, keys: Sequence[str] = (),
-                      midnight: str = "wrap") -> DataFrame:
-    """One activity per (keys, day, minute): the one with the greatest (start, id).
+def winning_ranges(intervals: DataFrame, keys: Sequence[str] = (), midnight: str = "wrap",
+                   bucket_minutes: int = BUCKET_MINUTES) -> DataFrame:
+    """Disjoint ranges ``keys..., _day, _bucket, _from, _to, _label`` of the activity that wins there.
 
-    ``max_by`` is combined map-side before the shuffle and keeps one row per
-    key; its output is hash-partitioned on the join keys, so the join with the
-    samples reuses it and only the samples move.
+    Of the activities with the same range in a bucket only the one with the greatest (start, id) is moved
+    (combined map-side), which leaves at most size^2 / 2 ranges in a bucket of that size, however hot it is.
+    These are cut at the starts and ends of the others, and each piece goes to the greatest that covers it.
     """
-    return (_minute_keys(intervals, keys, midnight, None).groupBy(*keys, "_day", "_mod")
-            .agg(F.max_by("activity", F.struct("start", "activity_id")).alias("_label")))
+    on = [*keys, "_day", "_bucket"]
+    best = F.max(F.struct("start", "activity_id", "activity")).alias("_best")
+    ranges = _bucketed(day_ranges(intervals, keys, midnight), bucket_minutes).groupBy(*on, "_from", "_to").agg(best)
+    whole = Window.partitionBy(*on)
+    edges = F.array_sort(F.array_union(F.collect_set("_from").over(whole), F.collect_set("_to").over(whole)))
+    pieces = F.expr("""filter(transform(sequence(1, size(_edges) - 1), i -> struct(_edges[i - 1] as a, _edges[i] as b)),
+                              p -> p.a >= _from and p.b <= _to)""")
+    cut = (ranges.withColumn("_edges", edges).select(*on, "_best", F.explode(pieces).alias("_p"))
+           .select(*on, F.col("_p.a").alias("_from"), F.col("_p.b").alias("_to"), "_best"))
+    return cut.groupBy(*on, "_from", "_to").agg(F.max("_best").alias("_best")).select(
+        *on, "_from", "_to", F.col("_best.activity").alias("_label"))
 
 
 def label_last_wins(samples: DataFrame, intervals: DataFrame, keys: Sequence[str] = (),
-                    label: str = "sport", midnight: str = "wrap") -> DataFrame:
-    """Every sample exactly once; the later activity wins where several cover it."""
-    on = [*keys, "_day", "_mod"]
-    return (sample_keys(samples).join(last_wins_minutes(intervals, keys, midnight), on=on, how="left")
-            .select(*samples.columns, F.coalesce(F.col("_label"), F.lit(NO_LABEL)).alias(label)))
+                    label: str = "sport", midnight: str = "wrap", bucket_minutes: int = BUCKET_MINUTES) -> DataFrame:
+    """Every sample exactly once; the later activity wins where several cover it.
 
-
-def winning_segments(intervals: DataFrame, keys: Sequence[str], bucket_minutes: int = 60) -> DataFrame:
-    """Disjoint segments ``keys..., _bucket, _from, _to, _label`` of the activity that wins there.
-
-    Every activity is replicated to the ``bucket_minutes`` buckets it overlaps
-    (``minutes / bucket + 2`` rows at most) and cut at the starts and ends of the
-    others in its bucket; of the activities that cover a piece the one with the
-    greatest (start, id) stays.  Work per activity does not grow with its minutes.
+    Samples meet the disjoint winning ranges of their own (keys, day, bucket), of which one matches at most;
+    the ranges are already dealt by these keys, so only the samples move, and AQE may split a hot bucket.
     """
-    span = bucket_minutes * 60 * 1_000_000
-    acts = (intervals.filter(F.col("minutes") > 0)
-            .withColumn("_s", _micros("start"))
-            .withColumn("_e", F.col("_s") + F.col("minutes").cast("bigint") * 60_000_000)
-            .select(*keys, "activity_id", "activity", "start", "_s", "_e",
-                    F.explode(F.sequence(F.floor(F.col("_s") / span), F.floor((F.col("_e") - 1) / span))).alias("_bucket"))
-            .withColumn("_s", F.greatest("_s", F.col("_bucket") * span))
-            .withColumn("_e", F.least("_e", (F.col("_bucket") + 1) * span)))
-    on = [*keys, "_bucket"]
-    edges = acts.select(*on, F.explode(F.array("_s", "_e")).alias("_from")).distinct()
-    pieces = edges.withColumn("_to", F.lead("_from").over(Window.partitionBy(*on).orderBy("_from"))).filter("_to is not null")
-    return (pieces.join(acts, on).filter((F.col("_s") <= F.col("_from")) & (F.col("_e") >= F.col("_to")))
-            .groupBy(*on, "_from", "_to")
-            .agg(F.max_by("activity", F.struct("start", "activity_id")).alias("_label")))
+    left = sample_keys(samples, bucket_minutes)
+    met = _meeting(left, winning_ranges(intervals, keys, midnight, bucket_minutes), keys)
+    return met.select(*[left[c] for c in samples.columns], F.coalesce("_label", F.lit(NO_LABEL)).alias(label))
 
 
 def label_range_join(samples: DataFrame, intervals: DataFrame, keys: Sequence[str],
-                     label: str = "sport", bucket_minutes: int = 60) -> DataFrame:
-    """Last-wins labelling as a range join on true minutes (midnight = carry).
-
-    Samples meet the disjoint winning segments of their own (keys, bucket): an
-    equi-join with the range test as residual predicate, in which a sample
-    matches one segment at most.  Nothing is grouped after the join, so repeated
-    samples stay and AQE may split a hot bucket.  As everywhere, a time whose
-    seconds are not ``00`` has no label.
-    """
-    span = bucket_minutes * 60 * 1_000_000
-    whole = F.when((F.length("time") == 8) & (F.substring("time", 7, 2) == "00"), ts_from_day_time("date", "time"))
-    left = (samples.withColumn("_at", whole).withColumn("_us", _micros("_at"))
-            .withColumn("_bucket", F.floor(F.col("_us") / span)))
-    seg = winning_segments(intervals, keys, bucket_minutes)
-    cond = [left[k] == seg[k] for k in keys] + [
-        left["_bucket"] == seg["_bucket"], left["_us"] >= seg["_from"], left["_us"] < seg["_to"]]
-    return (left.join(seg, on=cond, how="left")
-            .select(*[left[c] for c in samples.columns],
-                    F.coalesce(seg["_label"], F.lit(NO_LABEL)).alias(label)))
+                     label: str = "sport", bucket_minutes: int = BUCKET_MINUTES) -> DataFrame:
+    """Last-wins labelling as a range join on true minutes: an activity goes on into the next days."""
+    return label_last_wins(samples, intervals, keys, label, "carry", bucket_minutes)
 
 
 def activities_with_samples(intervals: DataFrame, samples: DataFrame,
@@ -178,7 +176,3 @@ def activities_with_samples(intervals: DataFrame, samples: DataFrame,
     """Activities whose day has at least one sample (left semi join)."""
     days = samples.select(*keys, "date").distinct()  # reduced map-side before it moves
     return intervals.join(days, on=[*keys, "date"], how="left_semi")
-
-
-def _micros(col: str):
-    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")

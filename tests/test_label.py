@@ -147,3 +147,51 @@ def test_range_join_equals_last_wins_on_odd_rows(spark):
     a = L.label_range_join(smp, iv, ["user_id"])
     b = L.label_last_wins(smp, iv, ["user_id"], midnight="carry")
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())) and a.count() == len(rows)
+
+
+def _brute_labels(acts, rows, midnight):
+    """Minute by minute: every covering activity of each sample, and the one that wins."""
+    import datetime as dt
+    cover = {}
+    for user, i, name, ms, start in acts:
+        at = dt.datetime.fromisoformat(start[:16])
+        for o in range(ms // 60_000):
+            t = at + dt.timedelta(minutes=o)
+            day = at if midnight == "wrap" else t
+            cover.setdefault((user, f"{day:%Y-%m-%d}", f"{t:%H:%M}:00"), []).append((at, i, name))
+    fan, last = [], []
+    for n, (user, day, time, _) in enumerate(rows):
+        found = cover.get((user, day, time), [])
+        fan += [(n, x[2]) for x in found] or [(n, "0")]
+        last.append((n, max(found)[2] if found else "0"))
+    return sorted(fan), sorted(last)
+
+
+@pytest.mark.parametrize("midnight", ["wrap", "carry"])
+@pytest.mark.parametrize("bucket", [7, 60, 1440])
+def test_ranges_label_as_minutes_do(spark, midnight, bucket):
+    """Overlaps, equal starts, midnight, several days long and equal ranges, at any bucket size."""
+    import random
+    rng = random.Random(bucket)
+    acts = [(rng.choice([1, 2]), i, f"A{rng.randrange(9)}", rng.choice([0, 59_999, 60_000, 600_000, 5_400_000, 86_400_000, 205_000_000]),
+             f"2023-02-1{rng.randrange(1, 4)}T{rng.choice([0, 9, 10, 23]):02d}:{rng.randrange(60):02d}:07.000+02:00") for i in range(60)]
+    acts += [(1, 100 + i, f"B{i}", 1_800_000, "2023-02-11T10:00:00.000+02:00") for i in range(20)]
+    rows = [(rng.choice([1, 2, 3]), f"2023-02-1{rng.randrange(0, 8)}", f"{rng.randrange(24):02d}:{rng.randrange(60):02d}:{rng.choice(['00', '00', '30'])}", 80)
+            for _ in range(500)]
+    rows += rows[:50] + [(1, "2023-02-11", f"10:{m:02d}:00", 1) for m in range(60)] + [(1, None, "10:00:00", 1), (1, "2023-02-11", None, 1)]
+    smp = spark.createDataFrame([(u, i, t, v, d, "x") for i, (u, d, t, v) in enumerate(rows)],
+                                "user_id long, event_id long, time string, value int, date string, HOUR string")
+    iv = L.activity_intervals(_log(spark, acts), ["user_id"])
+    want_fan, want_last = _brute_labels(acts, rows, midnight)
+    got = L.label_fanout(smp, iv, ["user_id"], midnight=midnight, bucket_minutes=bucket).select("event_id", "sport")
+    assert sorted(map(tuple, got.collect())) == want_fan
+    got = L.label_last_wins(smp, iv, ["user_id"], midnight=midnight, bucket_minutes=bucket).select("event_id", "sport")
+    assert sorted(map(tuple, got.collect())) == want_last
+
+
+def test_rows_per_activity_do_not_grow_with_its_length(spark):
+    acts = [(1, i, "Run", minutes * 60_000, "2023-02-11T23:10:00.000+02:00") for i, minutes in enumerate((5, 500, 1440, 50_000, 5_000_000))]
+    iv = L.activity_intervals(_log(spark, acts), ["user_id"])
+    per = {r.activity_id: r["count"] for r in L.day_ranges(iv, ["user_id"]).groupBy("activity_id").count().collect()}
+    assert per == {0: 1, 1: 2, 2: 1, 3: 3, 4: 3}
+    assert L.winning_ranges(iv, ["user_id"]).count() <= 49
