@@ -136,18 +136,47 @@ def lag_features_frame(df: DataFrame, order_col: str, value_col: str, n_lags: in
     return out.na.drop(how="any", subset=[value_col, *names])
 
 
+def lag_features_runs(df: DataFrame, order_col: str, value_col: str, n_lags: int = 60,
+                      unit_seconds: int = 60, series: Sequence[str] = (), tie: str | None = None,
+                      first_row_guard: bool = True, bucket_units: int | None = None,
+                      prefix: str = "Min - ") -> DataFrame:
+    """Complete rows only, from unbroken runs: for series whose rows step by whole units.
+
+    Rows are numbered into runs that a step of other than one unit breaks (so does a repeated unit), inside
+    each frame.  A frame holds the ``n_lags + 1`` units before its bucket, so a run of ``n_lags`` rows or
+    fewer in it holds no complete row and is dropped before any lag is collected; in the others the lags are
+    simply the rows before.  The first row of a series is no source and has no lags: it is left out.  Equal
+    to ``lag_features`` with ``dropna`` on such series.
+    """
+    unit_us = unit_seconds * 1_000_000
+    framed = _framed(df, order_col, series, tie, n_lags, unit_seconds, bucket_units, first_row_guard)
+    frame = Window.partitionBy(*series, "_frame").orderBy("_t", *([tie] if tie else []))
+    broken = F.when(F.col("_t") - F.lag("_t").over(frame) == unit_us, 0).otherwise(1)
+    run = Window.partitionBy(*series, "_frame", "_run")
+    rows = (framed.filter(~F.col("_is_first")).select(*df.columns, "_t", "_b", "_frame", broken.alias("_broken"))
+            .withColumn("_run", F.sum("_broken").over(frame.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("_size", F.count(F.lit(1)).over(run)).filter(F.col("_size") > n_lags))
+    before = run.orderBy("_t").rowsBetween(-n_lags, -1)
+    out = (rows.withColumn("_prev", F.collect_list(F.col(value_col).cast("double")).over(before))
+           .filter((F.col("_frame") == F.col("_b")) & (F.size("_prev") == n_lags) & F.col(value_col).isNotNull()))
+    return out.select(*df.columns, *[F.col("_prev")[n_lags - j].alias(name)
+                                     for j, name in enumerate(lag_names(n_lags, prefix), 1)])
+
+
 def training_matrix(series_df: DataFrame, order_col: str = "TS", value_col: str = "BPM",
                     label_col: str = "sport", n_lags: int = 60, unit_seconds: int = 60,
                     domain: Sequence[str] = SPORTS, series: Sequence[str] = (),
-                    tie: str | None = None, bucket_units: int | None = None) -> DataFrame:
-    """``time`` (HHMMSS int), ``BPM``, ``Min - 1..n``, then the one-hot block:
+                    tie: str | None = None, bucket_units: int | None = None,
+                    whole_units: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """``keep...``, ``time`` (HHMMSS int), ``BPM``, ``Min - 1..n``, then the one-hot block:
     ``Nothing`` and the labels of ``domain`` in byte order.  Built in one
     select that leaves the label column out (``sport`` and ``Sport`` would
-    collide, names being case-insensitive)."""
-    lagged = lag_features(series_df, order_col, value_col, n_lags=n_lags,
-                          unit_seconds=unit_seconds, series=series, tie=tie,
-                          bucket_units=bucket_units)
-    return lagged.select(time_as_int(clock_text(order_col)).alias("time"),
+    collide, names being case-insensitive).  ``whole_units``: the rows step by
+    whole units, so lags come from unbroken runs."""
+    lag = lag_features_runs if whole_units else lag_features
+    lagged = lag(series_df, order_col, value_col, n_lags=n_lags, unit_seconds=unit_seconds,
+                 series=series, tie=tie, bucket_units=bucket_units)
+    return lagged.select(*keep, time_as_int(clock_text(order_col)).alias("time"),
                          F.col(value_col).cast("int").alias("BPM"),
                          *[F.col(f"`{n}`") for n in lag_names(n_lags)],
                          *one_hot_columns(label_col, list(domain)))
