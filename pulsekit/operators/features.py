@@ -70,6 +70,17 @@ def _framed(df: DataFrame, order_col: str, series: Sequence[str], tie: str | Non
     return framed
 
 
+def _long_runs(framed: DataFrame, series: Sequence[str], tie: str | None, n_lags: int, breaks) -> DataFrame:
+    """Rows of a frame's runs of more than ``n_lags`` rows, with ``_run``; ``breaks(step)`` says whether the step
+    in microseconds from the row before starts a new run.  Needs no shuffle beyond the frames'."""
+    frame = Window.partitionBy(*series, "_frame").orderBy("_t", *([tie] if tie else []))
+    new = F.coalesce(breaks(F.col("_t") - F.lag("_t").over(frame)), F.lit(True)).cast("int")
+    run = Window.partitionBy(*series, "_frame", "_run")
+    return (framed.withColumn("_new", new)
+            .withColumn("_run", F.sum("_new").over(frame.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("_size", F.count(F.lit(1)).over(run)).filter(F.col("_size") > n_lags).drop("_new", "_size"))
+
+
 def lag_names(n_lags: int, prefix: str = "Min - ") -> list[str]:
     return [f"{prefix}{j}" for j in range(1, n_lags + 1)]
 
@@ -91,11 +102,17 @@ def lag_features(df: DataFrame, order_col: str, value_col: str, n_lags: int = 60
     """
     unit_us = float(unit_seconds * 1_000_000)
     framed = _framed(df, order_col, series, tie, n_lags, unit_seconds, bucket_units, first_row_guard)
+    if dropna:
+        # of a complete row, lag j and lag j + 1 lie two units apart at most: a wider step ends a run, and runs
+        # too short for a complete row are dropped before lags are collected
+        framed = _long_runs(framed, series, tie, n_lags, lambda step: step > 2 * unit_seconds * 1_000_000)
     w = (Window.partitionBy(*series, "_frame").orderBy("_t", *([tie] if tie else []))
          .rowsBetween(-n_lags, -1))
     src = F.struct(F.col("_t").alias("t"), F.col(value_col).alias("v"), F.col("_is_first").alias("f"))
     staged = framed.select(*df.columns, "_t", "_b", "_frame",
                            F.collect_list(src).over(w).alias("_p"))
+    if dropna:  # the farthest lag, before all of them
+        staged = staged.filter(F.expr(f"size(_p) = {n_lags} AND bround((_t - get(_p, 0).t) / {unit_us}, 0) = {n_lags} AND NOT get(_p, 0).f"))
     lags = F.expr(f"""transform(sequence(1, {n_lags}), j -> CASE
         WHEN size(_p) >= j
          AND bround((_t - _p[size(_p) - j].t) / {unit_us}, 0) = j
@@ -125,12 +142,10 @@ def lag_features_frame(df: DataFrame, order_col: str, value_col: str, n_lags: in
     framed = framed.withColumn("_u", F.floor(F.col("_t") / F.lit(unit_us)))
     w = (Window.partitionBy(*series, "_frame").orderBy("_u")
          .rangeBetween(-n_lags, -1))
-    src = F.when(~F.col("_is_first"), F.struct(F.col("_u").alias("u"), F.col(value_col).alias("v")))
-    staged = framed.select(*df.columns, "_b", "_frame",
-                           F.sort_array(F.collect_list(src).over(w)).alias("_prev"))
+    src = F.when(~F.col("_is_first"), F.col(value_col).cast("double"))  # a frame is collected in its order
+    staged = framed.select(*df.columns, "_b", "_frame", F.collect_list(src).over(w).alias("_prev"))
     names = lag_names(n_lags, prefix)
-    lags = [F.col("_prev")[n_lags - j]["v"].cast("double").alias(name)
-            for j, name in zip(range(1, n_lags + 1), names)]
+    lags = [F.col("_prev")[n_lags - j].alias(name) for j, name in enumerate(names, 1)]
     out = (staged.filter((F.col("_frame") == F.col("_b")) & (F.size("_prev") == n_lags))
            .select(*df.columns, *lags))
     return out.na.drop(how="any", subset=[value_col, *names])
@@ -150,12 +165,8 @@ def lag_features_runs(df: DataFrame, order_col: str, value_col: str, n_lags: int
     """
     unit_us = unit_seconds * 1_000_000
     framed = _framed(df, order_col, series, tie, n_lags, unit_seconds, bucket_units, first_row_guard)
-    frame = Window.partitionBy(*series, "_frame").orderBy("_t", *([tie] if tie else []))
-    broken = F.when(F.col("_t") - F.lag("_t").over(frame) == unit_us, 0).otherwise(1)
+    rows = _long_runs(framed.filter(~F.col("_is_first")), series, tie, n_lags, lambda step: step != unit_us)
     run = Window.partitionBy(*series, "_frame", "_run")
-    rows = (framed.filter(~F.col("_is_first")).select(*df.columns, "_t", "_b", "_frame", broken.alias("_broken"))
-            .withColumn("_run", F.sum("_broken").over(frame.rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("_size", F.count(F.lit(1)).over(run)).filter(F.col("_size") > n_lags))
     before = run.orderBy("_t").rowsBetween(-n_lags, -1)
     out = (rows.withColumn("_prev", F.collect_list(F.col(value_col).cast("double")).over(before))
            .filter((F.col("_frame") == F.col("_b")) & (F.size("_prev") == n_lags) & F.col(value_col).isNotNull()))
@@ -180,11 +191,3 @@ def training_matrix(series_df: DataFrame, order_col: str = "TS", value_col: str
                          F.col(value_col).cast("int").alias("BPM"),
                          *[F.col(f"`{n}`") for n in lag_names(n_lags)],
                          *one_hot_columns(label_col, list(domain)))
-
-
-def label_domain(df: DataFrame, label_col: str = "sport", limit: int = 10_000) -> list[str]:
-    """Distinct labels for a dynamic one-hot domain, with a checked size bound."""
-    values = [r[0] for r in df.select(label_col).distinct().limit(limit + 1).collect()]
-    if len(values) > limit:
-        raise ValueError(f"more than {limit} distinct labels; pass a fixed domain")
-    return sorted(v for v in values if v is not None)

@@ -54,12 +54,9 @@ def standardise(df: DataFrame, params: dict[str, tuple[float, float]]) -> DataFr
     return df.select(*out)
 
 
-def collect_params(fit: DataFrame, limit: int = 100_000) -> dict[str, tuple[float, float]]:
-    """Fitted statistics to the driver: one row per feature column (bounded)."""
-    rows = fit.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError("too many feature columns")
-    return {r["column"]: (r["mean"], r["std"]) for r in rows}
+def collect_params(fit: DataFrame) -> dict[str, tuple[float, float]]:
+    """Fitted statistics to the driver: one row per column of the plan, whatever the number of rows."""
+    return {r["column"]: (r["mean"], r["std"]) for r in fit.collect()}
 
 
 def safe_names(columns: Sequence[str]) -> dict[str, str]:

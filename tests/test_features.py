@@ -98,13 +98,27 @@ def test_training_matrix_columns_and_one_hot(spark):
     assert r["Nothing"] + r["Run"] + r["Sport"] == 1
 
 
-def test_dynamic_label_domain_is_size_checked(spark):
-    import pytest
-    df = spark.createDataFrame([("0",), ("Run",), ("Walk",), ("Run",), (None,)], "sport string")
-    assert FT.label_domain(df) == ["0", "Run", "Walk"]
-    with pytest.raises(ValueError):
-        FT.label_domain(df, limit=2)
+def test_a_label_outside_the_domain(spark):
     unseen = spark.createDataFrame([("Swim",)], "sport string")
     from pulsekit.functions import SPORTS, one_hot_columns
     r = unseen.select(*one_hot_columns("sport", SPORTS)).collect()[0]
     assert sum(r) == 0  # a label outside the fixed domain gives all zeros
+
+
+def test_runs_equal_the_definition(spark):
+    """Gaps, repeated minutes, nulls, the first row, runs over several frames and of just enough rows."""
+    n = 10
+    a = list(range(0, 45)) + [46] + list(range(50, 62)) + [61] + list(range(62, 80)) + list(range(100, 111)) + list(range(200, 210))
+    vals = [None if i == 70 else 60 + (i * 7) % 31 for i in range(len(a))]
+    df = _series(spark, a, vals).unionByName(_series(spark, list(range(11)), key=2)).unionByName(_series(spark, list(range(12)), key=3))
+    cols = ["k", "id"] + [f"`Min - {j}`" for j in range(1, n + 1)]
+    want = sorted(map(tuple, FT.lag_features(df, "ts", "BPM", n_lags=n, series=["k"], tie="id", bucket_units=10_000).select(*cols).collect()))
+    brute = {i: v for i, v in _brute(a, [x or 0 for x in vals], n).items() if None not in v and vals[i] is not None}
+    assert {r[1] for r in want if r[0] == 1} == {i for i, v in brute.items() if not any(a[70] == a[i] - j for j in range(1, n + 1))}
+    for bucket in (11, 16, None):
+        got = FT.lag_features_runs(df, "ts", "BPM", n_lags=n, series=["k"], tie="id", bucket_units=bucket).select(*cols)
+        assert sorted(map(tuple, got.collect())) == want
+        got = FT.lag_features(df, "ts", "BPM", n_lags=n, series=["k"], tie="id", bucket_units=bucket).select(*cols)
+        assert sorted(map(tuple, got.collect())) == want
+    assert [r[0] for r in want].count(3) == 1 and not [r for r in want if r[0] == 2]
+    assert FT.lag_features_runs(df.limit(0), "ts", "BPM", n_lags=n, series=["k"]).collect() == []

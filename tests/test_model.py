@@ -45,3 +45,27 @@ def test_random_split_partitions_all_rows(spark):
     train, test = M.random_split(df, 0.8, seed=0)
     assert train.count() + test.count() == 1000
     assert train.join(test, "id").count() == 0
+
+
+def test_least_absolute_is_not_moved_by_outliers(spark, tmp_dir):
+    import random
+    rng = random.Random(2)
+    rows = []
+    for i in range(2000):
+        a, b = rng.random() * 50, rng.random() * 10
+        far = 400 if i % 10 == 0 else 0  # a tenth of the labels is far off, all to one side
+        rows.append((a, b, int(i % 2 == 0), int(i % 2 == 1), 60 + 2 * a - 3 * b + far))
+    df = spark.createDataFrame(rows, "a double, `b c` double, h0 int, h1 int, BPM double")
+    model, names = M.fit_least_absolute(df, ["a", "b c", "h0", "h1"])
+    line = model.stages[-1]
+    assert abs(line.coefficients[0] - 2) < 0.05 and abs(line.coefficients[1] + 3) < 0.1
+    path = tmp_dir + "/linear"
+    M.save_model(model, path)
+    out = M.score(M.load_model(path), names, df.filter("BPM < 250"))
+    assert out.select(F.avg(F.abs(F.col("Predict BPM") - F.col("Real BPM")))).first()[0] < 1.5
+
+
+def test_split_of_large_keys(spark):
+    df = spark.createDataFrame([(2 ** 62,), (-5,), (7,)], "id long")
+    got = [r.s for r in df.select(M.split_column(F.col("id")).alias("s")).collect()]
+    assert set(got) <= {"train", "test"}

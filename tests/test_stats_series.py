@@ -74,3 +74,38 @@ def test_day_range_reaches_the_scan(spark):
     cut = Inputs(spark, SF001, days).samples.select("event_id", "date").collect()
     whole = Inputs(spark, SF001).samples.filter(F.col("date").between(*days)).select("event_id", "date").collect()
     assert cut and sorted(cut) == sorted(whole)
+
+
+def test_exact_quantiles_over_ranges(spark):
+    """Many parts, heavy values, nulls, a column of one value and one of none, against sorted lists."""
+    import random
+    import statistics
+    rng = random.Random(5)
+    rows = [(rng.choice([7, 7, 7, rng.randrange(1000), None]), rng.gauss(1e6, 3.0), None, 4) for _ in range(3000)]
+    rows += [(None, None, None, None)]
+    df = spark.createDataFrame(rows, "a int, `b c` double, none double, same int").repartition(7)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        got = {r["column"]: r for r in ST.summary_stats(df, df.columns).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    for i, name in enumerate(df.columns):
+        x = sorted(r[i] for r in rows if r[i] is not None)
+        r = got[name]
+        assert r["count"] == len(x)
+        if not x:
+            assert [r[c] for c in ("mean", "std", "min", "p25", "p50", "p75", "max")] == [None] * 7
+            continue
+        assert (r["min"], r["max"]) == (x[0], x[-1])
+        assert abs(r["mean"] - statistics.fmean(x)) < 1e-6 and abs(r["std"] - statistics.stdev(x)) < 1e-6
+        q = [x[0]] * 3 if len(set(x)) == 1 else statistics.quantiles(x, n=4, method="inclusive")
+        assert all(abs(r[c] - v) < 1e-9 * max(1, abs(v)) for c, v in zip(("p25", "p50", "p75"), q))
+    one = ST.summary_stats(spark.createDataFrame([(3.0,)], "a double"), ["a"]).collect()[0]
+    assert one["std"] is None and one["p25"] == one["p75"] == 3.0
+
+
+def test_moments_of_columns(spark):
+    df = spark.createDataFrame([(1, None), (3, None), (None, None)], "a int, b double")
+    got = {r["column"]: tuple(r)[1:] for r in ST.column_moments(df, ["a", "b"]).collect()}
+    assert got == {"a": (2, 2.0, 1.0), "b": (0, None, None)}
