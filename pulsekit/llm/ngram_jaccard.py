@@ -12,11 +12,13 @@ a second place classes of shingles and documents of a region:
   among the first n - ceil(t n) + 1 of x, so a document is replicated to the
   regions of these pivots and to no others.  Within a region the sizes and the
   positions of the pivot bound the overlap that is still possible.
-* **Recursion.**  In each region documents are first compared with one pivot
-  document, the middle one in size order: copies with few edits lie around it.
-  Documents that are thereby connected form one core, and the region is joined
-  again across cores only: a document outside the largest core meets the
-  others, pairs inside a core are already decided.
+* **Recursion.**  Each region takes a pivot document, the least by a hash of
+  document and region, and measures all its other documents against it.  Linked
+  documents form cores, and the region is joined again across cores only: the
+  documents outside its largest core meet a pivot of that core, and what is
+  still outside meets the others in salted blocks.  Pairs inside a core are
+  already decided.  The measured distances to the region's first pivot are
+  windows: a pair whose distances to it differ by more than 1 - t is no link.
 * **Exact decision.**  The hash classes of all shingles are pivots too: the
   symmetric difference of two sets is at least the number of classes whose
   counts differ in parity.  Pairs beyond this bound are dropped, all others are
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsekit.llm.common import landed
@@ -48,8 +50,12 @@ MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779
 SKETCH_BITS, BLOCK_BITS = 23, 14
 FILTER_BITS = 23
 MAX_CACHED_WORDS = 1 << 18
+#: Hash classes of the parities that travel with a document into a region's last join.
+FOLDED = 512
 #: Documents of a region that meet in one join key.
 REGION_BLOCK = 512
+#: Pivot documents that a region takes one after another before its remaining pairs are formed.
+ROUNDS = 2
 
 
 class Shingler:
@@ -149,6 +155,12 @@ def parity_bits(s: np.ndarray) -> bytes:
     return np.packbits(np.bincount(g.astype(np.int64), minlength=m) & 1).astype(np.uint8).tobytes()
 
 
+def folded_parity(s: np.ndarray) -> np.ndarray:
+    """The same parities in FOLDED classes, as FOLDED / 64 longs: a bound of fixed size, tested inside a join."""
+    g = ((s * MULTIPLIERS[4]) >> np.uint64(20)) & np.uint64(FOLDED - 1)
+    return np.packbits(np.bincount(g.astype(np.int64), minlength=FOLDED) & 1).view(np.int64)
+
+
 def parity_distance(a: bytes, b: bytes) -> int:
     """A lower bound of the symmetric difference of the two sets."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
@@ -169,13 +181,13 @@ def _described(docs: DataFrame, n: int, num: int, den: int, bits: np.ndarray) ->
         frequent = np.unpackbits(shared.value).astype(bool)
         mask = np.uint64(len(frequent) - 1)
         for batch, texts in _texts(batches, "text"):
-            sizes, high, low, pivots, parity = [], [], [], [], []
+            sizes, high, low, pivots, parity, folded = [], [], [], [], [], []
             for text in texts:
                 s = shingler.distinct(text)
                 k = len(s)
                 sizes.append(k)
                 if not k:
-                    high.append(None), low.append(None), pivots.append(s), parity.append(None)
+                    high.append(None), low.append(None), pivots.append(s), parity.append(None), folded.append(None)
                     continue
                 f = xxhash.xxh3_128_intdigest(s.tobytes())
                 high.append((f >> 64) - (1 << 63))
@@ -184,15 +196,17 @@ def _described(docs: DataFrame, n: int, num: int, den: int, bits: np.ndarray) ->
                 first = np.concatenate([s[~hot], s[hot]])[:k + (-num * k // den) + 1]
                 pivots.append(first)
                 parity.append(parity_bits(s))
+                folded.append(folded_parity(s))
             ends = np.cumsum([0] + [len(p) for p in pivots]).astype(np.int32)
             flat = np.concatenate(pivots).view(np.int64) if pivots else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(high, pa.int64()),
                  pa.array(low, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                 pa.array(parity, pa.binary())], ["doc_id", "n", "f1", "f2", "pivots", "parity"])
+                 pa.array(parity, pa.binary()), pa.array(folded, pa.list_(pa.int64()))],
+                ["doc_id", "n", "f1", "f2", "pivots", "parity", "folded"])
 
     return landed(docs.mapInArrow(describe, "doc_id long, n int, f1 long, f2 long, "
-                                            "pivots array<long>, parity binary"), "shingle-sets")
+                                            "pivots array<long>, parity binary, folded array<long>"), "shingle-sets")
 
 
 def _possible(na: str, pa_: str, nb: str, pb: str, num: int, den: int):
@@ -203,6 +217,15 @@ def _possible(na: str, pa_: str, nb: str, pb: str, num: int, den: int):
 
 def _decided(pairs: DataFrame, docs: DataFrame, described: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
+    return _measured(pairs, docs, described, n, num, den, False).filter("linked").select("a", "b")
+
+
+def _measured(pairs: DataFrame, docs: DataFrame, described: DataFrame, n: int, num: int, den: int,
+              bounds: bool = True) -> DataFrame:
+    """(a, b, lo, hi, linked) for distinct pairs: bounds of their distance, and whether they are similar enough.
+
+    Pairs that the parities rule out have a lower bound only; without ``bounds`` they are left out.
+    """
     spark = pairs.sparkSession
     sig = described.filter("n > 0").select("doc_id", "n", "parity")
     both = (pairs.join(sig.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("parity").alias("qa")), "a")
@@ -210,12 +233,17 @@ def _decided(pairs: DataFrame, docs: DataFrame, described: DataFrame, n: int, nu
 
     def near(batches):
         for batch in batches:
-            keep = [parity_distance(x, y) * (num + den) <= (den - num) * (m + k) for x, y, m, k in zip(
-                *(batch.column(c).to_pylist() for c in ("qa", "qb", "na", "nb")))]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    left = landed(both.select("a", "b", "na", "nb", "qa", "qb")
-                  .mapInArrow(near, "a long, b long").distinct(), "shingle-pairs")
+            delta = [parity_distance(x, y) for x, y in zip(batch.column("qa").to_pylist(), batch.column("qb").to_pylist())]
+            total = [m + k for m, k in zip(batch.column("na").to_pylist(), batch.column("nb").to_pylist())]
+            keep = [d * (num + den) <= (den - num) * t for d, t in zip(delta, total)]
+            out = pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array([2 * d / (t + d) for d, t in zip(delta, total)], pa.float64()),
+                 pa.array(keep, pa.bool_())], ["a", "b", "lo", "keep"])
+            yield out if bounds else out.filter(out.column("keep"))
+
+    tested = landed(both.select("a", "b", "na", "nb", "qa", "qb")
+                    .mapInArrow(near, "a long, b long, lo double, keep boolean").dropDuplicates(["a", "b"]), "shingle-pairs")
+    left = tested.filter("keep").select("a", "b")
     # a Bloom filter of fixed size lets most other texts be skipped before the shuffle
     slot = F.xxhash64("id").bitwiseAND((1 << FILTER_BITS) - 1)
     words = (left.select(F.explode(F.array("a", "b")).alias("id"))
@@ -242,21 +270,23 @@ def _decided(pairs: DataFrame, docs: DataFrame, described: DataFrame, n: int, nu
     whole = (docs.withColumn("slot", F.xxhash64("doc_id").bitwiseAND((1 << FILTER_BITS) - 1))
              .mapInArrow(sets, "doc_id long, s array<long>"))
     shared_n = F.size(F.array_intersect("sa", "sb")).cast("long")
-    return (left.join(whole.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a")
-            .join(whole.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b")
-            .filter(den * shared_n >= num * (F.size("sa").cast("long") + F.size("sb") - shared_n))
-            .select("a", "b").distinct())
+    exact = (left.join(whole.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a")
+             .join(whole.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b")
+             .select("a", "b", shared_n.alias("k"), (F.size("sa").cast("long") + F.size("sb") - shared_n).alias("union"))
+             .select("a", "b", (1 - F.col("k") / F.col("union")).alias("lo"), (1 - F.col("k") / F.col("union")).alias("hi"),
+                     (den * F.col("k") >= num * F.col("union")).alias("linked")))
+    # a doc_id may have several texts: near one of them is linked, and no bound holds for all of them
+    exact = exact.groupBy("a", "b").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("linked").alias("linked"))
+    apart = tested.filter("not keep").select("a", "b", "lo", F.lit(1.0).alias("hi"), F.lit(False).alias("linked"))
+    return exact.unionByName(apart) if bounds else exact
 
 
-def _meetings(region: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct pairs (a, b) of each document with its region's pivot document, where the sizes allow a link.
+def _sizes_allow(n: str, m: str, num: int, den: int):
+    return den * F.least(n, m).cast("long") >= num * F.greatest(n, m).cast("long")
 
-    Here a shared pivot need not be the first one, so its position bounds nothing.
-    """
-    met = region.select("id", "n", F.col("p.id").alias("ido"), F.col("p.n").alias("no"))
-    return (met.filter((F.col("id") != F.col("ido"))
-                       & (den * F.least("n", "no").cast("long") >= num * F.greatest("n", "no").cast("long")))
-            .select(F.greatest("id", "ido").alias("a"), F.least("id", "ido").alias("b")).distinct())
+
+def _pair(x: str, y: str) -> list:
+    return [F.greatest(x, y).alias("a"), F.least(x, y).alias("b")]
 
 
 def _live(rows: DataFrame, roots: DataFrame) -> DataFrame:
@@ -268,7 +298,24 @@ def _live(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return member.join(top, "s")
 
 
-def ngram_jaccard_links(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _pivots(rows: DataFrame, r: int, *columns: str) -> DataFrame:
+    """A pivot document for every region: the one with the least hash of (id, region, round)."""
+    best = F.min(F.struct(F.xxhash64("id", "s", F.lit(r)), "id", "n", *columns)).alias("x")
+    return rows.groupBy("s").agg(best).select("s", F.col("x.id").alias("p"), F.col("x.n").alias("pn"),
+                                              *[F.col(f"x.{c}").alias(f"p_{c}") for c in columns])
+
+
+def _placed(rows: DataFrame, pivots: DataFrame, met: DataFrame) -> DataFrame:
+    """Rows with bounds lo, hi of the distance to their region's pivot; sizes alone bound it where it was not measured."""
+    apart = 1 - F.least("n", "pn") / F.greatest("n", "pn")
+    same = F.col("id") == F.col("p")
+    return (rows.join(pivots, "s").withColumn("a", F.greatest("id", "p")).withColumn("b", F.least("id", "p"))
+            .join(met.select("a", "b", "lo", "hi"), ["a", "b"], "left").filter(~same)
+            .select("s", "id", "n", "pos", F.coalesce("lo", apart).alias("lo"), F.coalesce("hi", F.lit(1.0)).alias("hi")))
+
+
+def ngram_jaccard_links(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100,
+                        rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """-> (described documents, classes of equal sets, links between class representatives).
 
     The links connect every pair of similar documents, directly or over others;
@@ -280,27 +327,52 @@ def ngram_jaccard_links(docs: DataFrame, n: int = 5, num: int = 75, den: int = 1
     placed = (described.filter("n > 0").select("doc_id", "n", "pivots", "f1", "f2")
               .join(classes.select(F.col("rep").alias("doc_id"), "f1", "f2"), ["doc_id", "f1", "f2"])
               .select(F.col("doc_id").alias("id"), "n", F.posexplode("pivots").alias("pos", "s")))
-
-    # regions with two documents at least; the pivot document is the middle one in size order
-    whole = Window.partitionBy("s")
-    region = (placed.withColumn("k", F.row_number().over(whole.orderBy("n", "id", "pos")))
-              .withColumn("size", F.count("*").over(whole)).filter("size > 1")
-              .withColumn("p", F.max(F.when(F.expr("k = size div 2 + 1"), F.struct("id", "n", "pos"))).over(whole)))
-    region = landed(region.select("s", "id", "n", "pos", "p"), "regions")
-    links = landed(_decided(_meetings(region, num, den), docs, described, n, num, den), "links")
-
-    member = landed(_live(region.select("s", "id", "n", "pos"), connected_components(links)), "region-cores")
-    outer = (member.filter(F.col("core") != F.col("top"))
-             .select("s", *[F.col(c).alias(f"o_{c}") for c in ("id", "n", "pos", "core")]))
-    rest = (outer.join(member, "s")
+    several = placed.groupBy("s").agg(F.count("*").alias("size")).filter("size > 1").select("s")
+    rows = landed(placed.join(several, "s").select("s", "id", "n", "pos"), "regions")
+
+    pivots = landed(_pivots(rows, 0), "pivots")
+    pairs = (rows.join(pivots, "s").filter((F.col("id") != F.col("p")) & _sizes_allow("n", "pn", num, den))
+             .select(*_pair("id", "p")).distinct())
+    met = landed(_measured(pairs, docs, described, n, num, den), "met")
+    links = met.filter("linked").select("a", "b")
+    rows = landed(_placed(rows, pivots, met), "regions")  # a pivot has met all the others and is done in its region
+    live = landed(_live(rows, connected_components(links)), "region-cores")
+    for r in range(1, rounds):
+        outer = live.filter(F.col("core") != F.col("top"))
+        middle = _pivots(live.filter(F.col("core") == F.col("top")), r, "lo", "hi")
+        pairs = (outer.join(middle, "s").filter(_sizes_allow("n", "pn", num, den) & _window("p_", num, den))
+                 .select(*_pair("id", "p")).distinct())
+        links = landed(links.unionByName(_decided(pairs, docs, described, n, num, den)).distinct(), "links")
+        live = landed(_live(rows, connected_components(links)), "region-cores")
+
+    # what is left is tested by the folded parities inside the join: only pairs that may be links become rows
+    words = [f"q{i}" for i in range(FOLDED // 64)]
+    sketch = described.filter("n > 0").groupBy(F.col("doc_id").alias("id"), "n").agg(*[
+        F.min(F.get("folded", F.lit(i))).alias(q) for i, q in enumerate(words)], F.count("*").alias("rows"))
+    live = live.join(sketch, ["id", "n"])
+    differ = sum((F.bit_count(F.col(q).bitwiseXOR(F.col(f"o_{q}"))) for q in words), F.lit(0))
+    several = (F.col("rows") > 1) | (F.col("o_rows") > 1)  # a doc_id with several texts of one size has no sketch
+    near = several | (differ * (num + den) <= (den - num) * (F.col("n").cast("long") + F.col("o_n")))
+    columns = ("id", "n", "pos", "lo", "hi", "core", "rows", *words)
+    outer = live.filter(F.col("core") != F.col("top")).select("s", *[F.col(c).alias(f"o_{c}") for c in columns])
+    cut = outer.groupBy("s").agg(F.ceil(F.count("*") / REGION_BLOCK).cast("int").alias("blocks"))
+    outer = outer.join(cut, "s").withColumn("block", F.pmod(F.xxhash64("o_id"), F.col("blocks")).cast("int")).drop("blocks")
+    inner = live.join(cut, "s").select("s", "top", *columns, F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"))
+    rest = (outer.join(inner, ["s", "block"])
             .filter((F.col("core") != F.col("o_core"))
                     & ((F.col("core") == F.col("top")) | (F.col("id") < F.col("o_id")))
-                    & _possible("n", "pos", "o_n", "o_pos", num, den))
-            .select(F.greatest("id", "o_id").alias("a"), F.least("id", "o_id").alias("b")).distinct())
+                    & _possible("n", "pos", "o_n", "o_pos", num, den) & _window("o_", num, den) & near)
+            .select(*_pair("id", "o_id")).distinct())
     across = landed(_decided(rest, docs, described, n, num, den), "links")
     return described, classes, links.unionByName(across)
 
 
+def _window(other: str, num: int, den: int):
+    """The triangle inequality leaves room for a link: the distances to the pivot are no further apart than a link."""
+    room = F.lit((den - num) / den + 1e-9)
+    return (F.col("lo") - F.col(f"{other}hi") <= room) & (F.col(f"{other}lo") - F.col("hi") <= room)
+
+
 def ngram_jaccard_all_links(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100,
                             block: int = REGION_BLOCK) -> tuple[DataFrame, DataFrame]:
     """-> (every link between classes of equal sets, documents with their number of links).
