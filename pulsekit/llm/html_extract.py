@@ -6,8 +6,10 @@ tree.  The text-to-tag ratio of the lines is smoothed with a Gaussian; lines
 above a threshold between the two clusters of ratios are content seeds.  The
 region is the smallest container that holds all seeds, or the outermost one that
 is marked as main text; inside it every line stays but those in menus, notices,
-forms and the like.  A class or id does not make an element an aside that holds
-most of the page's seed text, where no article or main element stands beside it.
+forms and the like.  Neither a tag such as form or nav, which some pages put around
+everything or never close, nor a role, a hidden mark, a class or an id makes an
+element an aside that holds most of the page's seed text, where no article or main
+element stands beside it.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ BLOCK = frozenset("""address article aside blockquote body center dd details dia
 #: Elements that never hold main text.
 NEVER = frozenset("""head title script style noscript template nav header footer aside form button select option
     textarea datalist iframe object svg canvas math audio video map dialog menu search""".split())
+#: Of these, elements that some pages put around everything or never close: what they hold is judged by its mass.
+WEIGHED = frozenset("form nav header footer aside menu search dialog button select".split())
 #: Elements whose end tag is optional: what their start closes.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -48,27 +52,22 @@ SIGMA = 1.5
 
 
 def is_aside(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    """Is this element never main text, by its tag, its role or because it is hidden?"""
-    if tag in NEVER:
-        return True
-    if tag in ("html", "body", "main", "article"):
-        return False
-    for key, value in attrs:
-        value = (value or "").strip()
-        if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
-        if key == "role" and value.lower() in ASIDE_ROLES:
-            return True
-        if key == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
-    return False
+    """Is this element never main text, by its tag?"""
+    return tag in NEVER and tag not in WEIGHED
 
 
 def is_named_aside(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    """Does a class or id say that this element holds a menu, notice, advert, comments or the like?"""
+    """Do the tag, a role, a hidden mark, a class or an id say that this element holds a menu, form, notice,
+    advert, comments or the like?  So it does unless it holds most of the page's seed text."""
+    if tag in WEIGHED:
+        return True
     if tag in ("html", "body", "main", "article"):
         return False
     for key, value in attrs:
+        mark = (value or "").strip().lower()
+        if (key == "hidden" or key == "aria-hidden" and mark == "true" or key == "role" and mark in ASIDE_ROLES
+                or key == "style" and "display:none" in mark.replace(" ", "")):
+            return True
         if key in ("class", "id"):
             for name in (value or "").split():
                 words = [w.lower() for w in NAME.findall(name)]
@@ -81,11 +80,12 @@ def is_named_aside(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
 class Line:
     """``parts`` are (text, inside a link, numbers of the named asides around it)."""
 
-    __slots__ = ("text", "tags", "linked", "path", "tag", "parts")
+    __slots__ = ("text", "tags", "menu", "path", "tag", "parts")
 
     def __init__(self, parts, tags, path, tag):
         self.text = SPACES.sub(" ", "".join(t for t, _, _ in parts)).strip()
-        self.linked = sum(len(t) for t, link, _ in parts if link)
+        solid = [(len("".join(t.split())), link) for t, link, _ in parts]
+        self.menu = 10 * sum(n for n, link in solid if link) >= 9 * sum(n for n, _ in solid)  # links alone
         self.parts, self.tags, self.path, self.tag = parts, tags, path, tag
 
     def outside(self, asides: set[int]) -> Line:
@@ -224,10 +224,10 @@ def threshold(values: np.ndarray) -> float:
 
 
 def seeds(lines: list[Line]) -> list[int]:
-    """Length of each line that is a content seed, 0 for the others."""
+    """Length of each line that is a content seed, 0 for the others and for lines of links alone."""
     ratios = smoothed_ratios(lines)
     cut = threshold(ratios)
-    return [len(x.text) if r >= cut else 0 for x, r in zip(lines, ratios)]
+    return [len(x.text) if r >= cut and not x.menu else 0 for x, r in zip(lines, ratios)]
 
 
 def without_asides(page: PageReader) -> list[Line]:
@@ -262,6 +262,8 @@ def main_lines(html: str | None) -> list[str]:
     if not lines:
         return []
     seed = seeds(lines)
+    if links := not any(seed):  # a page of links: no line says more than another
+        seed = [len(x.text) for x in lines]
     paths = [x.path for x, s in zip(lines, seed) if s]
     holds = set(paths[0]).intersection(*paths[1:])  # containers of one path: higher numbers are inside lower ones
     marked = [n for n in holds if kinds[n][1]]
@@ -271,8 +273,7 @@ def main_lines(html: str | None) -> list[str]:
     whole = region < 0 or kinds[region][0] in ("html", "body")
     out = []
     for x, s in zip(lines, seed):
-        menu = x.linked >= 0.9 * len(x.text) and not marked and (
-            x.tag == "li" or whole and not s and x.tag not in paragraphs)
+        menu = (whole or links) and x.menu and (x.tag == "li" or not s and x.tag not in paragraphs)
         if (whole or region in x.path) and not menu:
             out.append(x.text)
     return out

@@ -256,3 +256,33 @@ def test_masking(spark):
     assert out.columns == df.columns
     assert {tuple(r) for r in out.collect()} == {(1, "mail [EMAIL] or [PHONE]!", "en", "s", 24), (2, "é", "en", "s", 1),
                                                  (None, None, None, None, None)}
+
+
+ARTICLE = [f"This is paragraph number {i} of the article, which is long enough to be what a reader wants to see here." for i in range(6)]
+
+
+def _paragraphs(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+def test_wrappers_and_unclosed_menus_lose_no_article():
+    from pulsekit.llm.html_extract import main_lines
+    body = _paragraphs(ARTICLE)
+    assert main_lines(f"<body><form id=all><div>{body}</div></form></body>") == ARTICLE
+    assert main_lines(f"<body><div role=dialog><div>{body}</div></div></body>") == ARTICLE
+    assert main_lines(f"<body><div aria-hidden=true>{body}</div></body>") == ARTICLE
+    assert main_lines(f"<body><nav><a href=x>Home</a> <a href=y>News</a><div class=content>{body}</div></body>") == ARTICLE
+    assert main_lines(f"<body><header><a href=x>Home</a><div class=content>{body}</div></body>") == ARTICLE
+    page = (f"<body><header><a href=x>Home</a></header><article>{body}</article><form><label>Your name, please, and what "
+            "you think of it</label><input></form><aside><p>Subscribe to our letter now and get more of it.</p></aside></body>")
+    assert main_lines(page) == ARTICLE
+
+
+def test_lists_of_links_in_the_region_stay():
+    from pulsekit.llm.html_extract import main_lines
+    items = [f"Reference number {i}" for i in range(4)]
+    links = "<ul>" + "".join(f"<li><a href=r{i}>{t}</a></li>" for i, t in enumerate(items)) + "</ul>"
+    page = (f"<body><nav><ul><li><a href=h>Home</a></li></ul></nav><div>{_paragraphs(ARTICLE[:3])}{links}{_paragraphs(ARTICLE[3:])}"
+            "</div><footer>Copyright</footer></body>")
+    assert main_lines(page) == ARTICLE[:3] + items + ARTICLE[3:]
+    assert main_lines("<body><ul><li><a href=a>Only</a></li><li><a href=b>links</a></li></ul></body>") == []
