@@ -305,13 +305,16 @@ def _pivots(rows: DataFrame, r: int, *columns: str) -> DataFrame:
                                               *[F.col(f"x.{c}").alias(f"p_{c}") for c in columns])
 
 
-def _placed(rows: DataFrame, pivots: DataFrame, met: DataFrame) -> DataFrame:
-    """Rows with bounds lo, hi of the distance to their region's pivot; sizes alone bound it where it was not measured."""
-    apart = 1 - F.least("n", "pn") / F.greatest("n", "pn")
-    same = F.col("id") == F.col("p")
-    return (rows.join(pivots, "s").withColumn("a", F.greatest("id", "p")).withColumn("b", F.least("id", "p"))
-            .join(met.select("a", "b", "lo", "hi"), ["a", "b"], "left").filter(~same)
-            .select("s", "id", "n", "pos", F.coalesce("lo", apart).alias("lo"), F.coalesce("hi", F.lit(1.0)).alias("hi")))
+def _placed(rows: DataFrame, pivots: DataFrame, met: DataFrame, num: int, den: int) -> DataFrame:
+    """Rows with bounds lo, hi of the distance to their region's pivot, without the pivot's own.
+
+    Sizes alone bound it for rows that were not measured; these are not joined with the measures."""
+    at = rows.join(pivots, "s").filter(F.col("id") != F.col("p"))
+    apart = at.filter(~_sizes_allow("n", "pn", num, den)).select(
+        "s", "id", "n", "pos", (1 - F.least("n", "pn") / F.greatest("n", "pn")).alias("lo"), F.lit(1.0).alias("hi"))
+    near = (at.filter(_sizes_allow("n", "pn", num, den)).select("s", "id", "n", "pos", *_pair("id", "p"))
+            .join(met.select("a", "b", "lo", "hi"), ["a", "b"]))
+    return near.select("s", "id", "n", "pos", "lo", "hi").unionByName(apart)
 
 
 def ngram_jaccard_links(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100,
@@ -335,15 +338,15 @@ def ngram_jaccard_links(docs: DataFrame, n: int = 5, num: int = 75, den: int = 1
              .select(*_pair("id", "p")).distinct())
     met = landed(_measured(pairs, docs, described, n, num, den), "met")
     links = met.filter("linked").select("a", "b")
-    rows = landed(_placed(rows, pivots, met), "regions")  # a pivot has met all the others and is done in its region
-    live = landed(_live(rows, connected_components(links)), "region-cores")
+    # a pivot has met all the others and is done in its region; a region of one core stays so
+    live = landed(_live(_placed(rows, pivots, met, num, den), connected_components(links)), "region-cores")
     for r in range(1, rounds):
         outer = live.filter(F.col("core") != F.col("top"))
         middle = _pivots(live.filter(F.col("core") == F.col("top")), r, "lo", "hi")
         pairs = (outer.join(middle, "s").filter(_sizes_allow("n", "pn", num, den) & _window("p_", num, den))
                  .select(*_pair("id", "p")).distinct())
         links = landed(links.unionByName(_decided(pairs, docs, described, n, num, den)).distinct(), "links")
-        live = landed(_live(rows, connected_components(links)), "region-cores")
+        live = landed(_live(live.drop("core", "top"), connected_components(links)), "region-cores")
 
     # what is left is tested by the folded parities inside the join: only pairs that may be links become rows
     words = [f"q{i}" for i in range(FOLDED // 64)]
