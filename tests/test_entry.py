@@ -10,7 +10,7 @@ def test_registry_has_an_oracle_for_every_sql_expressible_query():
     assert set(E.oracle_sql()) <= set(E.queries())
     qs, sql = queries(), oracle_sql()
     assert set(qs) <= set(E.queries())
-    assert set(qs) - set(sql) == {"bpm_predict"}
+    assert set(qs) - set(sql) == {"bpm_predict", "model_errors"}  # predictions and errors of trained models
 
 
 def test_entry_smoke(spark):
@@ -27,4 +27,11 @@ def test_golden_label_counts(spark):
     assert lw.count() == 10000
     by = {r.sport: r.n_samples for r in q["labels_per_sport"](spark, SF01).collect()}
     assert by == {"0": 7926, "Circuit Training": 405, "Martial Arts": 402, "Run": 421, "Sport": 426, "Walk": 420}
-    assert q["lag_features"](spark, SF01).count() == 659
+
+
+def test_golden_lag_counts(spark):
+    from pulsekit.operators.features import lag_features
+    from pulsekit.plans.context import Inputs
+    hourly = Inputs(spark, SF01).hourly_series()
+    assert lag_features(hourly, "TS", "BPM", n_lags=60, unit_seconds=3600, bucket_units=24 * 7).count() == 659
+    assert E.queries()["lag_features"](spark, SF01).count() == 16204  # per person, by the minute
