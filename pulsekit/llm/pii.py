@@ -10,10 +10,10 @@ the kind, are new identifiers.  Numbers written with blanks are one such word.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import SPACE, landed, let
+from pulsekit.llm.common import landed, let
 
 #: Fixed: kinds in the order of the result, and their patterns.  Possessive forms of
 #: [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+ and so on: same matches, no backtracking.
@@ -28,8 +28,10 @@ PATTERNS = {
 CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 #: Digits with blanks, brackets, dots and hyphens between them: a number written in groups.
 RUN = r"[(\[]{0,2}+[0-9]++(?:[\x20()\[\].-]++[0-9]++)++"
-#: Characters looked at on either side for the neighbouring word.
-CONTEXT = 64
+#: Kinds of candidates, after KINDS: a word, and a number written with blanks.
+WORD_OF, RUN_OF = len(KINDS), len(KINDS) + 1
+#: Code points of a block of text from which masking cuts.
+BLOCK = 1024
 ROUNDS, MIN_CONFIDENCE, MIN_SEEDS = 3, 0.9, 5
 
 
@@ -61,57 +63,105 @@ def _holds(kind: str, x: Column) -> Column:
     return F.lit(True)
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """array<struct<s, e, v>> of the leftmost non-overlapping matches, in code points, end exclusive."""
+def running(items: Column, zero: Column, step, empty: str, levels: int = 2) -> Column:
+    """``[y1, y2, ...]`` of a fold that gives out a value an item: ``step(state, item) -> struct(state, y)``.
+
+    A fold that appends to one array copies it for every item.  Here parts of n^(2/3) items, and parts of
+    n^(1/3) in them, fold for themselves, so n items cost n^(4/3) pointer copies.  ``empty`` is the
+    type of the result.
+    """
+    none = F.array().cast(empty)
+
+    def one(acc: Column, item: Column) -> Column:
+        return let(step(acc["at"], item), lambda r: F.struct(
+            r["state"].alias("at"), F.concat(acc["out"], F.array(r["y"])).alias("out")))
+
+    def folded(x: Column, at: Column, level: int) -> Column:
+        if not level:
+            return F.aggregate(x, F.struct(at.alias("at"), none.alias("out")), one)
+        size = F.greatest(F.ceil(F.pow(F.size(x), F.lit(level / (level + 1)))).cast("int"), F.lit(1))
+        parts = let(size, lambda n: F.transform(F.sequence(F.lit(0), F.ceil(F.size(x) / n).cast("int") - 1),
+                                                lambda i: F.slice(x, i * n + 1, n)))
+
+        def part(acc: Column, p: Column) -> Column:
+            return let(folded(p, acc["at"], level - 1), lambda r: F.struct(
+                r["at"].alias("at"), F.concat(acc["out"], F.array(r["out"])).alias("out")))
+
+        return F.aggregate(parts, F.struct(at.alias("at"), F.array().cast(f"array<{empty}>").alias("out")), part,
+                           lambda acc: F.struct(acc["at"].alias("at"), F.flatten(acc["out"]).alias("out")))
+
+    return F.when(F.size(items) > 0, let(items, lambda x: folded(x, zero, levels)["out"])).otherwise(none)
+
+
+#: Signs between an identifier and the white space around it, white space, and the word that follows.
+BESIDE = r"^(?:[^\p{L}\p{N}\x20\x09-\x0D]++)?+[\x20\x09-\x0D]*+([^\x20\x09-\x0D]*+)"
+SPAN = "s:int,e:int,v:string"
+
+
+def _plain(word: Column) -> Column:
+    return F.regexp_replace(F.lower(word), r"[^\p{L}\p{N}]", "")
+
+
+def matches(text: Column, pattern: str, holds=None, neighbours: bool = False) -> Column:
+    """array<struct<s, e, v>> of the leftmost non-overlapping matches that hold, in code points, end exclusive.
+
+    With ``neighbours`` also ``left`` and ``right``, the words beside a match, whole ones of any length in small
+    letters without signs.  A neighbour is looked for up to the next but one match of the pattern on its side,
+    so every character is looked at a bounded number of times.
+    """
     both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"),
                     F.split(text, pattern, -1).alias("gaps"))
+    fields = SPAN + (",left:string,right:string" if neighbours else "")
+    none = F.array().cast(f"array<struct<{fields}>>")
 
     def placed(b: Column) -> Column:
-        pairs = F.arrays_zip(F.slice(b["gaps"], 1, F.size(b["m"])).alias("g"), b["m"].alias("v"))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,v:string>>").alias("out"))
+        lengths = F.transform(b["m"], lambda v, i: F.struct(F.length(F.get(b["gaps"], i)).alias("g"), F.length(v).alias("n")))
+        starts = running(lengths, F.lit(0), lambda at, x: F.struct(
+            (at + x["g"] + x["n"]).alias("state"), (at + x["g"]).alias("y")), "array<int>")
+
+        def piece(i: Column) -> Column:
+            return F.coalesce(F.get(b["gaps"], i), F.lit(""))
 
-        def step(acc: Column, p: Column) -> Column:
-            s = acc["at"] + F.length(p["g"])
-            e = s + F.length(p["v"])
-            return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(
-                s.alias("s"), e.alias("e"), p["v"].alias("v")))).alias("out"))
+        def match(i: Column) -> Column:
+            return F.coalesce(F.when(i >= 0, F.get(b["m"], i)), F.lit(""))
 
-        return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+        def whole(at: Column) -> Column:
+            found = F.filter(F.transform(b["m"], lambda v, i: F.struct(i.alias("i"), F.get(at, i).alias("s"), v.alias("v"))),
+                             lambda x: holds(x["v"]) if holds else F.lit(True))
+
+            def span(x: Column) -> Column:
+                i = x["i"]
+                out = [x["s"].alias("s"), (x["s"] + F.length(x["v"])).alias("e"), x["v"].alias("v")]
+                if neighbours:
+                    before = F.concat(F.when(i > 0, piece(i - 1)).otherwise(""), match(i - 1), piece(i))
+                    after = F.concat(piece(i + 1), match(i + 1), piece(i + 2))
+                    out += [_plain(F.reverse(F.regexp_extract(F.reverse(before), BESIDE, 1))).alias("left"),
+                            _plain(F.regexp_extract(after, BESIDE, 1)).alias("right")]
+                return F.struct(*out)
+
+            return F.transform(found, span)
+
+        return F.when(F.size(b["m"]) > 0, let(starts, whole)).otherwise(none)
 
     return let(both, placed)
 
 
-def base_spans(text: Column) -> Column:
+def base_spans(text: Column, neighbours: bool = False) -> Column:
     """array<struct<k, s, e, v>> of the fixed patterns, by kind as listed, then start."""
-    none = F.array().cast("array<struct<k:int,s:int,e:int,v:string>>")
+    fields = f"k:int,{SPAN}" + (",left:string,right:string" if neighbours else "")
+    none = F.array().cast(f"array<struct<{fields}>>")
     worth = {"email": F.instr(text, "@") > 0, "phone": F.instr(text, "+") > 0}
 
     def of_kind(k: int, kind: str) -> Column:
-        found = F.transform(F.filter(matches(text, PATTERNS[kind]), lambda x: _holds(kind, x["v"])),
-                            lambda x: F.struct(F.lit(k).alias("k"), x["s"].alias("s"), x["e"].alias("e"),
-                                               x["v"].alias("v")))
+        spans = matches(text, PATTERNS[kind], lambda v: _holds(kind, v), neighbours)
+        found = F.transform(spans, lambda x: F.struct(F.lit(k).alias("k"), *[x[n].alias(n) for n in _names(neighbours)]))
         return F.when(worth.get(kind, text.rlike("[0-9]")), found).otherwise(none)
 
     return F.concat(*[of_kind(k, kind) for k, kind in enumerate(KINDS)])
 
 
-#: Signs between an identifier and the white space around it.
-SIGNS = r"[^\p{L}\p{N}\x20\x09-\x0D]++"
-
-
-def _word_before(text: Column, s: Column) -> Column:
-    part = F.substr(text, F.greatest(s - CONTEXT + 1, F.lit(1)), F.least(s, F.lit(CONTEXT)))
-    part = F.regexp_replace(part, SIGNS + "$", "")
-    return F.element_at(F.split(F.rtrim(F.translate(part, SPACE, " " * len(SPACE))), " "), -1)
-
-
-def _word_after(text: Column, e: Column) -> Column:
-    part = F.regexp_replace(F.substr(text, e + 1, F.lit(CONTEXT)), "^" + SIGNS, "")
-    return F.element_at(F.split(F.ltrim(F.translate(part, SPACE, " " * len(SPACE))), " "), 1)
-
-
-def _plain(word: Column) -> Column:
-    return F.regexp_replace(F.lower(word), r"[^\p{L}\p{N}]", "")
+def _names(neighbours: bool) -> list[str]:
+    return ["s", "e", "v"] + ["left", "right"] * neighbours
 
 
 def _looks_like(kind: Column, v: Column) -> Column:
@@ -124,35 +174,40 @@ def _looks_like(kind: Column, v: Column) -> Column:
             | ((kind == 3) & n.between(9, 15) & ~letters))
 
 
-def candidates(text: Column) -> Column:
-    """array<struct<s, e, v>>: words with a digit or an at sign, and numbers written with blanks, each as one.
+def occurrences(text: Column) -> Column:
+    """array<struct<k, s, e, v, left, right>>: seeds (k numbers KINDS), words with a digit or an at sign (WORD_OF), and
+    numbers written with blanks, each as one (RUN_OF)."""
+    def as_kind(spans: Column, k: int) -> Column:
+        return F.transform(spans, lambda x: F.struct(F.lit(k).alias("k"), *[x[n].alias(n) for n in _names(True)]))
+
+    none = F.array().cast(f"array<struct<k:int,{SPAN},left:string,right:string>>")
+    words = as_kind(matches(text, CANDIDATE, None, True), WORD_OF)
+    runs = as_kind(matches(text, RUN, lambda v: (F.instr(v, " ") > 0) & F.length(_digits(v)).between(9, 19), True), RUN_OF)
+    return F.when(text.rlike("[0-9@]"), F.concat(
+        base_spans(text, True), words,
+        F.when(text.rlike(r"[0-9][)\].-]*\x20[\x20()\[\].-]*[0-9]"), runs).otherwise(none))).otherwise(none)
 
-    A word that is a part of such a number is none, unless it has digits enough to be an identifier itself.
-    """
-    runs = F.when(text.rlike(r"[0-9][)\].-]*\x20[\x20()\[\].-]*[0-9]"), F.filter(
-        matches(text, RUN), lambda c: (F.instr(c["v"], " ") > 0) & F.length(_digits(c["v"])).between(9, 19))).otherwise(
-        F.array().cast("array<struct<s:int,e:int,v:string>>"))
 
-    def both(c: Column) -> Column:
-        alone = F.filter(c["words"], lambda w: (F.instr(w["v"], "@") > 0) | (F.length(_digits(w["v"])) >= 8)
-                         | ~F.exists(c["runs"], lambda r: (r["s"] < w["e"]) & (w["s"] < r["e"])))
-        return F.when(F.size(c["runs"]) > 0, F.concat(alone, c["runs"])).otherwise(c["words"])
+def _touches(rows: DataFrame, others: Column, name: str) -> DataFrame:
+    """Adds ``name``: does a row for which ``others`` holds overlap this one in its text?  Two running extremes."""
+    before = Window.partitionBy("id", "id2").orderBy("s").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    after = Window.partitionBy("id", "id2").orderBy(F.desc("s")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reach, ahead = F.max(F.when(others, F.col("e"))).over(before), F.min(F.when(others, F.col("s"))).over(after)
+    return rows.withColumn(name, F.coalesce(reach > F.col("s"), F.lit(False)) | F.coalesce(ahead < F.col("e"), F.lit(False)))
 
-    return let(F.struct(matches(text, CANDIDATE).alias("words"), runs.alias("runs")), both)
 
+def _occurrences(docs: DataFrame) -> DataFrame:
+    """(id, id2, k, s, e, v, left, right) of ``occurrences``, every row once; k null for candidates.
 
-def _occurrences(spans: DataFrame) -> DataFrame:
-    """Seeds and candidates with both neighbouring words: (id columns, k, s, e, v, left, right); k null for candidates."""
-    seeds = spans.select("id", "id2", "text", F.explode("base").alias("x")).select(
-        "id", "id2", "text", F.col("x.k").alias("k"), F.col("x.s").alias("s"), F.col("x.e").alias("e"),
-        F.col("x.v").alias("v"))
-    free = F.filter("cand", lambda c: ~F.exists("base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])))
-    others = (spans.select("id", "id2", "text", "base", F.col("cand")).select("id", "id2", "text", F.explode(free).alias("x"))
-              .select("id", "id2", "text", F.lit(None).cast("int").alias("k"), F.col("x.s").alias("s"),
-                      F.col("x.e").alias("e"), F.col("x.v").alias("v")))
-    return seeds.unionByName(others).select(
-        "id", "id2", "k", "s", "e", "v", _plain(_word_before(F.col("text"), F.col("s"))).alias("left"),
-        _plain(_word_after(F.col("text"), F.col("e"))).alias("right"))
+    Candidates are those that no seed touches; a word that is a part of a number written with blanks is none,
+    unless it has digits enough to be an identifier itself.
+    """
+    rows = docs.select("id", "id2", F.explode("spans").alias("x")).select("id", "id2", "x.*").distinct()
+    rows = _touches(_touches(rows, F.col("k") < WORD_OF, "_seeded"), F.col("k") == RUN_OF, "_in_run")
+    alone = (F.instr("v", "@") > 0) | (F.length(_digits(F.col("v"))) >= 8) | ~F.col("_in_run")
+    free = ~F.col("_seeded") & ((F.col("k") == RUN_OF) | alone)
+    return (rows.filter((F.col("k") < WORD_OF) | free).drop("_seeded", "_in_run")
+            .withColumn("k", F.when(F.col("k") < WORD_OF, F.col("k"))))
 
 
 def _patterns(rows: DataFrame) -> DataFrame:
@@ -206,19 +261,16 @@ def find_personal_data(docs: DataFrame, **settings) -> DataFrame:
     """
     key = {"_id": F.xxhash64("doc_id", "text"), "_id2": F.hash("text", "doc_id")}
     text = F.coalesce("text", F.lit(""))
-    # regular expressions run in the scan; what is joined later are a few spans
-    cand = F.when(text.rlike("[0-9@]"), candidates(text)).otherwise(
-        F.array().cast("array<struct<s:int,e:int,v:string>>"))
-    worth = docs.select(F.xxhash64("doc_id", "text").alias("id"), F.hash("text", "doc_id").alias("id2"),
-                        text.alias("text"), base_spans(text).alias("base"), cand.alias("cand")).filter("size(cand) > 0")
-    seen = landed(_occurrences(worth).distinct(), "pii-occurrences")
+    # regular expressions run in the scan; what is shuffled later are a few spans
+    seen = landed(_occurrences(docs.select(key["_id"].alias("id"), key["_id2"].alias("id2"), occurrences(text).alias("spans"))),
+                  "pii-occurrences")
     new = bootstrap(seen, **settings)
-    extra = (seen.filter("k is null").drop("k").join(new, "v")
-             .groupBy(F.col("id").alias("_id"), F.col("id2").alias("_id2"))
-             .agg(F.collect_set(F.struct("k", "s", "e", "v")).alias("_extra")))
-    outer = F.filter("_extra", lambda x: ~F.exists("_extra", lambda y: (y["s"] <= x["s"]) & (x["e"] <= y["e"])
-                                                   & (y["e"] - y["s"] > x["e"] - x["s"])))
-    extra = extra.withColumn("_extra", outer)  # a found number is listed once, as a whole
+    # a found number is listed once, as a whole: what starts later and ends no later lies in another
+    wider = Window.partitionBy("_id", "_id2").orderBy("s", F.desc("e")).rowsBetween(Window.unboundedPreceding, -1)
+    extra = (seen.filter("k is null").select(F.col("id").alias("_id"), F.col("id2").alias("_id2"), "s", "e", "v").distinct()
+             .join(new, "v").withColumn("_reach", F.max("e").over(wider))
+             .filter("_reach is null or _reach < e").groupBy("_id", "_id2")
+             .agg(F.collect_list(F.struct("k", "s", "e", "v")).alias("_extra")))
     out = docs.withColumns(key).withColumn("base", base_spans(text)).join(extra, ["_id", "_id2"], "left")
     return (out.withColumn("found", F.sort_array(F.concat("base", F.coalesce("_extra", F.array().cast(
         "array<struct<k:int,s:int,e:int,v:string>>"))))).drop("_id", "_id2", "_extra"))
@@ -253,18 +305,31 @@ def mask_personal_data(docs: DataFrame, **settings) -> DataFrame:
     order = F.sort_array(F.transform("found", lambda x: F.struct(
         x["s"].alias("s"), (-x["e"]).alias("e"), x["k"].alias("k"))))
 
-    def replaced(spans: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-        def step(acc: Column, x: Column) -> Column:
-            gap = F.substr(F.col("text"), acc["at"] + 1, x["s"] - acc["at"])
-            return F.when(x["s"] < acc["at"], acc).otherwise(F.struct(
-                (-x["e"]).alias("at"), F.concat(acc["out"], F.array(gap, F.get(labels, x["k"]))).alias("out")))
-
-        return F.aggregate(spans, start, step, lambda acc: F.concat(
-            F.array_join(acc["out"], ""), F.substr(F.col("text"), acc["at"] + 1, F.length("text"))))
-
-    masked = F.when(F.size("found") > 0, let(order, replaced)).otherwise(F.col("text"))
+    def replaced(p: Column) -> Column:
+        # from -> to of the gap before each span, -1 for a span that another one covers
+        cuts = running(p["spans"], F.lit(0), lambda at, x: F.struct(
+            F.when(x["s"] < at, at).otherwise(-x["e"]).alias("state"),
+            F.struct(at.alias("a"), F.when(x["s"] < at, -1).otherwise(x["s"]).alias("b"), (-x["e"]).alias("e"),
+                     x["k"].alias("k")).alias("y")), "array<struct<a:int,b:int,e:int,k:int>>")
+
+        def cut(a: Column, b: Column) -> Column:
+            first, last = F.floor(a / BLOCK).cast("int"), F.floor(b / BLOCK).cast("int")
+            head, tail = F.get(p["blocks"], first), F.coalesce(F.get(p["blocks"], last), F.lit(""))
+            return F.when(first == last, F.substr(F.coalesce(head, F.lit("")), a % BLOCK + 1, b - a)).otherwise(F.concat(
+                F.substr(head, a % BLOCK + 1, F.lit(BLOCK)),
+                F.array_join(F.slice(p["blocks"], first + 2, last - first - 1), ""), F.substr(tail, F.lit(1), b % BLOCK)))
+
+        def joined(c: Column) -> Column:
+            kept = F.filter(c, lambda x: x["b"] >= 0)
+            parts = F.transform(kept, lambda x: F.concat(cut(x["a"], x["b"]), F.get(labels, x["k"])))
+            end = F.element_at(kept, -1)["e"]
+            return F.concat(F.array_join(parts, ""), cut(end, p["n"]))
+
+        return let(cuts, joined)
+
+    whole = F.struct(order.alias("spans"), F.length("text").alias("n"),
+                     F.regexp_extract_all("text", F.lit("(?s).{1,%d}" % BLOCK), F.lit(0)).alias("blocks"))
+    masked = F.when(F.size("found") > 0, let(whole, replaced)).otherwise(F.col("text"))
     out = found.withColumn("text", masked)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -14,7 +15,7 @@ from tokenizers import Tokenizer
 
 from pulsekit.llm.bpe import BytePairCodec, bpe_digests, bpe_encode
 from pulsekit.llm.packing import best_fit_packing, plan_slots
-from pulsekit.llm.pii import KINDS, find_personal_data, mask_personal_data, pii_digests
+from pulsekit.llm.pii import KINDS, find_personal_data, mask_personal_data, occurrences, pii_digests
 from pulsekit.llm.quality_rules import quality_rules
 from pulsekit.llm.secret_scan import GuessCost, SecretScanner, secret_scan, word_ranks
 from tests.conftest import SF001
@@ -258,6 +259,44 @@ def test_masking(spark):
                                                  (None, None, None, None, None)}
 
 
+def brute_mask(text, spans):
+    out, at = [], 0
+    for a, b, k in sorted(((x.s, x.e, x.k) for x in spans), key=lambda x: (x[0], -x[1])):
+        if a >= at:
+            out += [text[at:a], f"[{KINDS[k].upper()}]"]
+            at = b
+    return "".join(out) + text[at:]
+
+
+def test_masks_of_overlapping_spans_and_over_blocks(spark):
+    rng = random.Random(11)
+    texts = ["".join(rng.choice(["ab ", "1.2.3.4", "+1 (377) 555-0271", "x@y.z", " ", "😀é", "4111 1111 1111 1111", "\n", "w" * 700,
+                                 "5+44 20 7946 0958"]) for _ in range(rng.randrange(40))) for _ in range(120)]
+    df = docs(spark, texts).select("doc_id", "text")
+    spans = {r.doc_id: (r.text, r.found) for r in find_personal_data(df).collect()}
+    masked = {r.doc_id: r.text for r in mask_personal_data(df).collect()}
+    assert masked == {i: brute_mask(t, found) for i, (t, found) in spans.items()}
+
+
+def test_neighbours_are_whole_words(spark):
+    text = F.lit("x" * 90 + "! (1.2.3.4), Žluťoučký. a@b.c;5.6.7.8 ")
+    row = spark.range(1).select(occurrences(text).alias("o")).first().o
+    got = {(x.k, x.v): (x.left, x.right) for x in row if x.k < len(KINDS)}
+    assert got == {(1, "1.2.3.4"): ("x" * 90, "žluťoučký"), (0, "a@b.c"): ("žluťoučký", "5678"), (1, "5.6.7.8"): ("abc", "")}
+
+
+@pytest.mark.parametrize("word", ["{:05d}", "n{}@example.org", "+1 377 {:07d};"])
+def test_texts_with_many_matches_take_linear_time(spark, word):
+    """60,000 matches in one text (of the phone numbers, 180,000 words as well): a form that is square takes minutes."""
+    text = " ".join(word.format(i) for i in range(60_000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.monotonic()
+    masked = mask_personal_data(df).first().text
+    assert time.monotonic() - start < 90
+    assert masked == (text if word == "{:05d}" else " ".join(["[EMAIL]"] * 60_000) if "@" in word
+                      else " ".join(["[PHONE];"] * 60_000))
+
+
 ARTICLE = [f"This is paragraph number {i} of the article, which is long enough to be what a reader wants to see here." for i in range(6)]
 
 
