@@ -37,6 +37,14 @@ LEET = str.maketrans({"0": "o", "1": "l", "3": "e", "4": "a", "5": "s", "7": "t"
 DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12]\d|3[01]))?)?"
                   r"|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d")
 MIN_COST = 11.0  # decimal digits of guesses
+#: Fixed: what stands for a value that is filled in elsewhere: ${NAME}, $NAME, {{name}}, <name>, %(name)s, %NAME%, ****, xxxx.
+PLACEHOLDER = re.compile(r"\$\{[^{}\n]*\}|\$[A-Za-z_]\w*|\{\{[^{}\n]*\}\}|<[^<>\n]+>|%\([^()\n]*\)s?|%\w+%|([*xX.#])\1{3,}")
+#: Paths, addresses and calls; their parts are words.
+LISTED = re.compile(r"(?:[a-z][a-z0-9+.-]*://|\.{0,2}/|~/|[a-z]:\\)\S+|[a-z_]\w*(?:\.\w+)*\([^()]*\)?", re.ASCII | re.IGNORECASE)
+PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9A-Za-z]+?(?=[A-Z][a-z])|[^\W_]+")
+#: A sentence, path or call of dictionary words costs as much as an entry of a list; words up to this rank make sentences.
+LIST_COST, FUNCTION_RANK = 6.0, 200
+CLOSING = {")": "(", "]": "["}
 
 
 def word_ranks(vocabulary: str) -> dict[str, int]:
@@ -60,7 +68,8 @@ class GuessCost:
 
     A value is cut into dictionary words (also capitalised or with digits for letters), dates, repeats,
     keyboard walks and sequences; a character that remains costs the logarithm of the alphabet that the
-    value draws on, times ``brute``.  Linear in the value's length.
+    value draws on, times ``brute``.  Sentences, paths, addresses and calls are entries of a list, and only
+    their parts outside the dictionary cost more.  Linear in the value's length.
     """
 
     def __init__(self, ranks: dict[str, int], brute: float = 1.0):
@@ -70,6 +79,28 @@ class GuessCost:
         self.steps = {row[i:i + 2] for r in rows for row in (r, r[::-1]) for i in range(len(row) - 1)}
 
     def __call__(self, value: str) -> float:
+        cost = self.segmented(value)
+        if cost > LIST_COST and self.is_text(value):
+            rest = re.sub(r"^\w+://", "", value)
+            parts = [w for run in re.findall(r"[^\W_]+", rest)
+                     for w in ([run] if run.lower() in self.ranks else self.pieces(run))]
+            cost = min(cost, LIST_COST + sum(self.segmented(w) for w in parts if w.lower() not in self.ranks and len(w) > 2))
+        return cost
+
+    @staticmethod
+    def pieces(run: str) -> list[str]:
+        """A name of joined words in its words; a run with digits stays whole."""
+        return PARTS.findall(run) if run.isalpha() else [run]
+
+    def is_text(self, value: str) -> bool:
+        """A path, an address, a call, or three words and more one of which is a function word?"""
+        if LISTED.fullmatch(value):
+            return True
+        words = value.lower().split()
+        return len(words) > 2 and any(self.ranks.get(w, math.inf) <= FUNCTION_RANK for w in words)
+
+    def segmented(self, value: str) -> float:
+        """The cheapest segmentation."""
         low = value.lower()
         plain = low.translate(LEET) if len(low) == len(value) else low
         n, brute = len(low), self.brute * math.log10(alphabet(value))
@@ -128,9 +159,15 @@ class SecretScanner:
         out, at = [], 0
         while m := CONTEXT.search(text, at):
             a, b = m.span(m.lastindex)
+            # a bracket that the value opened belongs to it
+            while b < len(text) and text[b] in CLOSING and text.count(CLOSING[text[b]], a, b) > text.count(text[b], a, b):
+                b += 1
+            filled = PLACEHOLDER.match(text, a)
             touching = [e for s, _, e in base if s < b and a < e]
             if touching:
                 at = max(a, min(b, max(touching)))
+            elif filled and filled.end() >= b:
+                at = b
             elif b - a >= MIN_LENGTH and self.cost(text[a:b]) >= self.min_cost:
                 out.append((a, 3, b))
                 at = b

@@ -178,6 +178,37 @@ def test_secret_values_are_whole(text, want):
     assert [text[a:b] for a, _, b in SecretScanner(WORD).guessed(text, [])] == ([want] if want else [])
 
 
+ORDINARY = ["password: <your-password-here>", "password: ${DB_PASSWORD_FROM_ENV}", "secret: 'please enter your password here'",
+            "pwd = '/home/user/projects/data'", "secret=https://example.com/docs/page.html", "api_key = {{ vault_api_key }}",
+            "token := strings.TrimSpace(header)", "Secret = 'The quick brown fox went home'", "passwd: ****************",
+            "token = get_access_token(request)", 'password: "must be longer than eight characters"', "pwd=%DEPLOY_PASSWORD%",
+            "secret: ../config/local/settings.yaml", "password=$ROOT_PASSWORD", "private_key: ~/keys/server/private.pem"]
+
+
+def test_ordinary_values_are_no_secrets():
+    s = SecretScanner(WORD)
+    assert [t for t in ORDINARY if s.guessed(t, s.base(t))] == []
+    for t in ("password: '/etc/k/9fQ2xLr8Tz0a'", "secret: 'take the key 8fQz!kW2 with you'", "pwd = Zq7!tR(4&pL)"):
+        (span,) = s.guessed(t, [])
+        assert t[span[0]:span[2]].strip("'") == t.split(" ", 1)[1].strip("'= "), t
+
+
+def test_base_secrets_against_plain_patterns(spark):
+    """The base spans of every document of the table, against one regular expression a kind."""
+    assign = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    rows = {r.doc_id: r for r in secret_scan(corpus(spark), WORD).collect()}
+    for d in corpus(spark).select("doc_id", "text").collect():
+        t = d.text or ""
+        spans = [(m.start(), 0, m.end()) for m in assign.finditer(t) if len(m[1]) >= 12]
+        spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 18]
+        spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 16]
+        base = ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(spans))
+        r = rows[d.doc_id]
+        assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == i for _, k, _ in spans) for i in range(3)]
+        assert set(filter(None, base.split(","))) <= set(r.spans.split(","))
+
+
 def test_hostile_contexts_take_linear_time():
     scanner = SecretScanner(WORD)
     for text in ("pass:" * 40000, "pass:" + "," * 200000, "pass:'" * 40000, "pass:\"\\" * 40000, "pass=" + "a" * 200000):
