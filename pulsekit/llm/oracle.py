@@ -26,9 +26,12 @@ LINE = r"""
     OR (length(regexp_replace(x, '[^|»›•·¦]+', '', 'g')) >= 3
       AND length(regexp_replace(x, '[^|»›•·¦]+', '', 'g')) * 4
         >= len(list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')))
-    OR (length(x) <= 40 AND regexp_matches(lower(trim(x)), '{nav}'))
-    OR (length(x) <= 400 AND regexp_matches(lower(trim(x)), '{phrases}')
-      AND len(list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) <= 25))
+    OR 100 * (length(regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g'))
+        - length(regexp_replace(regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g'), '[\p{P}\p{S}]', '', 'g')))
+      >= 40 * length(regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g'))
+    OR regexp_matches(lower(trim(x)), '{nav}')
+    OR (regexp_matches(lower(trim(x)), '{phrases}')
+      AND (length(lower(trim(x))) - length(regexp_replace(lower(trim(x)), '{phrases}', '', 'g'))) * 6 >= length(trim(x))))
 """
 
 

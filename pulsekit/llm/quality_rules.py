@@ -20,16 +20,18 @@ SEPARATORS = "|»›•·¦"
 SYMBOL_SHARE = 10
 #: Separators in a navigation line: three at least, and one for every four words.
 NAV_SEPARATORS, NAV_WORDS = 3, 4
-#: Navigation entries, matched against whole short lines.
+#: Navigation entries, matched against whole lines.
 NAV_ENTRIES = (r"^(?:home|menu|main menu|skip to (?:main )?content|back to top|log ?in|log ?out|sign ?in|sign ?up|register"
                r"|search|next|previous|prev|older posts?|newer posts?|read more|more|share|tweet|print|contact(?: us)?"
                r"|about(?: us)?|site ?map|faq|help|privacy policy|terms (?:of (?:use|service)|and conditions))$")
-#: Boilerplate phrases of short lines.
+#: Boilerplate phrases; a line fails where they are a sixth of it.
 BOILERPLATE = (r"all rights reserved|copyright ©|© ?(?:19|20)[0-9][0-9]|(?:use[sd]?|accept|enable) (?:of )?cookies"
                r"|cookie policy|privacy policy|terms of (?:use|service)|enable javascript|javascript is disabled"
                r"|subscribe to our|sign up for our|follow us on|share (?:this )?on (?:facebook|twitter)|click here to"
                r"|powered by wordpress|lorem ipsum")
-BOILERPLATE_WORDS = 25
+BOILERPLATE_SHARE = 6
+#: Marks of any script; a line fails where they are two fifths of its word characters, as in rules, tables and bare bullets.
+MARKS, MARK_SHARE = r"[\p{P}\p{S}]", 40
 MIN_WORDS, MAX_REPEATED, MIN_KEPT = 50, 50, 50
 
 
@@ -60,11 +62,14 @@ def line_passes(line: Column, phrases: Column) -> Column:
     """
     low = F.lower(F.trim(line))
     symbols = (count_chars(line, SYMBOLS) * SYMBOL_SHARE > F.length(line)) | ~line.rlike(r"[\p{L}\p{N}]")
+    solid = F.regexp_replace(line, r"[\x20\x09-\x0D]+", "")
+    marks = 100 * (F.length(solid) - F.length(F.regexp_replace(solid, MARKS, ""))) >= MARK_SHARE * F.length(solid)
     separators = count_chars(line, SEPARATORS)
-    navigation = ((separators >= NAV_SEPARATORS) & (separators * NAV_WORDS >= F.size(words(line)))) | (
-        (F.length(line) <= 40) & low.rlike(NAV_ENTRIES))
-    boilerplate = phrases & (F.length(line) <= 400) & low.rlike(BOILERPLATE) & (F.size(words(line)) <= BOILERPLATE_WORDS)
-    return ~line.rlike(WORD) | ~(symbols | navigation | boilerplate)
+    navigation = ((separators >= NAV_SEPARATORS) & (separators * NAV_WORDS >= F.size(words(line)))) | low.rlike(NAV_ENTRIES)
+    said = F.length(low) - F.length(F.regexp_replace(low, BOILERPLATE, ""))
+    boilerplate = phrases & low.rlike(BOILERPLATE) & (said * BOILERPLATE_SHARE >= F.length(F.trim(line)))
+    return ~line.rlike(WORD) | ~(symbols | marks | navigation | boilerplate)
+
 
 
 def quality_rules(docs: DataFrame, min_words: int = MIN_WORDS, max_repeated: int = MAX_REPEATED,

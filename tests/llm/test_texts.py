@@ -63,6 +63,10 @@ def test_quality_lines(spark):
     mixed = good + "\nHome\nAll rights reserved.\n" + "Sign in | Help | Terms | Privacy"
     rows = {r.doc_id: r for r in quality_rules(docs(spark, [good, junk, nav, mixed, None])).collect()}
     assert [rows[i].kept for i in range(5)] == [True, False, False, True, False]
+    long = good + "\n" + " ".join(f"word{i}" for i in range(30)) + " and then we ask you to click here to see the rest of it."
+    ruled = good + "\n* * * o * * *\n[1] ... (2) ...\n" + "Sie sagte: \u201eJa, gewiß!\u201c \u2013 und ging."
+    kept = {r.doc_id: r.clean_text for r in quality_rules(docs(spark, [long, ruled])).collect()}
+    assert kept[0] == long and kept[1] == good + "\n" + ruled.split("\n")[-1]
     assert rows[0].clean_text == good and rows[3].clean_text == good and rows[4].clean_text is None
 
 
