@@ -21,10 +21,15 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Kept documents, with the lines removed that fail; n_chars follows the text."""
-    judged = quality_rules(docs.select("doc_id", "text", "lang", "source")).filter("kept")
-    return judged.select("doc_id", F.col("clean_text").alias("text"), "lang", "source",
-                         F.length("clean_text").cast("long").alias("n_chars"))
+    """Kept documents, with the lines removed that fail; n_chars follows the text.
+
+    A filter on ``kept`` would be pushed below the rules and judge every text a second time; rows that
+    are not kept become null arrays instead, which ``inline`` drops.
+    """
+    judged = quality_rules(docs.select("doc_id", "text", "lang", "source"))
+    row = F.struct("doc_id", F.col("clean_text").alias("text"), "lang", "source",
+                   F.length("clean_text").cast("long").alias("n_chars"))
+    return judged.select(F.inline(F.when(F.col("kept"), F.array(row))))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
