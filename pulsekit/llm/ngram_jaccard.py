@@ -327,9 +327,10 @@ def ngram_jaccard_links(docs: DataFrame, n: int = 5, num: int = 75, den: int = 1
     docs = docs.select("doc_id", "text").filter("doc_id is not null")
     described = _described(docs, n, num, den, _frequent_bits(docs, n))
     classes = described.filter("n > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"))
-    placed = (described.filter("n > 0").select("doc_id", "n", "pivots", "f1", "f2")
-              .join(classes.select(F.col("rep").alias("doc_id"), "f1", "f2"), ["doc_id", "f1", "f2"])
-              .select(F.col("doc_id").alias("id"), "n", F.posexplode("pivots").alias("pos", "s")))
+    # one row per class, copies combined before the shuffle; counting and placing read the same exchange
+    first = (described.filter("n > 0").groupBy("f1", "f2")
+             .agg(F.min(F.struct("doc_id", "n", "pivots")).alias("x")))
+    placed = first.select(F.col("x.doc_id").alias("id"), F.col("x.n").alias("n"), F.posexplode("x.pivots").alias("pos", "s"))
     several = placed.groupBy("s").agg(F.count("*").alias("size")).filter("size > 1").select("s")
     rows = landed(placed.join(several, "s").select("s", "id", "n", "pos"), "regions")
 
