@@ -21,9 +21,11 @@ window partitions by, so the big side is shuffled once.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsekit.functions import SPORTS, clock_text, epoch_micros, one_hot_columns, time_as_int
 
@@ -38,14 +40,19 @@ def _frames_of(t: Column, bucket: Column, span_us: int, halo_us: int) -> Column:
     return F.when(in_halo, F.array(bucket, bucket + 1)).otherwise(F.array(bucket))
 
 
-def _framed(df: DataFrame, order_col: str, series: Sequence[str], tie: str | None,
-            n_lags: int, unit_seconds: int, bucket_units: int | None,
-            first_row_guard: bool) -> DataFrame:
+def _spans(n_lags: int, unit_seconds: int, bucket_units: int | None) -> tuple[int, int]:
+    """Microseconds of a frame's bucket and of the halo before it."""
     unit_us = unit_seconds * 1_000_000
     span = bucket_units or max(1440, 2 * (n_lags + 1))
     if span < n_lags + 1:
         raise ValueError("bucket_units must be at least n_lags + 1")
-    span_us, halo_us = span * unit_us, (n_lags + 1) * unit_us
+    return span * unit_us, (n_lags + 1) * unit_us
+
+
+def _framed(df: DataFrame, order_col: str, series: Sequence[str], tie: str | None,
+            n_lags: int, unit_seconds: int, bucket_units: int | None,
+            first_row_guard: bool) -> DataFrame:
+    span_us, halo_us = _spans(n_lags, unit_seconds, bucket_units)
     base = df.withColumn("_t", epoch_micros(order_col))
     base = base.withColumn("_b", _bucket_of(F.col("_t"), span_us))
     framed = base.withColumn("_frame", F.explode(_frames_of(F.col("_t"), F.col("_b"), span_us, halo_us)))
@@ -85,6 +92,103 @@ def lag_names(n_lags: int, prefix: str = "Min - ") -> list[str]:
     return [f"{prefix}{j}" for j in range(1, n_lags + 1)]
 
 
+def _complete_batches(batches, keep: Sequence[str], group: Sequence[str], n_lags: int, unit_us: int, whole: bool, schema):
+    """The complete rows, with their lags, of Arrow batches sorted by (group, time), each group's mark before its rows.
+
+    The last ``n_lags + 1`` rows of a batch are put before the next one.  Rows of a group at the time of its mark
+    are the first of their series: no source.  ``whole``: a lag is a step of one unit after another, else
+    the gap test of every lag."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def changes(column):
+        a, b = column.slice(1), column.slice(0, len(column) - 1)
+        return pc.or_(pc.fill_null(pc.not_equal(a, b), False), pc.xor(a.is_null(), b.is_null())).to_numpy(zero_copy_only=False)
+
+    carry, first_time = None, None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if carry is not None:
+            table = pa.concat_tables([carry, table])
+        table = table.combine_chunks()
+        size, carried = table.num_rows, carry.num_rows if carry is not None else 0
+        if not size:
+            continue
+        new = np.ones(size, bool)
+        new[1:] = np.logical_or.reduce([changes(table.column(c).combine_chunks()) for c in group])
+        t, mark = (table.column(c).to_numpy() for c in ("_t", "_mark"))
+        begins = np.flatnonzero(new)
+        ends = np.append(begins[1:], size)
+        first = np.zeros(size, bool)
+        goes_on = begins[np.searchsorted(begins, carried - 1, side="right") - 1] if carried else -1
+        if first_time is not None:  # the group that the batch before ended in
+            end = ends[np.searchsorted(begins, goes_on)]
+            first[goes_on:end] = t[goes_on:end] == first_time
+        for m in np.flatnonzero(mark):
+            end = ends[np.searchsorted(begins, m, side="right") - 1]
+            first[m:end] = t[m:end] == t[m]
+        last = begins[-1]
+        marked = last + np.flatnonzero(mark[last:])
+        if len(marked) or last != goes_on:
+            first_time = t[marked[0]] if len(marked) else None
+        carry = table.slice(max(0, size - n_lags - 1))
+
+        rows = np.flatnonzero(~mark)
+        t, first, group_no = t[rows], first[rows], np.cumsum(new)[rows]
+        known = table.column("_v").combine_chunks().is_valid().to_numpy(zero_copy_only=False)[rows]
+        v = pc.fill_null(table.column("_v").combine_chunks(), 0.0).to_numpy(zero_copy_only=False)[rows]
+        own = table.column("_own").to_numpy()[rows] & (rows >= carried)
+        gone = np.concatenate([[0], np.cumsum(~known)])  # rows without a value
+        at = np.flatnonzero(own & known)
+        at = at[at >= n_lags]
+        far = at - n_lags
+        at = at[(group_no[at] == group_no[far]) & ~first[far] & ~first[at] & (gone[at] == gone[far])
+                & (np.rint((t[at] - t[far]) / unit_us) == n_lags)]
+        if whole:
+            odd = np.concatenate([[0], np.cumsum(np.diff(t) != unit_us)])
+            at = at[odd[at] == odd[at - n_lags]]
+        else:
+            for j in range(1, n_lags):
+                at = at[np.rint((t[at] - t[at - j]) / unit_us) == j]
+        if len(at):
+            kept = table.select(list(keep)).take(pa.array(rows[at])).combine_chunks()
+            columns = [kept.column(c).combine_chunks() for c in keep] + [pa.array(v[at - j]) for j in range(1, n_lags + 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=schema)
+
+
+def _complete_rows(df: DataFrame, order_col: str, value_col: str, n_lags: int, unit_seconds: int, series: Sequence[str],
+                   first_row_guard: bool, bucket_units: int | None, prefix: str, whole: bool) -> DataFrame:
+    """``df`` and its lags, rows without a null lag only, where no column breaks ties.
+
+    Rows are dealt by (series, frame) once and sorted there; a frame's lags are then positions in Arrow batches.
+    The first row of a series is known by a mark that lies before it in each of its frames, so no join moves the
+    rows and no task holds more than a batch."""
+    span_us, halo_us = _spans(n_lags, unit_seconds, bucket_units)
+    base = df.withColumn("_t", epoch_micros(order_col)).filter(F.col("_t").isNotNull())
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("_b", _bucket_of(F.col("_t"), span_us))
+        return rows.withColumn("_frame", F.explode(_frames_of(F.col("_t"), F.col("_b"), span_us, halo_us)))
+
+    framed = dealt(base).select(*df.columns, F.col(value_col).cast("double").alias("_v"), "_t", "_frame",
+                                (F.col("_frame") == F.col("_b")).alias("_own"), F.lit(False).alias("_mark"))
+    if first_row_guard:
+        first = base.groupBy(*series).agg(F.min("_t").alias("_t"))
+        for c in series:  # a series without a key has no first row
+            first = first.filter(F.col(c).isNotNull())
+        marks = dealt(first.filter(F.col("_t").isNotNull())).select(
+            *series, "_t", "_frame", F.lit(False).alias("_own"), F.lit(True).alias("_mark"))
+        framed = framed.unionByName(marks, allowMissingColumns=True)
+    group = [*series, "_frame"]
+    rows = framed.repartition(*group).sortWithinPartitions(*group, "_t", F.col("_mark").desc())
+    names = [*df.columns, *lag_names(n_lags, prefix)]
+    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in df.schema],
+                           *[T.StructField(n, T.DoubleType()) for n in names[len(df.columns):]]])
+    return rows.mapInArrow(partial(_complete_batches, keep=df.columns, group=group, n_lags=n_lags,
+                                   unit_us=unit_seconds * 1_000_000, whole=whole, schema=names), schema)
+
+
 def lag_features(df: DataFrame, order_col: str, value_col: str, n_lags: int = 60,
                  unit_seconds: int = 60, series: Sequence[str] = (), tie: str | None = None,
                  first_row_guard: bool = True, dropna: bool = True,
@@ -100,6 +204,9 @@ def lag_features(df: DataFrame, order_col: str, value_col: str, n_lags: int = 60
     expressions generate code too large to compile well; this form keeps both
     the plan and the generated code small.
     """
+    if dropna and tie is None:
+        return _complete_rows(df, order_col, value_col, n_lags, unit_seconds, series, first_row_guard, bucket_units,
+                              prefix, whole=False)
     unit_us = float(unit_seconds * 1_000_000)
     framed = _framed(df, order_col, series, tie, n_lags, unit_seconds, bucket_units, first_row_guard)
     if dropna:
@@ -163,6 +270,9 @@ def lag_features_runs(df: DataFrame, order_col: str, value_col: str, n_lags: int
     simply the rows before.  The first row of a series is no source and has no lags: it is left out.  Equal
     to ``lag_features`` with ``dropna`` on such series.
     """
+    if tie is None:
+        return _complete_rows(df, order_col, value_col, n_lags, unit_seconds, series, first_row_guard, bucket_units,
+                              prefix, whole=True)
     unit_us = unit_seconds * 1_000_000
     framed = _framed(df, order_col, series, tie, n_lags, unit_seconds, bucket_units, first_row_guard)
     rows = _long_runs(framed.filter(~F.col("_is_first")), series, tie, n_lags, lambda step: step != unit_us)

@@ -207,12 +207,15 @@ def device_minutes(events: DataFrame) -> DataFrame:
     small number from a product of the ids.  Runs of one person that overlap give the largest value of a minute.
     """
     k = F.get_json_object("props", "$.k").try_cast("int")
+    start = F.expr("make_timestamp_ntz(year(ts), month(ts), day(ts), hour(ts), minute(ts), 0)")
+    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    # minutes are whole numbers until they are one per person: a stamp is made once, of the rows that are left
     runs = (events.filter(F.col("event_type") == "purchase").withColumn("_k", k).filter(F.col("_k") >= SHORTEST_RUN)
-            .select("user_id", "event_id", "value", F.expr("timestampadd(SECOND, -second(ts), ts)").alias("_ts"),
-                    F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("_o")))
-    minute = F.expr("timestampadd(MINUTE, _o, make_timestamp_ntz(year(_ts), month(_ts), day(_ts), hour(_ts), minute(_ts), 0))")
+            .select("user_id", "event_id", (60 + F.pmod(F.floor("value"), F.lit(30))).alias("_level"),
+                    F.timestamp_diff("MINUTE", epoch, start).alias("_m0"), F.sequence(F.lit(0), F.col("_k") - 1).alias("_os"))
+            .select("user_id", "event_id", "_level", "_m0", F.explode("_os").alias("_o")))
     wave = F.abs(F.pmod(F.col("_o") + F.col("event_id"), F.lit(WAVE)) - WAVE // 2) * 4
     noise = F.pmod((F.col("event_id") + 1) * (F.col("_o") + 7) * 48271, F.lit(5))
-    bpm = 60 + F.pmod(F.floor("value"), F.lit(30)) + wave + noise
-    return (runs.select("user_id", minute.alias("TS"), bpm.cast("int").alias("BPM"))
-            .groupBy("user_id", "TS").agg(F.max("BPM").alias("BPM")))
+    return (runs.select("user_id", (F.col("_m0") + F.col("_o")).alias("_m"), (F.col("_level") + wave + noise).cast("int").alias("BPM"))
+            .groupBy("user_id", "_m").agg(F.max("BPM").alias("BPM"))
+            .select("user_id", F.timestamp_add("MINUTE", F.col("_m"), epoch).alias("TS"), "BPM"))
