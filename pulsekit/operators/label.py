@@ -85,13 +85,19 @@ def _clock_text(mod):
                     F.lpad((mod % 60).cast("string"), 2, "0"), F.lit(":00"))
 
 
-def sample_keys(samples: DataFrame, bucket_minutes: int = BUCKET_MINUTES) -> DataFrame:
+def sample_keys(samples: DataFrame, bucket_minutes: int = BUCKET_MINUTES, stamp: str | None = None) -> DataFrame:
     """``_day`` / ``_mod`` / ``_bucket`` of each sample from its text; a time whose seconds
-    are not ``00`` gets a null minute and so never matches (equal-text rule)."""
-    t = F.col("time")
-    mod = F.when((F.length(t) == 8) & (F.substring(t, 7, 2) == "00"),
-                 F.substring(t, 1, 2).try_cast("int") * 60 + F.substring(t, 4, 2).try_cast("int"))
-    return (samples.withColumn("_day", day_number("date")).withColumn("_mod", mod)
+    are not ``00`` gets a null minute and so never matches (equal-text rule).  ``stamp`` names a
+    TIMESTAMP_NTZ column in place of the texts ``date`` and ``time``."""
+    if stamp:
+        t = F.col(stamp)
+        day, mod = F.unix_date(F.to_date(t)), F.when(F.second(t) == 0, F.hour(t) * 60 + F.minute(t))
+    else:
+        t = F.col("time")
+        day = day_number("date")
+        mod = F.when((F.length(t) == 8) & (F.substring(t, 7, 2) == "00"),
+                     F.substring(t, 1, 2).try_cast("int") * 60 + F.substring(t, 4, 2).try_cast("int"))
+    return (samples.withColumn("_day", day).withColumn("_mod", mod)
             .withColumn("_bucket", F.expr(f"cast(_mod div {bucket_minutes} as int)")))
 
 
@@ -154,13 +160,14 @@ def winning_ranges(intervals: DataFrame, keys: Sequence[str] = (), midnight: str
 
 
 def label_last_wins(samples: DataFrame, intervals: DataFrame, keys: Sequence[str] = (),
-                    label: str = "sport", midnight: str = "wrap", bucket_minutes: int = BUCKET_MINUTES) -> DataFrame:
+                    label: str = "sport", midnight: str = "wrap", bucket_minutes: int = BUCKET_MINUTES,
+                    stamp: str | None = None) -> DataFrame:
     """Every sample exactly once; the later activity wins where several cover it.
 
     Samples meet the disjoint winning ranges of their own (keys, day, bucket), of which one matches at most;
     the ranges are already dealt by these keys, so only the samples move, and AQE may split a hot bucket.
     """
-    left = sample_keys(samples, bucket_minutes)
+    left = sample_keys(samples, bucket_minutes, stamp)
     met = _meeting(left, winning_ranges(intervals, keys, midnight, bucket_minutes), keys)
     return met.select(*[left[c] for c in samples.columns], F.coalesce("_label", F.lit(NO_LABEL)).alias(label))
 

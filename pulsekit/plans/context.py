@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.functions import clock_text, day_text, ts_from_day_hour
+from pulsekit.functions import ts_from_day_hour
 from pulsekit.operators import label as L
 from pulsekit.operators import stats as ST
 from pulsekit.plans import standins as SI
@@ -82,8 +82,7 @@ class Inputs:
     @cached_property
     def device_labelled(self) -> DataFrame:
         """Device minutes with the activity under way: ``user_id, TS, BPM, sport``."""
-        samples = self.device_minutes.select("user_id", "TS", "BPM", clock_text("TS").alias("time"), day_text("TS").alias("date"))
-        return L.label_last_wins(samples, self.intervals, keys=USER).drop("time", "date")
+        return L.label_last_wins(self.device_minutes, self.intervals, keys=USER, stamp="TS")
 
     def hourly_series(self, labelled: bool = False) -> DataFrame:
         """One row per hour of the whole data: TS, BPM (= hourly max)[, sport]."""

@@ -195,3 +195,12 @@ def test_rows_per_activity_do_not_grow_with_its_length(spark):
     per = {r.activity_id: r["count"] for r in L.day_ranges(iv, ["user_id"]).groupBy("activity_id").count().collect()}
     assert per == {0: 1, 1: 2, 2: 1, 3: 3, 4: 3}
     assert L.winning_ranges(iv, ["user_id"]).count() <= 49
+
+
+def test_a_stamp_gives_the_keys_of_its_texts(spark):
+    stamps = ["2023-02-10 23:59:00", "2023-02-11 00:00:00", "2023-02-11 07:05:01", "1969-12-31 01:30:00", None]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(stamps)], "id int, s string").selectExpr(
+        "id", "cast(s as timestamp_ntz) TS", "substr(s, 1, 10) date", "substr(s, 12, 8) time")
+    keys = ["id", "_day", "_mod", "_bucket"]
+    by_stamp, by_text = (sorted(map(tuple, k.select(*keys).collect())) for k in (L.sample_keys(df, stamp="TS"), L.sample_keys(df)))
+    assert by_stamp == by_text
