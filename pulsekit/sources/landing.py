@@ -3,7 +3,9 @@ landed keys that an anti join reads only in the buckets a delivery touches."""
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections import Counter
 from multiprocessing.pool import ThreadPool
 from urllib.parse import unquote
 
@@ -29,23 +31,32 @@ def land_files(df: DataFrame, path: str, name_col: str, text_col: str) -> None:
     at = jvm.org.apache.hadoop.fs.Path
     fs = at(path).getFileSystem(conf)
 
-    def publish(folder) -> None:
-        source = folder.getPath()
-        parts = [f.getPath() for f in fs.listStatus(source) if f.getPath().getName().startswith("part-")]
-        name = unquote(source.getName().removeprefix("_name="))
-        if len(parts) != 1:
-            raise ValueError(f"{len(parts)} documents are named {name}")
-        target = at(f"{path.rstrip('/')}/{name}")
+    # the tasks list the folders: three calls of the driver to rename a file are all that is left to it
+    literal = re.sub(r"([\\{}\[\]*?^])", r"\\\1", staged)
+    sources = [r[0] for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(literal).select("path").collect()]
+    for folder, count in Counter(p.rpartition("/")[0] for p in sources).items():
+        if count != 1:
+            raise ValueError(f"{count} documents are named {_file_name(folder)}")
+
+    def publish(source: str) -> None:
+        name = _file_name(source.rpartition("/")[0])
+        written, target = at(source), at(f"{path.rstrip('/')}/{name}")
+        if fs.rename(written, target):
+            return
         if fs.exists(target):
             fs.delete(target, False)
-        if not fs.rename(parts[0], target):
+        if not fs.rename(written, target):
             raise OSError(f"{name} was not renamed")
 
     with ThreadPool(8) as pool:
-        pool.map(publish, [f for f in fs.listStatus(at(staged)) if f.isDirectory()])
+        pool.map(publish, sources)
     fs.delete(at(staged), True)
 
 
+def _file_name(folder: str) -> str:
+    return unquote(folder.rpartition("/")[2].removeprefix("_name="))
+
+
 def key_bucket(key_col: str | Column, buckets: int = KEY_BUCKETS) -> Column:
     """Bucket of a landing key ``yyyy-MM-dd_...``: a hash of its day, so a delivery of a few days touches few buckets.
 

@@ -137,3 +137,13 @@ def test_a_backlog_with_a_failure_in_the_middle_gives_the_same_table(spark, tmp_
     run(broken)
     after = [r for r in _table(spark, sink) if r[:2] == before[0][:2]]
     assert [r[3] for r in after] == [1, 2, 3]
+
+
+def test_landed_files_are_listed_by_tasks_and_replaced(spark, tmp_dir):
+    from pulsekit.sources.landing import land_files
+    path = os.path.join(tmp_dir, "files [a]")
+    land_files(spark.createDataFrame([("x y,=%.json", "1"), ("_b.json", "2"), ("c.json", None)], "n string, t string"), path, "n", "t")
+    land_files(spark.createDataFrame([("_b.json", "new"), ("d.json", "4")], "n string, t string"), path, "n", "t")
+    got = {f: open(os.path.join(path, f)).read().strip() for f in os.listdir(path) if not f.startswith(".")}
+    assert got == {"x y,=%.json": "1", "_b.json": "new", "c.json": "", "d.json": "4"}
+    land_files(spark.createDataFrame([], "n string, t string"), os.path.join(tmp_dir, "none"), "n", "t")
