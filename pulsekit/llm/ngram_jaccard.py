@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import landed
+from pulsekit.llm.common import landed, small_batches
 from pulsekit.llm.components import connected_components
 
 #: Odd multipliers of the word positions in a shingle's hash.
@@ -49,7 +50,7 @@ MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779
 #: Counters of the corpus-wide frequency sketch, and the blocks they travel in.
 SKETCH_BITS, BLOCK_BITS = 23, 14
 FILTER_BITS = 23
-MAX_CACHED_WORDS = 1 << 18
+MAX_CACHED_WORDS = 1 << 16
 #: Hash classes of the parities that travel with a document into a region's last join.
 FOLDED = 512
 #: Documents of a region that meet in one join key.
@@ -58,6 +59,16 @@ REGION_BLOCK = 512
 ROUNDS = 2
 
 
+def _in_small_batches(job):
+    """``job(docs, ...)`` runs its Spark jobs with small Arrow batches; what it returns reads landed tables."""
+    @wraps(job)
+    def run(docs: DataFrame, *args, **kwargs):
+        with small_batches(docs.sparkSession):
+            return job(docs, *args, **kwargs)
+
+    return run
+
+
 class Shingler:
     """Sorted distinct shingle hashes of a text; words are cut and lower-cased as bytes."""
 
@@ -106,15 +117,12 @@ def _frequent_bits(docs: DataFrame, n: int) -> np.ndarray:
     def count(batches):
         shingler, total = Shingler(n), np.zeros(size, np.uint32)
         for _, texts in _texts(batches, "text"):
-            found = [shingler.all(t) & np.uint64(size - 1) for t in texts]
-            if found:
-                total += np.bincount(np.concatenate(found).astype(np.int64), minlength=size).astype(np.uint32)
-        yield from blocks_of(total.reshape(-1, block), range(size // block))
-
-    def blocks_of(rows, ids):
-        keep = [(i, zlib.compress(r.tobytes(), 1)) for i, r in zip(ids, rows) if r.any()]
-        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in keep], pa.int32()),
-                                          pa.array([v for _, v in keep], pa.binary())], ["block", "counts"])
+            for t in texts:
+                np.add.at(total, (shingler.all(t) & np.uint64(size - 1)).astype(np.int64), np.uint32(1))
+        for i, r in enumerate(total.reshape(-1, block)):
+            if r.any():
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([zlib.compress(r.tobytes(), 1)], pa.binary())],
+                                                 ["block", "counts"])
 
     def merge(batches):
         sums: dict[int, np.ndarray] = {}
@@ -178,7 +186,7 @@ def _described(docs: DataFrame, n: int, num: int, den: int, bits: np.ndarray) ->
 
     def describe(batches):
         shingler = Shingler(n)
-        frequent = np.unpackbits(shared.value).astype(bool)
+        frequent = np.unpackbits(shared.value).view(bool)
         mask = np.uint64(len(frequent) - 1)
         for batch, texts in _texts(batches, "text"):
             sizes, high, low, pivots, parity, folded = [], [], [], [], [], []
@@ -317,6 +325,7 @@ def _placed(rows: DataFrame, pivots: DataFrame, met: DataFrame, num: int, den: i
     return near.select("s", "id", "n", "pos", "lo", "hi").unionByName(apart)
 
 
+@_in_small_batches
 def ngram_jaccard_links(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100,
                         rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """-> (described documents, classes of equal sets, links between class representatives).
@@ -377,6 +386,7 @@ def _window(other: str, num: int, den: int):
     return (F.col("lo") - F.col(f"{other}hi") <= room) & (F.col(f"{other}lo") - F.col("hi") <= room)
 
 
+@_in_small_batches
 def ngram_jaccard_all_links(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100,
                             block: int = REGION_BLOCK) -> tuple[DataFrame, DataFrame]:
     """-> (every link between classes of equal sets, documents with their number of links).

@@ -1,13 +1,16 @@
 """Jaccard links against brute force; edge cases."""
 
+import os
 import random
+import uuid
 from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
 
 from pulsekit.llm.components import connected_components
-from pulsekit.llm.ngram_jaccard import ngram_jaccard_all_links, ngram_jaccard_components, parity_bits, parity_distance, Shingler
+from pulsekit.llm.ngram_jaccard import (ngram_jaccard_all_links, ngram_jaccard_components, ngram_jaccard_links,
+                                         parity_bits, parity_distance, Shingler)
 from tests.conftest import SF001
 
 SCHEMA = "doc_id long, text string, n int, core long, s string"
@@ -99,6 +102,25 @@ def test_whole_table_against_brute_force(spark):
     assert sorted(tuple(r) for r in ngram_jaccard_components(docs).collect()) == brute(rows)
 
 
+def test_texts_reach_python_in_small_batches(spark, tmp_dir):
+    rng = random.Random(5)
+    vocab = [f"word{i}" for i in range(3000)]
+    rows = [(i, " ".join(rng.choices(vocab, k=2000)), 1, 2, "x") for i in range(400)]
+
+    def seen(batches):  # a file for every batch that a worker gets, named by its size
+        for batch in batches:
+            open(f"{tmp_dir}/{batch.nbytes}-{uuid.uuid4().hex}", "w").close()
+            yield batch
+
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1).mapInArrow(seen, SCHEMA)
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(limit, None)
+    got = ngram_jaccard_links(docs)[0].count()
+    sizes = [int(f.split("-")[0]) for f in os.listdir(tmp_dir)]
+    assert got == 400 and sum(sizes) > 5_000_000 and max(sizes) < 1_500_000
+    assert spark.conf.get(limit, None) == before
+
+
 def test_parity_distance_bounds_the_difference():
     rng, sh = random.Random(1), Shingler(1)
     for _ in range(200):
