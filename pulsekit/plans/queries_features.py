@@ -146,7 +146,7 @@ def _models(spark, sf_dir):
     m = _landed(_split_matrix(spark, sf_dir), "matrix")  # the fits read it many times
     feats = [c for c in m.columns if c not in ("split", "BPM")]
     train, test = (m.filter(F.col("split") == x) for x in ("train", "test"))
-    fits = {"tree": lambda: M.fit_regressor(train, feats, max_iter=(4,), max_depth=(3, 5)),
+    fits = {"tree": lambda: M.fit_regressor(train, feats),
             "linear": lambda: M.fit_least_absolute(train, feats)}
 
     def scored(kind):

@@ -101,3 +101,31 @@ def test_rounds_read_landed_arrays(spark):
     finally:
         M._written = written
     assert seen == [["features", "x", "label"]]  # assembled once, not in every pass
+
+
+def test_predictions_come_from_the_whole_grid(spark, tmp_dir, monkeypatch):
+    """The queries on models search every point of the operator's grid and keep all rounds of the best one."""
+    from datetime import datetime
+
+    from pyspark.ml.tuning import TrainValidationSplit
+
+    import __spark_entry__ as E
+    rows = [(i, datetime(2024, 1, 1 + i, 8, 0, 30), i % 2, "purchase", 7.5 * i, '{"k": 150}') for i in range(4)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+                                "props string").write.parquet(f"{tmp_dir}/events.parquet")
+    points, rounds = [], []
+    fit, save = TrainValidationSplit.fit, M.save_model
+
+    def seen_fit(self, dataset):
+        points.extend({p.name: v for p, v in point.items()} for point in self.getEstimatorParamMaps())
+        return fit(self, dataset)
+
+    def seen_save(model, path):
+        rounds.append(model.stages[-1].getNumTrees)
+        save(model, path)
+
+    monkeypatch.setattr(TrainValidationSplit, "fit", seen_fit)
+    monkeypatch.setattr(M, "save_model", seen_save)
+    assert E.queries()["bpm_predict"](spark, tmp_dir).count() > 0
+    assert sorted((p["maxIter"], p["maxDepth"]) for p in points) == [(10, 3), (10, 5), (20, 3), (20, 5)]
+    assert rounds in ([10], [20])
