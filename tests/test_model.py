@@ -1,5 +1,6 @@
 """Split, standardisation, rounding, regression (FIXTURES §4.12)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from pulsekit.operators import model as M
@@ -103,7 +104,8 @@ def test_rounds_read_landed_arrays(spark):
     assert seen == [["features", "x", "label"]]  # assembled once, not in every pass
 
 
-def test_predictions_come_from_the_whole_grid(spark, tmp_dir, monkeypatch):
+@pytest.mark.parametrize("name", ["bpm_predict", "model_errors"])
+def test_predictions_come_from_the_whole_grid(spark, tmp_dir, monkeypatch, name):
     """The queries on models search every point of the operator's grid and keep all rounds of the best one."""
     from datetime import datetime
 
@@ -121,11 +123,11 @@ def test_predictions_come_from_the_whole_grid(spark, tmp_dir, monkeypatch):
         return fit(self, dataset)
 
     def seen_save(model, path):
-        rounds.append(model.stages[-1].getNumTrees)
+        rounds.extend([model.stages[-1].getNumTrees] if hasattr(model.stages[-1], "trees") else [])
         save(model, path)
 
     monkeypatch.setattr(TrainValidationSplit, "fit", seen_fit)
     monkeypatch.setattr(M, "save_model", seen_save)
-    assert E.queries()["bpm_predict"](spark, tmp_dir).count() > 0
+    assert E.queries()[name](spark, tmp_dir).count() > 0
     assert sorted((p["maxIter"], p["maxDepth"]) for p in points) == [(10, 3), (10, 5), (20, 3), (20, 5)]
     assert rounds in ([10], [20])
